@@ -10,7 +10,7 @@ cleaned.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import ArrayType, MapType, StringType
+from pyspark.sql.types import ArrayType, DoubleType, FloatType, MapType, StringType
 
 from ..functions import bands, calendar
 from ..schemas import TIMESTAMP_FORMAT
@@ -31,6 +31,16 @@ def add_missing(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     )
 
 
+def required(df: DataFrame, *names: str) -> DataFrame:
+    """Drop rows where one of the columns is null (or not a number). Plain
+    comparisons, which a Parquet scan can use, unlike ``dropna``."""
+    for c in names:
+        df = df.filter(F.col(c).isNotNull())
+        if isinstance(df.schema[c].dataType, (DoubleType, FloatType)):
+            df = df.filter(~F.isnan(c))
+    return df
+
+
 def parse_timestamp(df: DataFrame, *names: str) -> DataFrame:
     """Parse ISO text columns; text that is no timestamp becomes null. Columns
     already typed as timestamps pass through."""
@@ -69,7 +79,7 @@ def default_email(email: Column, user_id: Column, blank_as_null: bool = False, t
 
 def clean_users(users: DataFrame, strict: bool = True) -> DataFrame:
     if strict:
-        users = users.dropna(subset=["user_id", "registration_date"])
+        users = required(users, "user_id", "registration_date")
     users = add_missing(users, OPTIONAL_USER_COLUMNS)
     geo = {"city": "city", "state": "state"} | ({"country": "country"} if strict else {})
     users = flatten(users, "geo_data", geo)
@@ -93,7 +103,7 @@ def load_users(users: DataFrame) -> DataFrame:
 
 def clean_products(products: DataFrame, strict: bool = True) -> DataFrame:
     if strict:
-        products = products.dropna(subset=["product_id", "category_id", "base_price"])
+        products = required(products, "product_id", "category_id", "base_price")
     price = F.coalesce("current_price", "base_price")
     products = products.withColumns({"current_price": price, "price_tier": bands.price_tier(price)})
     if strict:
@@ -104,7 +114,7 @@ def clean_products(products: DataFrame, strict: bool = True) -> DataFrame:
 
 def clean_transactions(transactions: DataFrame, strict: bool = True) -> DataFrame:
     if strict:
-        transactions = transactions.dropna(subset=["transaction_id", "user_id", "timestamp", "total"])
+        transactions = required(transactions, "transaction_id", "user_id", "timestamp", "total")
         transactions = transactions.withColumn("payment_method", F.lower(F.trim("payment_method")))
     transactions = parse_timestamp(transactions, "timestamp").filter(F.col("total") > 0)
     return transactions.withColumns({
@@ -116,7 +126,7 @@ def clean_transactions(transactions: DataFrame, strict: bool = True) -> DataFram
 
 def clean_sessions(sessions: DataFrame, strict: bool = True) -> DataFrame:
     if strict:
-        sessions = sessions.dropna(subset=["session_id", "user_id", "start_time"])
+        sessions = required(sessions, "session_id", "user_id", "start_time")
     device = {"device_type": "type", "device_os": "os"} | ({"device_browser": "browser"} if strict else {})
     sessions = flatten(sessions, "device_profile", device)
     sessions = parse_timestamp(sessions, "start_time", *(["end_time"] if strict else []))

@@ -6,14 +6,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions import rowkeys
+from ..functions import calendar, rowkeys
 
 
 def duplicate_keys(df: DataFrame, key: str, sparse: bool = False) -> DataFrame:
     """Keys that occur more than once, with their row count. A sparse key
     ignores rows where it is null; otherwise null is a key like any other."""
     if sparse:
-        df = df.dropna(subset=[key])
+        df = df.filter(F.col(key).isNotNull())
     return df.groupBy(key).agg(F.count("*").alias("row_count")).filter("row_count > 1")
 
 
@@ -47,7 +47,7 @@ def upsert(current: DataFrame, updates: DataFrame, key: str, order: str | None =
 
 def inserted_keys(current: DataFrame, updates: DataFrame, key: str) -> DataFrame:
     """Keys an upsert would add; their count is the number of inserts."""
-    return updates.select(key).dropna().distinct().join(current.select(key), key, "left_anti")
+    return updates.select(key).filter(F.col(key).isNotNull()).distinct().join(current.select(key), key, "left_anti")
 
 
 def latest_per_key(df: DataFrame, key: Sequence[str], order: Sequence[Column], n: int = 1) -> DataFrame:
@@ -91,12 +91,16 @@ def user_sessions(sessions: DataFrame, user_id, limit: int = 5) -> DataFrame:
 
 def metric_range(metrics: DataFrame, product_id, first_day, last_day, columns: Sequence[str] | None = None) -> DataFrame:
     """Daily metrics of one product, both end dates included. ``columns``
-    restricts the scan to some counters."""
+    restricts the scan to some counters. On the stored table, which is
+    partitioned by month, only the months of the range are read."""
     picked = columns or ("views", "cart_adds", "purchases", "revenue")
-    return metrics.filter(
-        (F.col("product_id") == product_id)
-        & F.col("metric_date").between(F.lit(first_day).cast("date"), F.lit(last_day).cast("date"))
-    ).select(rowkeys.product_day_key("product_id", "metric_date").alias("row_key"), *picked)
+    first, last = (F.lit(d).cast("date") for d in (first_day, last_day))
+    wanted = (F.col("product_id") == product_id) & F.col("metric_date").between(first, last)
+    if "metric_month" in metrics.columns:
+        wanted &= F.col("metric_month").between(calendar.month_label(first), calendar.month_label(last))
+    return metrics.filter(wanted).select(
+        rowkeys.product_day_key("product_id", "metric_date").alias("row_key"), *picked
+    )
 
 
 def point_get(df: DataFrame, row_key: str, key: str = "row_key") -> DataFrame:

@@ -1,11 +1,12 @@
 """Counting items that occur together.
 
 A pair's count is the number of row pairs of one basket, one holding each item,
-so an item listed twice counts twice. Three things keep that exact and bounded
-on large, skewed input:
+so an item listed twice counts twice. What keeps that exact and bounded on
+large, skewed input:
 
-* Rows collapse to (basket, item, multiplicity) first. The shuffle is on basket
-  *and* item, so a basket holding much of the data is spread over all tasks.
+* Rows collapse to (basket, item, copies) first. The shuffle is on basket *and*
+  item, so a basket holding much of the data is spread over all tasks. The
+  result is written once and read by every later step.
 * A basket with more than ``block`` distinct items is cut into item blocks, and
   every pair of blocks is its own join key. No join key holds more than about
   ``2 * block`` rows, whatever the size of the basket.
@@ -15,11 +16,14 @@ on large, skewed input:
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..sources.results import stored
+
 BLOCK = 1024
 
 
@@ -49,7 +53,7 @@ def bags(signals: Sequence[Signal]) -> DataFrame:
             F.lit(n).alias("signal"),
             F.col(s.basket).cast(basket_type).alias("basket"),
             F.col(s.item).alias("item"),
-        ).dropna()
+        ).filter(F.col("basket").isNotNull() & F.col("item").isNotNull())
         for n, s in enumerate(signals)
     ]
     rows = parts[0]
@@ -62,20 +66,23 @@ def with_blocks(bag: DataFrame, block: int = BLOCK) -> DataFrame:
     """Add the number of item blocks of the basket and its largest multiplicity.
 
     Only baskets that are large or repeat an item are listed; the join fills in
-    one block and one copy for the others.
+    one block and one copy for the others. The list is written, so the planner
+    knows its size: it is broadcast if that is small and shuffled if not.
     """
     special = (
         bag.groupBy("signal", "basket")
-        .agg(F.ceil(F.count("*") / block).alias("blocks"), F.max("copies").alias("most"))
+        .agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"), F.max("copies").alias("most"))
         .filter((F.col("blocks") > 1) | (F.col("most") > 1))
     )
-    return bag.join(special, ["signal", "basket"], "left").fillna({"blocks": 1, "most": 1})
+    return bag.join(stored(special, "special_baskets"), ["signal", "basket"], "left").fillna(
+        {"blocks": 1, "most": 1}
+    )
 
 
 def count_pairs(bag: DataFrame, signals: Sequence[Signal]) -> DataFrame:
     """(item_a, item_b, one count per signal) with item_a < item_b."""
     own = F.pmod(F.xxhash64("item"), F.col("blocks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     cells = (
         bag.select("signal", "basket", "item", "copies", own.alias("own"), other.alias("other"))
         .withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")})
@@ -97,7 +104,7 @@ def count_pairs(bag: DataFrame, signals: Sequence[Signal]) -> DataFrame:
 def item_pairs(rows: DataFrame, basket: str, item: str, name: str = "pair_count", block: int = BLOCK) -> DataFrame:
     """All pairs that share a basket, with their counts."""
     signals = [Signal(rows, basket, item, name)]
-    return count_pairs(with_blocks(bags(signals), block), signals)
+    return count_pairs(with_blocks(stored(bags(signals), "bags"), block), signals)
 
 
 def score(signals: Sequence[Signal]):
@@ -113,7 +120,7 @@ def top_pairs(
     signals: Sequence[Signal],
     known: DataFrame,
     limit: int,
-    seeds: int = 64,
+    seeds: int | None = None,
     block: int = BLOCK,
 ) -> DataFrame:
     """The ``limit`` best pairs by weighted count, ties by item ids, among the
@@ -124,26 +131,36 @@ def top_pairs(
     ``seeds`` items of highest bound are counted first, and their ``limit``-th
     score is a floor for the answer: an item whose bound lies under the floor
     can be in no answer pair. On skewed data that leaves a small part of the
-    rows; on even data all of them, at the price of one extra pass.
+    rows; on even data all of them, and then they are not filtered.
     """
-    bag = with_blocks(bags(signals), block)
+    if seeds is None:
+        seeds = max(64, 2 * math.isqrt(2 * limit) + 1)
+    bag = with_blocks(stored(bags(signals), "bags"), block)
     weight = F.element_at(F.array(*(F.lit(float(s.weight)) for s in signals)), F.col("signal") + 1)
-    bounds = (
+    bounds = stored(
         bag.groupBy("item")
         .agg(F.sum(F.col("copies") * F.col("most") * weight).alias("bound"))
-        .join(known.select("item"), "item", "left_semi")
+        .join(known.select("item", F.lit(True).alias("known")), "item", "left"),
+        "item_bounds",
     )
-    order = [F.desc("score"), F.asc("item_a"), F.asc("item_b")]
 
-    seed_items = bounds.orderBy(F.desc("bound"), "item").limit(seeds).select("item")
-    seed_pairs = count_pairs(bag.join(F.broadcast(seed_items), "item", "left_semi"), signals)
-    floor = (
-        seed_pairs.select(score(signals).alias("score"))
+    seed_items = bounds.filter("known").orderBy(F.desc("bound"), "item").limit(seeds).select("item")
+    seed_scores = (
+        count_pairs(bag.join(F.broadcast(seed_items), "item", "left_semi"), signals)
+        .select(score(signals).alias("score"))
         .orderBy(F.desc("score"))
         .limit(limit)
-        .agg(F.when(F.count("*") == limit, F.min("score")).otherwise(0.0).alias("floor"))
     )
+    found, lowest = seed_scores.agg(F.count("*"), F.min("score")).first()
+    floor = lowest if found == limit else 0.0
+
     # The margin covers the rounding of fractional weights.
-    kept = bounds.filter(F.col("bound") * (1 + 1e-9) >= floor.scalar()).select("item")
-    pairs = count_pairs(bag.join(kept, "item", "left_semi"), signals)
-    return pairs.withColumn("score", score(signals)).orderBy(*order).limit(limit)
+    eligible = F.coalesce("known", F.lit(False)) & (F.col("bound") * (1 + 1e-9) >= floor)
+    if not bounds.filter(~eligible).isEmpty():
+        bag = bag.join(bounds.filter(eligible).select("item"), "item", "left_semi")
+    return (
+        count_pairs(bag, signals)
+        .withColumn("score", score(signals))
+        .orderBy(F.desc("score"), "item_a", "item_b")
+        .limit(limit)
+    )

@@ -5,9 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, MapType, StringType, StructField, StructType
 
+from ..functions import calendar
+from ..session import scratch_dir
+
 NESTED = (ArrayType, MapType, StructType)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared scratch folder and read back: computed once
+    however often it is used, with a size the planner knows, and safe from the
+    loss of an executor. Runs a job."""
+    path = f"{scratch_dir(df.sparkSession)}/{name}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
@@ -38,14 +50,17 @@ def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 def write_daily_metrics(df: DataFrame, path: str) -> None:
     """Daily metrics laid out for lookups by product and date range.
 
-    Rows are range-partitioned by day and product, so a heavy day takes several
-    tasks and files; the sort inside each gives narrow min/max per row group.
+    The table is partitioned by month. Rows are range-partitioned by month and
+    product, so a heavy month takes several tasks and files, and a file holds
+    few products: its min/max statistics skip it in most lookups.
     """
+    order = ["metric_month", "product_id", "metric_date"]
     (
-        df.repartitionByRange("metric_date", "product_id")
-        .sortWithinPartitions("metric_date", "product_id")
+        df.withColumn("metric_month", calendar.month_label("metric_date"))
+        .repartitionByRange("metric_month", "product_id")
+        .sortWithinPartitions(*order)
         .write.mode("overwrite")
-        .partitionBy("metric_date")
+        .partitionBy("metric_month")
         .parquet(path)
     )
 

@@ -2,7 +2,8 @@
 
 Orders are transactions, order lines their items, parts the products, customers
 the users; a user's events of one day are a session. Columns the star schema
-lacks (age, device, referrer, ...) are derived from keys by arithmetic.
+lacks (age, device, referrer, ...) are derived from keys by arithmetic. The
+mappings are select lists in SQL, one expression per column.
 
 The flat frames (``lines``, ``views``, ``carts``) are read as they are: no array
 is built per order or per session unless a result shows one.
@@ -12,34 +13,101 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import cleaning
 from ..schemas import TIMESTAMP_FORMAT
 
-# Domains that derived columns draw from, in order of their index.
-GENDERS = ("M", "F", "Other")
-DEVICE_TYPES = ("mobile", "desktop", "tablet")
-DEVICE_SYSTEMS = ("iOS", "Android", "Windows", "macOS", "iPadOS")
-BROWSERS = ("Safari", "Chrome")
-REFERRERS = ("search_engine", "social_media", "direct", "email", "affiliate", None)
-STATUS_CODES = {"F": "completed", "O": "shipped", "P": "refunded"}
+# The columns of the tables read here.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
 
 # Spend and lifetime-value thresholds that suit order totals of this schema.
 SPEND_TIERS = ((2_000_000, "high_value"), (1_000_000, "mid_value"))
 CLV_TIERS = ((1_300_000, "platinum"), (900_000, "gold"), (500_000, "silver"))
 
 
-def _pick(domain: tuple, index: Column) -> Column:
-    return F.element_at(F.array(*map(F.lit, domain)), F.pmod(index, len(domain)).cast("int") + 1)
-
-
-def _status(code: Column) -> Column:
-    return F.element_at(F.create_map(*(F.lit(x) for kv in STATUS_CODES.items() for x in kv)), code)
-
-
-def _text(ts: Column) -> Column:
-    return F.date_format(ts, TIMESTAMP_FORMAT)
+def _iso(ts: str) -> str:
+    return f"date_format({ts}, \"{TIMESTAMP_FORMAT}\")"
+
+
+# How each entity's columns are read off the tables.
+USER_COLUMNS = (
+    "c_custkey AS user_id",
+    "c_name AS name",
+    "CASE c_custkey % 5 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE ' Buyer' || c_custkey || '@Mail.COM ' END AS email",
+    "CAST(IF(c_custkey % 17 = 0, NULL, 18 + c_custkey % 53) AS int) AS age",
+    "CASE c_custkey % 3 WHEN 0 THEN 'M' WHEN 1 THEN 'F' ELSE 'Other' END AS gender",
+    "named_struct('city', 'City ' || (c_custkey % 100), 'state', n_name, 'country', r_name) AS geo_data",
+    f"{_iso('first_order')} AS registration_date",
+    f"IF(c_custkey % 13 = 0, 'unknown', {_iso('last_order')}) AS last_active",
+    "c_mktsegment AS preferred_payment",
+)
+PRODUCT_COLUMNS = (
+    "p_partkey AS product_id",
+    "p_name AS name",
+    "p_brand AS category_id",
+    "p_type AS subcategory_id",
+    "p_retailprice AS base_price",
+    "IF(p_partkey % 19 = 0, NULL, CAST(p_size * 10 AS double)) AS current_price",
+    "IF(p_partkey % 11 = 0, NULL, p_partkey % 7 - 2) AS current_stock",
+    "'1995-01-' || lpad(1 + p_partkey % 31, 2, '0') || 'T08:30:00' AS creation_date",
+)
+HEADER_COLUMNS = (
+    "o_orderkey AS transaction_id",
+    "CAST(NULL AS string) AS session_id",
+    "o_custkey AS user_id",
+    "o_orderdate AS timestamp",
+    "o_totalprice AS total",
+    "o_orderpriority AS payment_method",
+    "CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN 'shipped' WHEN 'P' THEN 'refunded' END AS status",
+)
+LINE_COLUMNS = (
+    "transaction_id", "user_id", "session_id", "timestamp", "status",
+    "l_partkey AS product_id",
+    "CAST(l_quantity AS bigint) AS quantity",
+    "l_extendedprice / l_quantity AS unit_price",
+    "l_extendedprice AS subtotal",
+)
+EVENT_COLUMNS = (
+    "event_id", "ts", "user_id", "event_type", "value",
+    "CAST(ts AS date) AS day",
+    "CAST(get_json_object(props, '$.k') AS bigint) AS product_id",
+)
+SESSION_ID = "user_id || '-' || date_format(day, 'yyyy-MM-dd') AS session_id"
+PURCHASE_COLUMNS = (
+    "event_id AS transaction_id",
+    SESSION_ID,
+    "user_id",
+    "ts AS timestamp",
+    "value AS total",
+    "'card' AS payment_method",
+    "IF(product_id % 5 = 0, 'refunded', 'completed') AS status",
+)
+SESSION_COLUMNS = (
+    SESSION_ID, "user_id", "start_time", "end_time",
+    "CAST(greatest(1, unix_timestamp(end_time) - unix_timestamp(start_time)) AS bigint) AS duration_seconds",
+    "named_struct('city', 'City ' || (user_id % 100), 'state', CAST(NULL AS string), "
+    "'ip_address', '10.0.0.' || (user_id % 256)) AS geo_data",
+    "named_struct('type', element_at(array('mobile', 'desktop', 'tablet'), CAST(user_id % 3 AS int) + 1), "
+    "'os', element_at(array('iOS', 'Android', 'Windows', 'macOS', 'iPadOS'), CAST(user_id % 5 AS int) + 1), "
+    "'browser', element_at(array('Safari', 'Chrome'), CAST(user_id % 2 AS int) + 1)) AS device_profile",
+    "viewed_products", "cart_contents",
+    "IF(purchases > 0, 'converted', 'abandoned') AS conversion_status",
+    "element_at(array('search_engine', 'social_media', 'direct', 'email', 'affiliate', NULL), "
+    "CAST((user_id + dayofmonth(day)) % 6 AS int) + 1) AS referrer",
+    "viewed_count", "cart_count", "page_count",
+)
 
 
 class Warehouse:
@@ -50,70 +118,36 @@ class Warehouse:
         self.folder = folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(TABLES[name]).parquet(f"{self.folder}/{name}.parquet")
 
     # Documents: the layout the cleaning step starts from, timestamps as text.
 
     def user_documents(self) -> DataFrame:
         """Customers, with emails and dates as untidy as documents have them."""
-        key = F.col("c_custkey")
-        address = F.concat(F.lit(" Buyer"), key.cast("string"), F.lit("@Mail.COM "))
-        email = F.when(key % 5 == 0, F.lit(None)).when(key % 5 == 1, "").otherwise(address)
         span = self.table("orders").groupBy("o_custkey").agg(
-            F.min("o_orderdate").alias("first"), F.max("o_orderdate").alias("last")
+            F.min("o_orderdate").alias("first_order"), F.max("o_orderdate").alias("last_order")
         )
         return (
             self.table("customer")
-            .join(span, F.col("c_custkey") == F.col("o_custkey"), "left")
-            .join(self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-            .join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-            .select(
-                key.alias("user_id"),
-                F.col("c_name").alias("name"),
-                email.alias("email"),
-                F.when(key % 17 == 0, F.lit(None)).otherwise(18 + key % 53).cast("int").alias("age"),
-                _pick(GENDERS, key).alias("gender"),
-                F.struct(
-                    F.concat(F.lit("City "), (key % 100).cast("string")).alias("city"),
-                    F.col("n_name").alias("state"),
-                    F.col("r_name").alias("country"),
-                ).alias("geo_data"),
-                _text(F.col("first")).alias("registration_date"),
-                F.when(key % 13 == 0, "unknown").otherwise(_text(F.col("last"))).alias("last_active"),
-                F.col("c_mktsegment").alias("preferred_payment"),
-            )
+            .join(span, F.expr("c_custkey = o_custkey"), "left")
+            .join(self.table("nation"), F.expr("c_nationkey = n_nationkey"))
+            .join(self.table("region"), F.expr("n_regionkey = r_regionkey"))
+            .selectExpr(*USER_COLUMNS)
         )
 
     def product_documents(self) -> DataFrame:
-        key = F.col("p_partkey")
-        return self.table("part").select(
-            key.alias("product_id"),
-            F.col("p_name").alias("name"),
-            F.col("p_brand").alias("category_id"),
-            F.col("p_type").alias("subcategory_id"),
-            F.col("p_retailprice").alias("base_price"),
-            F.when(key % 19 == 0, F.lit(None)).otherwise(F.col("p_size") * 10.0).alias("current_price"),
-            F.when(key % 11 == 0, F.lit(None)).otherwise(key % 7 - 2).alias("current_stock"),
-            F.concat(F.lit("1995-01-"), F.lpad((1 + key % 31).cast("string"), 2, "0"), F.lit("T08:30:00"))
-            .alias("creation_date"),
-        )
+        return self.table("part").selectExpr(*PRODUCT_COLUMNS)
 
     def transaction_documents(self) -> DataFrame:
-        return self._order_headers().select(
-            "transaction_id", "session_id", "user_id",
-            _text(F.col("timestamp")).alias("timestamp"), "total",
-            F.concat(F.lit("  "), F.col("payment_method"), F.lit(" ")).alias("payment_method"),
-            "status",
+        return self._headers().selectExpr(
+            "transaction_id", "session_id", "user_id", f"{_iso('timestamp')} AS timestamp", "total",
+            "'  ' || payment_method || ' ' AS payment_method", "status",
         )
 
     def session_documents(self) -> DataFrame:
-        return self._session_rows().select(
-            "session_id", "user_id",
-            _text(F.col("start_time")).alias("start_time"),
-            _text(F.col("end_time")).alias("end_time"),
-            "duration_seconds", "geo_data", "device_profile", "viewed_products", "cart_contents",
-            "conversion_status", "referrer", "viewed_count", "cart_count", "page_count",
-        )
+        sessions = self._sessions()
+        text = {c: f"{_iso(c)} AS {c}" for c in ("start_time", "end_time")}
+        return sessions.selectExpr(*(text.get(c, c) for c in sessions.columns))
 
     # Cleaned frames.
 
@@ -127,144 +161,74 @@ class Warehouse:
 
     @cached_property
     def transactions(self) -> DataFrame:
-        return cleaning.clean_transactions(self._order_headers())
+        return cleaning.clean_transactions(self._headers())
 
     @cached_property
     def sessions(self) -> DataFrame:
-        return cleaning.clean_sessions(self._session_rows())
+        return cleaning.clean_sessions(self._sessions())
 
     @cached_property
     def lines(self) -> DataFrame:
         """Order lines with the header columns of their transaction."""
         return (
             self.table("lineitem")
-            .join(self.transactions, F.col("l_orderkey") == F.col("transaction_id"))
-            .select(
-                "transaction_id", "user_id", "session_id", "timestamp", "status",
-                F.col("l_partkey").alias("product_id"),
-                F.col("l_quantity").cast("bigint").alias("quantity"),
-                (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
-                F.col("l_extendedprice").alias("subtotal"),
-            )
+            .join(self.transactions, F.expr("l_orderkey = transaction_id"))
+            .selectExpr(*LINE_COLUMNS)
         )
 
     @cached_property
     def views(self) -> DataFrame:
         """Products viewed or clicked, once per session."""
-        seen = self._event_rows("view", "click").select("user_id", "day", "product_id").distinct()
-        return self._with_session(seen)
+        seen = self._events("view", "click").select("user_id", "day", "product_id").distinct()
+        return seen.selectExpr(SESSION_ID, "user_id", "day AS start_time", "product_id")
 
     @cached_property
     def carts(self) -> DataFrame:
         """Products clicked into the cart, once per session."""
-        clicked = (
-            self._event_rows("click")
-            .groupBy("user_id", "day", "product_id")
-            .agg(F.count("*").alias("quantity"), F.max(F.abs("value")).alias("price"))
+        clicked = self._events("click").groupBy("user_id", "day", "product_id").agg(
+            F.expr("count(*) AS quantity"), F.expr("max(abs(value)) AS price")
         )
-        return self._with_session(clicked)
+        return clicked.selectExpr(SESSION_ID, "user_id", "day AS start_time", "product_id", "quantity", "price")
 
     @cached_property
     def session_transactions(self) -> DataFrame:
         """Purchase events as transactions of their session; the orders are of
         other years than the events and belong to none."""
-        product = self._event_product()
-        raw = self.table("events").filter("event_type = 'purchase'").select(
-            F.col("event_id").alias("transaction_id"),
-            self._session_id().alias("session_id"),
-            "user_id",
-            F.col("ts").alias("timestamp"),
-            F.col("value").alias("total"),
-            F.lit("card").alias("payment_method"),
-            F.when(product % 5 == 0, "refunded").otherwise("completed").alias("status"),
-        )
-        return cleaning.clean_transactions(raw)
-
-    def _order_headers(self) -> DataFrame:
-        return self.table("orders").select(
-            F.col("o_orderkey").alias("transaction_id"),
-            F.lit(None).cast("string").alias("session_id"),
-            F.col("o_custkey").alias("user_id"),
-            F.col("o_orderdate").alias("timestamp"),
-            F.col("o_totalprice").alias("total"),
-            F.col("o_orderpriority").alias("payment_method"),
-            _status(F.col("o_orderstatus")).alias("status"),
-        )
-
-    @staticmethod
-    def _session_id() -> Column:
-        return F.concat(F.col("user_id").cast("string"), F.lit("-"), F.date_format("ts", "yyyy-MM-dd"))
+        return cleaning.clean_transactions(self._events("purchase").selectExpr(*PURCHASE_COLUMNS))
 
-    @staticmethod
-    def _event_product() -> Column:
-        return F.get_json_object("props", "$.k").cast("bigint")
+    def _headers(self) -> DataFrame:
+        return self.table("orders").selectExpr(*HEADER_COLUMNS)
 
-    def _event_rows(self, *event_types: str) -> DataFrame:
+    def _events(self, *event_types: str) -> DataFrame:
         """Events of the given types (all, if none) with their day and product."""
         events = self.table("events")
         if event_types:
             events = events.filter(F.col("event_type").isin(*event_types))
-        return events.withColumns({"day": F.to_date("ts"), "product_id": self._event_product()})
-
-    @staticmethod
-    def _with_session(per_product: DataFrame) -> DataFrame:
-        """Name the session of rows keyed by user and day."""
-        rest = [c for c in per_product.columns if c not in ("user_id", "day")]
-        return per_product.select(
-            F.concat(F.col("user_id").cast("string"), F.lit("-"), F.date_format("day", "yyyy-MM-dd"))
-            .alias("session_id"),
-            "user_id",
-            F.col("day").alias("start_time"),
-            *rest,
-        )
-
-    def _session_rows(self) -> DataFrame:
-        user, day = F.col("user_id"), F.col("day")
-        seen = F.col("seen") > 0
-        carted = F.when(
-            F.col("clicks") > 0,
-            F.struct("product_id", F.struct(F.col("clicks").cast("int").alias("quantity"), "price")),
-        )
-        def of_type(*types: str) -> Column:
-            return F.count_if(F.col("event_type").isin(*types))
+        return events.selectExpr(*EVENT_COLUMNS)
 
+    def _sessions(self) -> DataFrame:
         # One row per session and product first: that spreads the events of a busy session.
-        by_product = self._event_rows().groupBy("user_id", "day", "product_id").agg(
-            F.date_trunc("second", F.min("ts")).alias("first"),
-            F.date_trunc("second", F.max("ts")).alias("last"),
-            of_type("view", "click").alias("seen"),
-            of_type("click").alias("clicks"),
-            of_type("purchase").alias("purchases"),
-            F.max(F.when(F.col("event_type") == "click", F.abs("value"))).alias("price"),
-            F.count("*").alias("events"),
-        )
-        sessions = by_product.groupBy("user_id", "day").agg(
-            F.min("first").alias("start_time"),
-            F.max("last").alias("end_time"),
-            F.count_if(seen).alias("viewed_count"),
-            F.count("price").alias("cart_count"),
-            F.sum("events").alias("page_count"),
-            F.sum("purchases").alias("purchases"),
-            F.sort_array(F.collect_list(F.when(seen, F.col("product_id")))).alias("viewed_products"),
-            F.map_from_entries(F.sort_array(F.collect_list(carted))).alias("cart_contents"),
+        by_product = self._events().groupBy("user_id", "day", "product_id").agg(
+            F.expr("date_trunc('second', min(ts)) AS first"),
+            F.expr("date_trunc('second', max(ts)) AS last"),
+            F.expr("count_if(event_type IN ('view', 'click')) > 0 AS seen"),
+            F.expr("count_if(event_type = 'click') AS clicks"),
+            F.expr("count_if(event_type = 'purchase') AS purchases"),
+            F.expr("max(IF(event_type = 'click', abs(value), NULL)) AS price"),
+            F.expr("count(*) AS events"),
         )
-        return sessions.select(
-            F.concat(user.cast("string"), F.lit("-"), F.date_format(day, "yyyy-MM-dd")).alias("session_id"),
-            "user_id", "start_time", "end_time",
-            F.greatest(F.lit(1), F.unix_timestamp("end_time") - F.unix_timestamp("start_time"))
-            .cast("bigint").alias("duration_seconds"),
-            F.struct(
-                F.concat(F.lit("City "), (user % 100).cast("string")).alias("city"),
-                F.lit(None).cast("string").alias("state"),
-                F.concat(F.lit("10.0.0."), (user % 256).cast("string")).alias("ip_address"),
-            ).alias("geo_data"),
-            F.struct(
-                _pick(DEVICE_TYPES, user).alias("type"),
-                _pick(DEVICE_SYSTEMS, user).alias("os"),
-                _pick(BROWSERS, user).alias("browser"),
-            ).alias("device_profile"),
-            "viewed_products", "cart_contents",
-            F.when(F.col("purchases") > 0, "converted").otherwise("abandoned").alias("conversion_status"),
-            _pick(REFERRERS, user + F.dayofmonth(day)).alias("referrer"),
-            "viewed_count", "cart_count", "page_count",
+        line = "struct(product_id, struct(CAST(clicks AS int) AS quantity, price))"
+        return (
+            by_product.groupBy("user_id", "day")
+            .agg(
+                F.expr("min(first) AS start_time"),
+                F.expr("max(last) AS end_time"),
+                F.expr("count_if(seen) AS viewed_count"),
+                F.expr("count_if(clicks > 0) AS cart_count"),
+                F.expr("sum(events) AS page_count"),
+                F.expr("sum(purchases) AS purchases"),
+                F.expr("sort_array(collect_list(IF(seen, product_id, NULL))) AS viewed_products"),
+                F.expr(f"map_from_entries(sort_array(collect_list(IF(clicks > 0, {line}, NULL)))) AS cart_contents"),
+            )
+            .selectExpr(*SESSION_COLUMNS)
         )
