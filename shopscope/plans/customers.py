@@ -263,8 +263,9 @@ def clv_segment_dense(clv: DataFrame, domain: Sequence[str] = bands.CLV_ORDER) -
         F.count("user_id").alias("num_users"),
         money.mean_amount(money.sum_cents("total_spend"), F.count("total_spend")).alias("avg_spend"),
     )
-    spark = clv.sparkSession
-    tiers = spark.createDataFrame([(n, t) for n, t in enumerate(domain)], "_rank int, clv_segment string")
+    tiers = clv.sparkSession.range(1).select(
+        F.posexplode(F.array(*map(F.lit, domain))).alias("_rank", "clv_segment")
+    )
     return (
         tiers.join(counts, "clv_segment", "left")
         .fillna({"num_users": 0, "avg_spend": 0.0})

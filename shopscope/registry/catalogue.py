@@ -286,7 +286,7 @@ def product_view_metrics(w):
 
 @query
 def clean_users(w):
-    return _as_text(w.users, "registration_date", "last_active")
+    return _as_text(cleaning.clean_users(w.user_documents()), "registration_date", "last_active")
 
 
 @query

@@ -435,7 +435,7 @@ ORACLE_SQL: dict[str, str] = {
         SELECT {USER_COLUMNS}, country, registration_date, last_active, age_group, reg_month FROM users"""),
     "clean_users_lenient": sql("user_doc", body=f"""
         SELECT {USER_COLUMNS}, registration_date,
-          CASE WHEN user_id % 13 = 0 THEN 'unknown' ELSE last_active END AS last_active,
+          coalesce(last_active, 'unknown') AS last_active,
           {AGE.format(missing='unknown')} AS age_group, strftime(first_day, '%Y-%m') AS reg_month FROM user_doc"""),
     "users_load_form": sql("user_doc", body=f"""
         SELECT user_id, age, lower(trim(CASE WHEN coalesce(email, '') = '' THEN user_id || '@placeholder.local'

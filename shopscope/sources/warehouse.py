@@ -49,8 +49,8 @@ USER_COLUMNS = (
     "CAST(IF(c_custkey % 17 = 0, NULL, 18 + c_custkey % 53) AS int) AS age",
     "CASE c_custkey % 3 WHEN 0 THEN 'M' WHEN 1 THEN 'F' ELSE 'Other' END AS gender",
     "named_struct('city', 'City ' || (c_custkey % 100), 'state', n_name, 'country', r_name) AS geo_data",
-    f"{_iso('first_order')} AS registration_date",
-    f"IF(c_custkey % 13 = 0, 'unknown', {_iso('last_order')}) AS last_active",
+    "first_order AS registration_date",
+    "IF(c_custkey % 13 = 0, NULL, last_order) AS last_active",
     "c_mktsegment AS preferred_payment",
 )
 PRODUCT_COLUMNS = (
@@ -84,7 +84,8 @@ EVENT_COLUMNS = (
     "CAST(ts AS date) AS day",
     "CAST(get_json_object(props, '$.k') AS bigint) AS product_id",
 )
-SESSION_ID = "user_id || '-' || date_format(day, 'yyyy-MM-dd') AS session_id"
+# concat_ws is never null, so no null check of the composed text is left on the events.
+SESSION_ID = "concat_ws('-', CAST(user_id AS string), date_format(day, 'yyyy-MM-dd')) AS session_id"
 PURCHASE_COLUMNS = (
     "event_id AS transaction_id",
     SESSION_ID,
@@ -123,17 +124,13 @@ class Warehouse:
     # Documents: the layout the cleaning step starts from, timestamps as text.
 
     def user_documents(self) -> DataFrame:
-        """Customers, with emails and dates as untidy as documents have them."""
-        span = self.table("orders").groupBy("o_custkey").agg(
-            F.min("o_orderdate").alias("first_order"), F.max("o_orderdate").alias("last_order")
-        )
-        return (
-            self.table("customer")
-            .join(span, F.expr("c_custkey = o_custkey"), "left")
-            .join(self.table("nation"), F.expr("c_nationkey = n_nationkey"))
-            .join(self.table("region"), F.expr("n_regionkey = r_regionkey"))
-            .selectExpr(*USER_COLUMNS)
-        )
+        """Customers; an unknown date is no date at all in the text."""
+        users = self._users()
+        text = {
+            "registration_date": f"{_iso('registration_date')} AS registration_date",
+            "last_active": f"coalesce({_iso('last_active')}, 'unknown') AS last_active",
+        }
+        return users.selectExpr(*(text.get(c, c) for c in users.columns))
 
     def product_documents(self) -> DataFrame:
         return self.table("part").selectExpr(*PRODUCT_COLUMNS)
@@ -153,7 +150,7 @@ class Warehouse:
 
     @cached_property
     def users(self) -> DataFrame:
-        return cleaning.clean_users(self.user_documents())
+        return cleaning.clean_users(self._users())
 
     @cached_property
     def products(self) -> DataFrame:
@@ -196,12 +193,25 @@ class Warehouse:
         other years than the events and belong to none."""
         return cleaning.clean_transactions(self._events("purchase").selectExpr(*PURCHASE_COLUMNS))
 
+    def _users(self) -> DataFrame:
+        span = self.table("orders").groupBy("o_custkey").agg(
+            F.min("o_orderdate").alias("first_order"), F.max("o_orderdate").alias("last_order")
+        )
+        return (
+            self.table("customer")
+            .join(span, F.expr("c_custkey = o_custkey"), "left")
+            .join(self.table("nation"), F.expr("c_nationkey = n_nationkey"))
+            .join(self.table("region"), F.expr("n_regionkey = r_regionkey"))
+            .selectExpr(*USER_COLUMNS)
+        )
+
     def _headers(self) -> DataFrame:
         return self.table("orders").selectExpr(*HEADER_COLUMNS)
 
     def _events(self, *event_types: str) -> DataFrame:
-        """Events of the given types (all, if none) with their day and product."""
-        events = self.table("events")
+        """Events of the given types (all, if none) with their day and product.
+        Events without a user or time belong to no session."""
+        events = self.table("events").filter("user_id IS NOT NULL AND ts IS NOT NULL")
         if event_types:
             events = events.filter(F.col("event_type").isin(*event_types))
         return events.selectExpr(*EVENT_COLUMNS)
