@@ -7,11 +7,12 @@ large, skewed input:
 * Rows collapse to (basket, item, copies) first. The shuffle is on basket *and*
   item, so a basket holding much of the data is spread over all tasks. The
   result is written once and read by every later step.
-* A basket with more than ``block`` distinct items is cut into item blocks, and
-  every pair of blocks is its own join key. No join key holds more than about
-  ``2 * block`` rows, whatever the size of the basket.
-* ``top_pairs`` drops the items that cannot be in a leading pair before any
-  pair is formed. It loses nothing: see there.
+* A basket with more than ``block`` distinct items is *wide*. ``item_pairs``,
+  whose result is all pairs, cuts it into item blocks and makes every pair of
+  blocks its own join key: no key holds more than about ``2 * block`` rows.
+* ``top_pairs`` forms no pairs in wide baskets as long as they alone cannot
+  lift a pair into the answer, and drops the items that cannot be in a leading
+  pair before any pair is formed. It loses nothing: see there.
 """
 
 from __future__ import annotations
@@ -62,21 +63,21 @@ def bags(signals: Sequence[Signal]) -> DataFrame:
     return rows.groupBy("signal", "basket", "item").agg(F.count("*").alias("copies"))
 
 
-def with_blocks(bag: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Add the number of item blocks of the basket and its largest multiplicity.
-
-    Only baskets that are large or repeat an item are listed; the join fills in
-    one block and one copy for the others. The list is written, so the planner
-    knows its size: it is broadcast if that is small and shuffled if not.
-    """
-    special = (
+def special_baskets(bag: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Baskets that are wide or repeat an item, with the number of their item
+    blocks and their largest multiplicity. Written, so that the planner knows
+    the size of the list: small, it is broadcast; if not, it is shuffled."""
+    listed = (
         bag.groupBy("signal", "basket")
         .agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"), F.max("copies").alias("most"))
         .filter((F.col("blocks") > 1) | (F.col("most") > 1))
     )
-    return bag.join(stored(special, "special_baskets"), ["signal", "basket"], "left").fillna(
-        {"blocks": 1, "most": 1}
-    )
+    return stored(listed, "special_baskets")
+
+
+def with_blocks(bag: DataFrame, special: DataFrame) -> DataFrame:
+    """Add ``blocks`` and ``most`` to each row: one, where nothing is listed."""
+    return bag.join(special, ["signal", "basket"], "left").fillna({"blocks": 1, "most": 1})
 
 
 def count_pairs(bag: DataFrame, signals: Sequence[Signal]) -> DataFrame:
@@ -93,18 +94,39 @@ def count_pairs(bag: DataFrame, signals: Sequence[Signal]) -> DataFrame:
     # Two items of one block meet in every cell of that block: count them on the diagonal only.
     once = (F.col("a.lo") == F.col("a.hi")) | (F.col("a.own") != F.col("b.own"))
     joined = a.join(b, [*key, F.col("a.item") < F.col("b.item"), once])
-    weight = F.col("a.copies") * F.col("b.copies")
-    counts = [
-        F.sum(F.when(F.col("a.signal") == n, weight).otherwise(0)).alias(s.name)
+    together = joined.select(
+        F.col("a.item").alias("item_a"), F.col("b.item").alias("item_b"), F.col("a.signal").alias("signal"),
+        (F.col("a.copies") * F.col("b.copies")).alias("copies"),
+    )
+    return _sum_by_pair(together, signals)
+
+
+def _sum_by_pair(together: DataFrame, signals: Sequence[Signal]) -> DataFrame:
+    """Rows (item_a, item_b, signal, copies) summed to one count per signal."""
+    return together.groupBy("item_a", "item_b").agg(*(
+        F.sum(F.when(F.col("signal") == n, F.col("copies")).otherwise(0)).alias(s.name)
         for n, s in enumerate(signals)
-    ]
-    return joined.groupBy(F.col("a.item").alias("item_a"), F.col("b.item").alias("item_b")).agg(*counts)
+    ))
+
+
+def _count_in(bag: DataFrame, candidates: DataFrame, signals: Sequence[Signal]) -> DataFrame:
+    """What the baskets of ``bag`` add to the given pairs. Every row of a pair's
+    first item looks up its second in the same basket; no other pair is formed."""
+    first = candidates.select("item_a", "item_b").join(
+        bag.select("signal", "basket", F.col("item").alias("item_a"), "copies"), "item_a"
+    )
+    second = bag.select("signal", "basket", F.col("item").alias("item_b"), F.col("copies").alias("copies_b"))
+    together = first.join(second, ["signal", "basket", "item_b"]).select(
+        "item_a", "item_b", "signal", (F.col("copies") * F.col("copies_b")).alias("copies")
+    )
+    return _sum_by_pair(together, signals)
 
 
 def item_pairs(rows: DataFrame, basket: str, item: str, name: str = "pair_count", block: int = BLOCK) -> DataFrame:
     """All pairs that share a basket, with their counts."""
     signals = [Signal(rows, basket, item, name)]
-    return count_pairs(with_blocks(stored(bags(signals), "bags"), block), signals)
+    bag = stored(bags(signals), "bags")
+    return count_pairs(with_blocks(bag, special_baskets(bag, block)), signals)
 
 
 def score(signals: Sequence[Signal]):
@@ -126,16 +148,25 @@ def top_pairs(
     """The ``limit`` best pairs by weighted count, ties by item ids, among the
     items listed in ``known`` (one column, ``item``).
 
-    No pair scores above the bound of either of its items, the weighted sum of
-    copies times the basket's largest multiplicity. The pairs among the
-    ``seeds`` items of highest bound are counted first, and their ``limit``-th
-    score is a floor for the answer: an item whose bound lies under the floor
-    can be in no answer pair. On skewed data that leaves a small part of the
-    rows; on even data all of them, and then they are not filtered.
+    The pairs among the ``seeds`` items of highest bound are counted first, and
+    their ``limit``-th score is a floor for the answer. It serves twice.
+
+    *Items.* No pair scores above the bound of either of its items, the weighted
+    sum of copies times the basket's largest multiplicity. An item whose bound
+    lies under the floor can be in no answer pair, and its rows are dropped. On
+    skewed data that leaves a small part of the rows.
+
+    *Wide baskets.* All of them together add at most the weighted sum of their
+    squared multiplicities to a pair. Where that stays under the floor, a pair
+    found in wide baskets only is out, and so is one whose count in the others
+    falls short by more than that. The wide baskets are then only asked for the
+    pairs that are left. Otherwise they are cut into blocks like the rest.
     """
     if seeds is None:
         seeds = max(64, 2 * math.isqrt(2 * limit) + 1)
-    bag = with_blocks(stored(bags(signals), "bags"), block)
+    plain = stored(bags(signals), "bags")
+    special = special_baskets(plain, block)
+    bag = with_blocks(plain, special)
     weight = F.element_at(F.array(*(F.lit(float(s.weight)) for s in signals)), F.col("signal") + 1)
     bounds = stored(
         bag.groupBy("item")
@@ -152,15 +183,23 @@ def top_pairs(
         .limit(limit)
     )
     found, lowest = seed_scores.agg(F.count("*"), F.min("score")).first()
-    floor = lowest if found == limit else 0.0
+    # Just under the exact value, to cover the rounding of fractional weights.
+    floor = lowest * (1 - 1e-9) if found == limit else 0.0
+    wide = special.filter("blocks > 1").agg(F.sum(weight * F.col("most") * F.col("most"))).first()[0]
 
-    # The margin covers the rounding of fractional weights.
-    eligible = F.coalesce("known", F.lit(False)) & (F.col("bound") * (1 + 1e-9) >= floor)
+    eligible = F.coalesce("known", F.lit(False)) & (F.col("bound") >= floor)
     if not bounds.filter(~eligible).isEmpty():
         bag = bag.join(bounds.filter(eligible).select("item"), "item", "left_semi")
+    if wide is not None and wide < floor:
+        narrow = count_pairs(bag.filter("blocks = 1"), signals).filter(score(signals) >= floor - wide)
+        added = _count_in(bag.filter("blocks > 1"), narrow, signals)
+        pairs = narrow.unionByName(added).groupBy("item_a", "item_b").agg(
+            *(F.sum(s.name).alias(s.name) for s in signals)
+        )
+    else:
+        pairs = count_pairs(bag, signals)
     return (
-        count_pairs(bag, signals)
-        .withColumn("score", score(signals))
+        pairs.withColumn("score", score(signals))
         .orderBy(F.desc("score"), "item_a", "item_b")
         .limit(limit)
     )

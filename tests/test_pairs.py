@@ -69,8 +69,7 @@ def test_top_pairs(spark, limit, seeds, block):
     assert got == expected_top(scores, limit)
 
 
-def test_top_pairs_prunes(spark):
-    """Rare items of a hot basket are in no pair that is formed."""
+def test_rare_items_are_dropped(spark):
     rows = baskets(3, 200, 40, repeats=0) + [(0, i) for i in range(100, 400)]
     known = spark.createDataFrame([(i,) for i in range(400)], "item bigint")
     best = top_pairs([Signal(frame(spark, rows), "basket", "item", "n")], known, 3)
@@ -78,6 +77,27 @@ def test_top_pairs_prunes(spark):
     assert "LeftSemi" in best._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_wide_basket_forms_no_pairs(spark):
+    """A basket of 30,000 items, a third of all rows, has 450 million pairs. It
+    adds one to the count of the best and is asked for nothing else."""
+    rows = [(b, i) for b in range(1, 15_001) for i in (b % 97, 97 + b % 89, 200 + b % 7, 300 + b % 3)]
+    rows += [(0, i) for i in range(30_000)]
+    known = spark.createDataFrame([(i,) for i in range(30_000)], "item bigint")
+    best = top_pairs([Signal(frame(spark, rows), "basket", "item", "n")], known, 12)
+    got = [((r.item_a, r.item_b), r.n) for r in best.collect()]
+    counts = brute([r for r in rows if r[0] != 0])
+    assert got == expected_top({p: n + 1 for p, n in counts.items()}, 12)
+
+
+def test_wide_baskets_too_many_to_bound(spark):
+    """Wide baskets that could carry a pair on their own are counted in blocks."""
+    rows = [(b, i) for b in range(5) for i in range(40)] + [(9, 1), (9, 2)]
+    known = spark.createDataFrame([(i,) for i in range(40)], "item bigint")
+    best = top_pairs([Signal(frame(spark, rows), "basket", "item", "n")], known, 4, block=8)
+    got = [((r.item_a, r.item_b), r.n) for r in best.collect()]
+    assert got == [((1, 2), 6), ((0, 1), 5), ((0, 2), 5), ((0, 3), 5)]
+
+
 def test_fewer_pairs_than_asked(spark):
     known = spark.createDataFrame([(1,), (2,)], "item bigint")
     rows = frame(spark, [(1, 1), (1, 2), (2, 3)])
