@@ -21,12 +21,15 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from ..sources.results import stored
 
 BLOCK = 1024
 
+# Up to this many pairs are counted outright: looking for bounds would cost more.
+FEW_PAIRS = 2e7
+
 
 @dataclass(frozen=True)
 class Signal:
@@ -63,16 +66,23 @@ def bags(signals: Sequence[Signal]) -> DataFrame:
     return rows.groupBy("signal", "basket", "item").agg(F.count("*").alias("copies"))
 
 
-def special_baskets(bag: DataFrame, block: int = BLOCK) -> DataFrame:
+def special_baskets(bag: DataFrame, block: int = BLOCK) -> tuple[DataFrame, float]:
     """Baskets that are wide or repeat an item, with the number of their item
-    blocks and their largest multiplicity. Written, so that the planner knows
-    the size of the list: small, it is broadcast; if not, it is shuffled."""
+    blocks and their largest multiplicity; and how many pairs all baskets have.
+
+    The list is written, so that the planner knows its size: small, it is
+    broadcast; if not, it is shuffled.
+    """
+    n = F.col("n")
+    total = Observation("pairs")
     listed = (
         bag.groupBy("signal", "basket")
-        .agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"), F.max("copies").alias("most"))
-        .filter((F.col("blocks") > 1) | (F.col("most") > 1))
+        .agg(F.count("*").alias("n"), F.max("copies").alias("most"))
+        .observe(total, F.sum(n.cast("double") * (n - 1) / 2).alias("pairs"))
+        .filter((n > block) | (F.col("most") > 1))
+        .select("signal", "basket", F.ceil(n / block).cast("int").alias("blocks"), "most")
     )
-    return stored(listed, "special_baskets")
+    return stored(listed, "special_baskets"), total.get["pairs"] or 0.0
 
 
 def with_blocks(bag: DataFrame, special: DataFrame) -> DataFrame:
@@ -126,7 +136,8 @@ def item_pairs(rows: DataFrame, basket: str, item: str, name: str = "pair_count"
     """All pairs that share a basket, with their counts."""
     signals = [Signal(rows, basket, item, name)]
     bag = stored(bags(signals), "bags")
-    return count_pairs(with_blocks(bag, special_baskets(bag, block)), signals)
+    special, _ = special_baskets(bag, block)
+    return count_pairs(with_blocks(bag, special), signals)
 
 
 def score(signals: Sequence[Signal]):
@@ -144,11 +155,13 @@ def top_pairs(
     limit: int,
     seeds: int | None = None,
     block: int = BLOCK,
+    few: float = FEW_PAIRS,
 ) -> DataFrame:
     """The ``limit`` best pairs by weighted count, ties by item ids, among the
     items listed in ``known`` (one column, ``item``).
 
-    The pairs among the ``seeds`` items of highest bound are counted first, and
+    Where the baskets have no more than ``few`` pairs, all are counted. Beyond
+    that, the pairs among the ``seeds`` items of highest bound are counted first, and
     their ``limit``-th score is a floor for the answer. It serves twice.
 
     *Items.* No pair scores above the bound of either of its items, the weighted
@@ -165,8 +178,11 @@ def top_pairs(
     if seeds is None:
         seeds = max(64, 2 * math.isqrt(2 * limit) + 1)
     plain = stored(bags(signals), "bags")
-    special = special_baskets(plain, block)
+    special, formed = special_baskets(plain, block)
     bag = with_blocks(plain, special)
+    if formed <= few:
+        return _best(count_pairs(bag.join(known, "item", "left_semi"), signals), signals, limit)
+
     weight = F.element_at(F.array(*(F.lit(float(s.weight)) for s in signals)), F.col("signal") + 1)
     bounds = stored(
         bag.groupBy("item")
@@ -198,8 +214,8 @@ def top_pairs(
         )
     else:
         pairs = count_pairs(bag, signals)
-    return (
-        pairs.withColumn("score", score(signals))
-        .orderBy(F.desc("score"), "item_a", "item_b")
-        .limit(limit)
-    )
+    return _best(pairs, signals, limit)
+
+
+def _best(pairs: DataFrame, signals: Sequence[Signal], limit: int) -> DataFrame:
+    return pairs.withColumn("score", score(signals)).orderBy(F.desc("score"), "item_a", "item_b").limit(limit)

@@ -59,12 +59,12 @@ def expected_top(scores, limit):
     return sorted(scores.items(), key=lambda kv: (-kv[1], kv[0]))[:limit]
 
 
-@pytest.mark.parametrize("limit,seeds,block", [(1, 2, 4), (10, 5, 4), (10, None, 1024), (25, 8, 7)])
-def test_top_pairs(spark, limit, seeds, block):
+@pytest.mark.parametrize("limit,seeds,block,few", [(1, 2, 4, 0), (10, 5, 4, 0), (10, None, 1024, 0), (25, 8, 7, 1e9)])
+def test_top_pairs(spark, limit, seeds, block, few):
     rows = baskets(2, 150, 60, hot=60)
     known = spark.createDataFrame([(i,) for i in range(2, 61)], "item bigint")
     signal = Signal(frame(spark, rows), "basket", "item", "n")
-    got = [((r.item_a, r.item_b), r.n) for r in top_pairs([signal], known, limit, seeds, block).collect()]
+    got = [((r.item_a, r.item_b), r.n) for r in top_pairs([signal], known, limit, seeds, block, few).collect()]
     scores = {p: n for p, n in brute(rows).items() if min(p) >= 2}
     assert got == expected_top(scores, limit)
 
@@ -72,7 +72,7 @@ def test_top_pairs(spark, limit, seeds, block):
 def test_rare_items_are_dropped(spark):
     rows = baskets(3, 200, 40, repeats=0) + [(0, i) for i in range(100, 400)]
     known = spark.createDataFrame([(i,) for i in range(400)], "item bigint")
-    best = top_pairs([Signal(frame(spark, rows), "basket", "item", "n")], known, 3)
+    best = top_pairs([Signal(frame(spark, rows), "basket", "item", "n")], known, 3, few=0)
     assert [(r.item_a, r.item_b) for r in best.collect()] == [p for p, _ in expected_top(brute(rows), 3)]
     assert "LeftSemi" in best._jdf.queryExecution().optimizedPlan().toString()
 
@@ -93,7 +93,7 @@ def test_wide_baskets_too_many_to_bound(spark):
     """Wide baskets that could carry a pair on their own are counted in blocks."""
     rows = [(b, i) for b in range(5) for i in range(40)] + [(9, 1), (9, 2)]
     known = spark.createDataFrame([(i,) for i in range(40)], "item bigint")
-    best = top_pairs([Signal(frame(spark, rows), "basket", "item", "n")], known, 4, block=8)
+    best = top_pairs([Signal(frame(spark, rows), "basket", "item", "n")], known, 4, block=8, few=0)
     got = [((r.item_a, r.item_b), r.n) for r in best.collect()]
     assert got == [((1, 2), 6), ((0, 1), 5), ((0, 2), 5), ((0, 3), 5)]
 
@@ -101,7 +101,7 @@ def test_wide_baskets_too_many_to_bound(spark):
 def test_fewer_pairs_than_asked(spark):
     known = spark.createDataFrame([(1,), (2,)], "item bigint")
     rows = frame(spark, [(1, 1), (1, 2), (2, 3)])
-    assert top_pairs([Signal(rows, "basket", "item", "n")], known, 10).count() == 1
+    assert top_pairs([Signal(rows, "basket", "item", "n")], known, 10, few=0).count() == 1
 
 
 def test_two_weighted_signals(spark):
@@ -112,7 +112,7 @@ def test_two_weighted_signals(spark):
         Signal(frame(spark, buys), "basket", "item", "bought", 2.5),
         Signal(views_frame, "basket", "item", "viewed", 0.3),
     ]
-    got = [((r.item_a, r.item_b), r.bought, r.viewed) for r in top_pairs(signals, known, 15, seeds=6, block=8).collect()]
+    got = [((r.item_a, r.item_b), r.bought, r.viewed) for r in top_pairs(signals, known, 15, seeds=6, block=8, few=0).collect()]
     b, v = brute(buys), brute(views)
     scores = {p: b[p] * 2.5 + v[p] * 0.3 for p in b.keys() | v.keys()}
     assert got == [(p, b[p], v[p]) for p, _ in expected_top(scores, 15)]
