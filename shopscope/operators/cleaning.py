@@ -150,6 +150,9 @@ def add_sizes(sessions: DataFrame) -> DataFrame:
     })
 
 
-def coerce_numeric(df: DataFrame, *names: str, type_: str = "double") -> DataFrame:
-    """Read text columns as numbers; text that is no number becomes null."""
-    return df.withColumns({c: F.col(c).try_cast(type_) for c in names})
+def coerce_numeric(df: DataFrame, types: dict[str, str]) -> DataFrame:
+    """Read text columns as numbers of the given types; text that is no number
+    becomes null. Columns that are numbers already stay as they are."""
+    return df.withColumns({
+        c: F.col(c).try_cast(t) for c, t in types.items() if isinstance(df.schema[c].dataType, StringType)
+    })

@@ -89,7 +89,9 @@ def user_sessions(sessions: DataFrame, user_id, limit: int = 5) -> DataFrame:
     )
 
 
-def metric_range(metrics: DataFrame, product_id, first_day, last_day, columns: Sequence[str] | None = None) -> DataFrame:
+def metric_range(
+    metrics: DataFrame, product_id, first_day, last_day, columns: Sequence[str] | None = None
+) -> DataFrame:
     """Daily metrics of one product, both end dates included. ``columns``
     restricts the scan to some counters. On the stored table, which is
     partitioned by month, only the months of the range are read."""

@@ -23,7 +23,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
-from ..sources.results import stored
+from ..session import stored
 
 BLOCK = 1024
 

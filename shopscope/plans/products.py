@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import calendar, money, status as st
+from ..operators.cleaning import coerce_numeric
 
 
 def _rounded_mean(total: Column, n: Column, half_even: bool = False) -> Column:
@@ -141,9 +142,16 @@ def product_performance(views: DataFrame, lines: DataFrame, products: DataFrame,
     )
 
 
+PERFORMANCE_NUMBERS = {
+    "total_views": "bigint", "units_sold": "bigint", "revenue": "double", "current_price": "double",
+    "view_to_purchase_rate": "double",
+}
+
+
 def views_vs_revenue(performance: DataFrame) -> DataFrame:
-    """Complete rows of ``product_performance``, ready to plot per price tier."""
-    return performance.dropna()
+    """Complete rows of ``product_performance``, ready to plot per price tier.
+    The table may come from text: what is no number counts as missing."""
+    return coerce_numeric(performance, PERFORMANCE_NUMBERS).dropna()
 
 
 def monthly_category_revenue(lines: DataFrame, products: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions import calendar, rowkeys, status as st
 from ..operators import cleaning, keyed, pairs
@@ -499,6 +500,16 @@ def results_as_csv(w):
     return results.read_csv(w.spark, f"{folder}/funnel_analysis", funnel.schema)
 
 
+@query
+def views_vs_revenue_from_csv(w):
+    """Product performance through CSV, read back as text and coerced."""
+    folder = scratch_dir(w.spark)
+    performance = products.product_performance(w.views, w.lines, w.products)
+    results.write_csv(performance, f"{folder}/product_performance")
+    text = StructType([StructField(c, StringType()) for c in performance.columns])
+    return products.views_vs_revenue(results.read_csv(w.spark, f"{folder}/product_performance", text))
+
+
 @query
 def metrics_table(w):
     """Daily metrics through their partitioned table, one product's year read back."""

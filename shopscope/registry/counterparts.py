@@ -360,7 +360,8 @@ ORACLE_SQL: dict[str, str] = {
         SELECT user_id, session_count, {half_up('secs', '60 * session_count', 1)} AS avg_session_min,
           {half_up('secs', '60', 1)} AS total_session_min, converted_sessions, total_products_viewed FROM sess_m"""),
     "clv_scores": sql("clv", converted="converted_sessions", body=f"SELECT {CLV_COLUMNS} FROM clv"),
-    "clv_scores_filled": sql("clv", converted="coalesce(converted_sessions, 0)", body=f"SELECT {CLV_COLUMNS} FROM clv"),
+    "clv_scores_filled": sql("clv", converted="coalesce(converted_sessions, 0)", body=f"""
+        SELECT {CLV_COLUMNS} FROM clv"""),
     "top_customers": sql("clv", converted="converted_sessions", body=f"""
         SELECT user_id, age_group, state, order_count, {dollars('c')} AS total_spend, session_count, clv_score,
           clv_segment FROM clv ORDER BY clv_score DESC NULLS LAST, user_id LIMIT 10"""),
@@ -527,6 +528,10 @@ ORACLE_SQL: dict[str, str] = {
     "results_as_csv": sql("sessions", body=f"""
         SELECT session_id, user_id, device_type, device_os, referrer, conversion_status, duration_seconds,
           viewed AS viewed_products, {FLAGS} FROM sessions"""),
+    "views_vs_revenue_from_csv": sql("perf", how="LEFT", body=f"""
+        SELECT {PERF_COLUMNS.replace('product_id', 'CAST(product_id AS VARCHAR) AS product_id')} FROM perf
+        WHERE units_sold IS NOT NULL AND revenue IS NOT NULL
+          AND name IS NOT NULL AND category_id IS NOT NULL AND current_price IS NOT NULL"""),
     "metrics_table": sql("metrics", body=f"""
         SELECT {METRIC_COLUMNS}, views, cart_adds, purchases, revenue FROM metrics
         WHERE product_id = 42 AND year(metric_date) = 2024"""),

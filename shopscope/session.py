@@ -1,11 +1,11 @@
-"""A session with the settings this library expects."""
+"""A session with the settings this library expects, and its scratch space."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     # Timestamps are zone-less text in the sources; one zone everywhere keeps days and keys equal.
@@ -48,3 +48,12 @@ def scratch_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     return tempfile.mkdtemp(prefix="shopscope-")
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared scratch folder and read back: computed once
+    however often it is used, with a size the planner knows, and safe from the
+    loss of an executor. Runs a job."""
+    path = f"{scratch_dir(df.sparkSession)}/{name}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,20 +6,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, MapType, StringType, StructField, StructType
 
 from ..functions import calendar
-from ..session import scratch_dir
 
 NESTED = (ArrayType, MapType, StructType)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared scratch folder and read back: computed once
-    however often it is used, with a size the planner knows, and safe from the
-    loss of an executor. Runs a job."""
-    path = f"{scratch_dir(df.sparkSession)}/{name}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 import duckdb
 
 TABLES = "region nation customer part orders lineitem events".split()
@@ -16,7 +18,10 @@ TYPES = {
 def connect(folder: str):
     con = duckdb.connect()
     for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet'")
+        files = f"{folder}/{t}.parquet"
+        if os.path.isdir(files):
+            files += "/*.parquet"
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{files}'")
     return con
 
 

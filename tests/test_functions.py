@@ -96,7 +96,8 @@ def test_required_treats_nan_as_missing(spark):
 
 def test_coerce_numeric(spark):
     df = spark.createDataFrame([("1.5",), ("n/a",), (None,)], "v string")
-    assert [r[0] for r in cleaning.coerce_numeric(df, "v").collect()] == [1.5, None, None]
+    assert [r[0] for r in cleaning.coerce_numeric(df, {"v": "double"}).collect()] == [1.5, None, None]
+    assert dict(cleaning.coerce_numeric(spark.range(1), {"id": "double"}).dtypes) == {"id": "bigint"}
 
 
 @pytest.mark.parametrize("typed", [True, False])
