@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopscope.llm import mixing, neardup
+from shopscope.llm import exact, mixing, neardup, urls
 from shopscope.llm.tables import table
 
 
@@ -20,8 +20,37 @@ def op9_hyperminhash(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")]
+
+
+def op10_digest_urls(spark: SparkSession, folder: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "rule string, verdict string")
+    return urls.judge(table(spark, folder, "pages"), rules)
+
+
+def op7_chunk_recipes(spark: SparkSession, folder: str) -> DataFrame:
+    return exact.duplicates(table(spark, folder, "documents")).drop("recipe")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op8_entropy_mix, op9_hyperminhash)
+    f.__name__: f for f in (op7_chunk_recipes, op8_entropy_mix, op9_hyperminhash, op10_digest_urls)
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op7_chunk_recipes": """
+        SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+               doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+        FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+    "op10_digest_urls": r"""
+        WITH rules(host_of, path_of, says) AS (VALUES
+            ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+            ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+        rest AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages),
+        split AS (SELECT page_id, regexp_extract(r, '^[^/?#]*') AS h, r FROM rest),
+        urls AS (SELECT row_number() OVER () AS n, page_id, translate(h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                        regexp_extract(substr(r, length(h) + 1), '^[^?#]*') AS path FROM split),
+        best AS (SELECT n, arg_max(host_of || path_of, length(host_of || path_of)) AS rule,
+                        arg_max(says, length(host_of || path_of)) AS verdict
+                 FROM urls JOIN rules ON (host = host_of OR host LIKE '%.' || host_of) AND starts_with(path, path_of) GROUP BY n)
+        SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM urls LEFT JOIN best USING (n)""",
+}
