@@ -6,9 +6,10 @@ one class and are handled once. Per class:
 
 1. *Sketch.* The top bits of a hash pick one of 256 buckets; the least rest in a bucket is kept as its count of
    leading zeros and ten mantissa bits, 16 bits a register.
-2. *Bands.* 32 bands of 8 registers; classes that agree in a band (empty registers agree, an empty band counts for
-   nothing) come into one cluster. Two sets at the threshold 0.85 share no band with a chance of 4e-5, at 0.9 of 1e-8.
-3. *Estimate.* In a cluster, pairs that share a band and whose collision-corrected estimate is not six
+2. *Bands.* 32 bands of 8 registers; classes that agree in a band come into one cluster. For banding, an empty
+   register borrows the value of another one, by a fixed pseudo-random order of its own, so a band of a short
+   text also samples eight shingles and not one. Two sets at the threshold 0.85 share no band with a chance of 4e-5, at 0.9 of 1e-8.
+3. *Estimate.* In a cluster, pairs whose collision-corrected estimate (of the registers as they were, without loans) is not six
    deviations below the threshold, and whose set sizes allow it, are candidates.
 4. *Verify.* Candidates are compared on their full sets, unless links already found join them.
 
@@ -56,6 +57,35 @@ def sketch(values: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
     return regs
 
 
+#: Where an empty register looks for a value: row t has its t-th choice for each register.
+LOANS = np.random.default_rng(20240301).integers(0, REGISTERS, (4096, REGISTERS))
+
+
+def lend(regs: np.ndarray) -> np.ndarray:
+    """Registers with the empty ones of non-empty sketches filled by loans."""
+    out = regs.copy()
+    row, reg = np.nonzero((regs == EMPTY) & (regs != EMPTY).any(1)[:, None])
+    for choice in LOANS:
+        if not len(row):
+            return out
+        value = regs[row, choice[reg]]
+        got = value != EMPTY
+        out[row[got], reg[got]] = value[got]
+        row, reg = row[~got], reg[~got]
+    for r, k in zip(row.tolist(), reg.tolist()):  # a chance below 1e-4 for a single shingle: the next filled one
+        out[r, k] = np.roll(regs[r], -k)[np.roll(regs[r], -k) != EMPTY][0]
+    return out
+
+
+def band_keys(regs: np.ndarray) -> np.ndarray:
+    """A 64-bit key for each band of each sketch, loans included."""
+    halves = np.ascontiguousarray(lend(regs)).view(np.uint64).reshape(len(regs), -1, BAND // 4)
+    keys = np.zeros(halves.shape[:2], np.uint64) + np.arange(1, halves.shape[1] + 1, dtype=np.uint64)
+    for k in range(halves.shape[2]):
+        keys = mix(keys ^ halves[:, :, k])
+    return keys
+
+
 def set_keys(values: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Size and 128-bit digest of each set: two sums over differently mixed values, mixed with the size."""
     sizes = np.bincount(owner, minlength=n)
@@ -93,19 +123,9 @@ def _keyed_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         regs = np.stack([np.frombuffer(r, np.uint16) for r in batch.column("registers").to_pylist()]) if batch.num_rows else np.zeros((0, REGISTERS), np.uint16)
-        keys, filled = band_keys(regs)
+        keys = band_keys(regs)
         yield pa.record_batch(
-            [batch.column("class"), list_rows(keys[filled].astype(np.int64), filled.sum(1))], ["class", "bands"])
-
-
-def band_keys(regs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit key for each band of each sketch, and whether the band has a register that is not empty."""
-    bands = np.ascontiguousarray(regs).reshape(len(regs), -1, BAND)
-    halves = bands.view(np.uint64).reshape(len(regs), -1, BAND // 4)
-    keys = np.full(halves.shape[:2], 0, np.uint64) + np.arange(1, halves.shape[1] + 1, dtype=np.uint64)
-    for k in range(halves.shape[2]):
-        keys = mix(keys ^ halves[:, :, k])
-    return keys, (bands != EMPTY).any(2)
+            [batch.column("class"), list_rows(keys.reshape(-1).view(np.int64), np.full(len(keys), keys.shape[1]))], ["class", "bands"])
 
 
 def estimate(same: np.ndarray, filled: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> np.ndarray:
@@ -132,9 +152,6 @@ def forest(sizes: np.ndarray, regs: np.ndarray, sets: list[np.ndarray], side: np
             k = parent[k]
         return k
 
-    keys, filled_bands = band_keys(regs)
-    # An empty band must not agree with another: give it a key of its own.
-    keys = np.where(filled_bands, keys, mix(np.arange(n, dtype=np.uint64) + np.uint64(1 << 40))[:, None])
     names, ids = np.unique(np.concatenate(sets) if n else np.zeros(0, np.uint64), return_inverse=True)
     bounds = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
     mark = np.zeros(len(names), bool)
@@ -146,7 +163,6 @@ def forest(sizes: np.ndarray, regs: np.ndarray, sets: list[np.ndarray], side: np
         others = np.flatnonzero(side == 1) if across else left[left > k]
         a, b = sizes[k], sizes[others]
         others = others[100 * np.minimum(a, b) >= percent * np.maximum(a, b)]
-        others = others[(keys[others] == keys[k]).any(1)]
         if not len(others):
             continue
         used = (filled[others] | filled[k]).sum(1)
