@@ -7,8 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopscope.llm import exact, mixing, neardup, urls
-from shopscope.llm.tables import table
+from shopscope.llm import decontaminate, exact, licences, mixing, neardup, piececount, toxicity, urls
+from shopscope.llm.tables import table, vocabulary
+
+
+def op2_dice_licences(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.scan(table(spark, folder, "documents"))
+
+
+def op4_subword_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    scored = toxicity.score(docs, toxicity.fit_on(docs, table(spark, folder, "labels")))
+    return scored.select(
+        "doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+def op5_piece_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return piececount.count_pieces(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+def op6_template_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
 def op8_entropy_mix(spark: SparkSession, folder: str) -> DataFrame:
@@ -33,7 +52,7 @@ def op7_chunk_recipes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op7_chunk_recipes, op8_entropy_mix, op9_hyperminhash, op10_digest_urls)
+    f.__name__: f for f in (op2_dice_licences, op4_subword_toxicity, op5_piece_counts, op6_template_leaks, op7_chunk_recipes, op8_entropy_mix, op9_hyperminhash, op10_digest_urls)
 }
 
 ORACLE_SQL: dict[str, str] = {
