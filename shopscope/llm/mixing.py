@@ -33,7 +33,7 @@ from shopscope.session import stored
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
 MOST = 2
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000
 STEPS = 40
 
 

@@ -7,10 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopscope.llm import decontaminate, exact, licences, mixing, neardup, piececount, toxicity, urls
+from shopscope.llm import decontaminate, exact, langmodel, licences, mixing, neardup, piececount, tokenfiles, toxicity, urls
 from shopscope.llm.tables import table, vocabulary
 
 
+def op1_wavelet_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    return tokenfiles.encode(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+def op3_maxent_scores(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model, counts, n, v = langmodel.train(docs.filter(~langmodel.held_out()))
+    return langmodel.score(docs, model, counts, n, v).withColumn("held_out", langmodel.held_out())
+
+
 def op2_dice_licences(spark: SparkSession, folder: str) -> DataFrame:
     return licences.scan(table(spark, folder, "documents"))
 
@@ -52,7 +62,7 @@ def op7_chunk_recipes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_dice_licences, op4_subword_toxicity, op5_piece_counts, op6_template_leaks, op7_chunk_recipes, op8_entropy_mix, op9_hyperminhash, op10_digest_urls)
+    f.__name__: f for f in (op1_wavelet_tokens, op2_dice_licences, op3_maxent_scores, op4_subword_toxicity, op5_piece_counts, op6_template_leaks, op7_chunk_recipes, op8_entropy_mix, op9_hyperminhash, op10_digest_urls)
 }
 
 ORACLE_SQL: dict[str, str] = {
