@@ -39,7 +39,7 @@ ROWS = 1 << 14
 HEAD = 1 << 17
 ROUNDS = 3
 BATCH = 1 << 13
-RATE = 0.3
+RATE = 0.1
 PIECES = 64
 END = np.uint64(hash_bytes(b"\x20end"))
 START = np.uint64(hash_bytes(b"\x20start"))
