@@ -7,7 +7,7 @@ and the windows of a document meet those of the benchmark in a hash join. Window
 plain tokens say nothing and do not count, unless an item has no others.
 
 For each item that a document meets, window pairs vote for an alignment (document place minus
-item place, in steps of half the item), so only windows that lie together count. A document holds an item if at least
+item place; the stretch of half an item's length with most votes wins), so only windows that lie together count. A document holds an item if at least
 ``share`` of the item's distinct windows occur in one such stretch and the placeholders agree: every value that the item has in a slot must
 stand for one value of the same type in the document (2 and 5 may become 7 and 9, but both 2s must become 7). That catches
 re-parameterised questions and keeps apart texts that only share a form.
@@ -73,7 +73,7 @@ class Template:
         number = digit[self.starts]
         fresh = np.zeros(len(self.starts), bool)
         fresh[self.of[:-1][self.of[:-1] < len(fresh)]] = True
-        stops = np.concatenate([[0], np.cumsum(_STOP[buf])])
+        stops = np.concatenate([[0], np.cumsum(_STOP[buf], dtype=np.int32)])
         fresh[1:] |= stops[self.starts[1:]] > stops[ends[:-1]]
         after = np.zeros(len(buf) + 1, np.uint8)
         after[:len(buf)] = buf
@@ -107,10 +107,9 @@ class Index:
         grams, at, plain = t.windows()
         owner = np.searchsorted(t.of, at, side="right") - 1
         counted = plain >= PLAIN
-        for k in range(len(items)):
-            own = owner == k
-            if not counted[own].any():
-                counted[own] = True
+        telling = np.zeros(len(items), bool)
+        telling[owner[counted]] = True
+        counted |= ~telling[owner]
         grams, at, owner = grams[counted], at[counted], owner[counted]
         self.short: dict[int, list[int]] = {}
         for k in np.flatnonzero((np.diff(t.of) < WIDTH) & (np.diff(t.of) > 0)).tolist():
@@ -121,7 +120,11 @@ class Index:
                 self.short_keys[n][int(ngram_hashes(t.codes[t.of[k]:t.of[k + 1]], n)[0])].append(k)
         order = np.argsort(grams, kind="stable")
         self.grams, self.at, self.owner = grams[order], at[order], owner[order]
-        self.sizes = np.array([len(np.unique(grams[owner == k])) for k in range(len(items))])
+        by_item = np.lexsort((grams, owner))
+        grams, owner = grams[by_item], owner[by_item]
+        fresh = np.ones(len(grams), bool)
+        fresh[1:] = (grams[1:] != grams[:-1]) | (owner[1:] != owner[:-1])
+        self.sizes = np.bincount(owner[fresh], minlength=len(items))
         self.lengths = np.diff(t.of)
         # A bit for the top 24 bits of every window turns away nearly all others in one step.
         self.sieve = np.zeros(1 << 24, bool)
@@ -219,3 +222,23 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, ag
     if result is None:
         result = docs.sparkSession.createDataFrame([], "doc_id long, item_id long, windows long, share double, slot_agreement double")
     return result
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, agree: float = AGREE, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
+    """The rows of ``docs``, all columns, that hold no benchmark item."""
+    for part in blocks(benchmark, block_windows):
+        docs = docs.mapInArrow(_filter(docs.sparkSession.sparkContext.broadcast(part), share, agree), docs.schema)
+    return docs
+
+
+def _filter(shared, share: float, agree: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = Index(shared.value)
+        for piece in slices(batches):
+            keep = np.ones(piece.num_rows, bool)
+            for text, _, _, part, same in index.matches(Template(piece.column("text"))):
+                if part >= share and same >= agree:
+                    keep[text] = False
+            yield piece.filter(pa.array(keep))
+
+    return run

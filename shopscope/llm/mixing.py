@@ -155,3 +155,20 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST
         lambda batches: round_copies(batches, most),
         "doc_id long, text_key long, source string, size long, source_size long, target double, rate double, copies int")
     return copied.withColumn("taken", F.col("copies") * F.col("size"))
+
+
+def mixed(docs: DataFrame, **settings) -> DataFrame:
+    """The rows of ``docs``, all columns, each as often as the mix takes it. Runs jobs.
+
+    Rows that share id, text and source are copies of one document: what the mix takes of them is summed and
+    given out as that many rows.
+    """
+    def keys(text_key: F.Column) -> list[F.Column]:
+        # Two hashes that are never null, so nulls need no care in the join.
+        return [F.xxhash64(F.col("doc_id"), text_key, F.col("source")).alias("__one"),
+                F.xxhash64(F.lit(1), F.col("source"), text_key, F.col("doc_id")).alias("__two")]
+
+    taken = mix(docs, **settings).select(*keys(F.col("text_key")), "copies").groupBy("__one", "__two").agg(F.sum("copies").cast("int").alias("__copies"))
+    once = docs.select("*", *keys(F.xxhash64("text"))).dropDuplicates(["__one", "__two"])
+    times = F.explode(F.array_repeat(F.lit(1), F.col("__copies")))
+    return once.join(taken, ["__one", "__two"]).select(*[F.col(f"`{c}`") for c in docs.columns], times.alias("__time")).drop("__time")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,6 +65,7 @@ def op7_chunk_recipes(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_wavelet_tokens, op2_dice_licences, op3_maxent_scores, op4_subword_toxicity, op5_piece_counts, op6_template_leaks, op7_chunk_recipes, op8_entropy_mix, op9_hyperminhash, op10_digest_urls)
 }
+QUERIES["pipeline"] = corpus_pipeline.run
 
 ORACLE_SQL: dict[str, str] = {
     "op7_chunk_recipes": """
