@@ -1,7 +1,7 @@
 """Benchmark decontamination by canonical templates (operator 6).
 
 Tokens are runs of letters and digits (any byte from 0x80 on counts as a letter; a point or comma between digits
-belongs to the number). Numbers, units after a number, and names (a capital inside a sentence) become
+belongs to the number). Numbers, units after a number, and names (a capital inside a sentence, not followed by another) become
 typed placeholders, other tokens their lower-cased form. Every five template tokens make a window; windows are hashed,
 and the windows of a document meet those of the benchmark in a hash join. Windows with fewer than two
 plain tokens say nothing and do not count, unless an item has no others.
@@ -79,7 +79,8 @@ class Template:
         after[:len(buf)] = buf
         second = after[self.starts + 1]
         capital = ((head >= 65) & (head <= 90)) | ((head == 0xC3) & (second >= 0x80) & (second <= 0x9E))
-        name = capital & ~fresh
+        # A word in capitals throughout is emphasis, not a name.
+        name = capital & ~fresh & ~((second >= 65) & (second <= 90))
         unit = np.zeros(len(number), bool)
         unit[1:] = number[:-1] & np.isin(self.values[1:], _UNIT_HASHES)
         unit[self.of[:-1][self.of[:-1] < len(unit)]] = False
