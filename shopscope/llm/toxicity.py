@@ -36,6 +36,7 @@ DIM = 8
 WINDOW = 8
 SIZES = (3, 4, 5, 6)
 MOST_ROWS = 4000
+STRETCH = 20_000
 SHARPNESS = 3.0
 THRESHOLD = 0.3
 
@@ -101,14 +102,16 @@ def train(texts: list[str | None], labels: np.ndarray, prior: float, steps: int
     only = Words(pa.array([], pa.string()))
     only.buf, only.starts, only.ends = words.buf, words.starts[first_at], words.ends[first_at]
     bucket, owner = subwords(only)
-    order = np.argsort(owner, kind="stable")
+    order = np.argsort(owner, kind="stable").astype(np.int32)
     bucket, owner = bucket[order], owner[order]
+    del order
     per_word = np.bincount(owner, minlength=len(hashes)).astype(np.float32)
     starts = np.concatenate([[0], np.cumsum(per_word)[:-1]]).astype(np.int64)
     used, bucket = np.unique(bucket, return_inverse=True)
-    by_bucket = np.argsort(bucket, kind="stable")
-    bucket_starts = np.searchsorted(bucket[by_bucket], np.arange(len(used)))
-    owner_by_bucket = owner[by_bucket]
+    bucket = bucket.astype(np.int32)
+    bucket_starts = np.concatenate([[0], np.cumsum(np.bincount(bucket))[:-1]])
+    owner_by_bucket = owner[np.argsort(bucket, kind="stable").astype(np.int32)]
+    del owner
     first, end, text = windows(words)
     n = np.maximum(1, span_sums(per_word[word_of], first, end))
     text_starts = np.flatnonzero(np.concatenate([[True], text[1:] != text[:-1]])) if len(text) else np.zeros(0, int)
@@ -121,9 +124,14 @@ def train(texts: list[str | None], labels: np.ndarray, prior: float, steps: int
     bias = 0.0
     seen_table = np.full(table.shape, 1e-6, np.float32)
     seen_out, seen_bias = np.full(DIM, 1e-6), 1e-6
+    word_vec, window_vec = np.empty((len(starts), DIM), np.float32), np.empty((len(first), DIM))
     for _ in range(steps):
-        word_vec = np.add.reduceat(table[bucket], starts, axis=0)
-        window_vec = span_sums(word_vec[word_of], first, end) / n[:, None]
+        # In stretches and by dimension, so no table of all subwords or of all places is made.
+        for at in range(0, len(starts), STRETCH):
+            a, b = starts[at], starts[at + STRETCH] if at + STRETCH < len(starts) else len(bucket)
+            word_vec[at:at + STRETCH] = np.add.reduceat(table[bucket[a:b]], starts[at:at + STRETCH] - a, axis=0)
+        for d in range(DIM):
+            window_vec[:, d] = span_sums(word_vec[word_of, d], first, end) / n
         logit = window_vec @ out + bias
         # Weight of each window within its text: softmax of its logit.
         top = np.repeat(np.maximum.reduceat(logit, text_starts), size)
