@@ -4,7 +4,7 @@ Tokens are the lower-cased (A-Z) words ``[^\\x20\\x09-\\x0D]+`` and one end per
 
     P(token | history) = P(class | history) * P(slot | class, history) * P(token | slot)
 
-* A token's class comes from its last bytes (``CLASSES`` classes, so any word has one, also an unseen one).
+* A token's class comes from its last three bytes (``CLASSES`` classes, so any word has one, also an unseen one).
 * Slots are the ``SLOTS - 1`` most frequent tokens of the class and one slot for its other tokens.
 * The first two factors are softmaxes with hashed features: the word before, the one before that (a skip), both
   together, and the classes of the two words before. Each feature picks a row of a weight table.
@@ -38,7 +38,7 @@ SLOTS = 32
 ROWS = 1 << 14
 HEAD = 1 << 17
 ROUNDS = 3
-BATCH = 1 << 13
+BATCH = 1 << 12
 RATE = 0.1
 PIECES = 64
 END = np.uint64(hash_bytes(b"\x20end"))
@@ -53,11 +53,11 @@ class Tokens:
         n = len(words.of) - 1
         lengths = words.ends - words.starts
         buf = words.buf
-        # The class: a hash of the last two letters or so, punctuation included.
+        # The class: a hash of the last three bytes, punctuation included.
         last = buf[words.ends - 1].astype(np.uint64) if len(words) else np.zeros(0, np.uint64)
         third = np.where(lengths > 2, buf[words.ends - np.minimum(lengths, 3)] if len(words) else 0, 0).astype(np.uint64)
         second = np.where(lengths > 1, buf[words.ends - np.minimum(lengths, 2)] if len(words) else 0, 0).astype(np.uint64)
-        kinds = (mix(last | (second << np.uint64(8)) | (third << np.uint64(16))) >> np.uint64(40)) % np.uint64(CLASSES)
+        kinds = (mix(last | (second << np.uint64(8)) | (third << np.uint64(16))) >> np.uint64(40)) & np.uint64(CLASSES - 1)
         self.of = words.of + np.arange(n + 1)
         self.hashes = np.insert(words.hashes(), words.of[1:], END)
         self.classes = np.insert(kinds.astype(np.int64), words.of[1:], 0)
@@ -75,10 +75,10 @@ class Tokens:
         one[first], two[second] = START, START
         c1, c2 = np.roll(c, 1), np.roll(c, 2)
         c1[first], c2[second] = np.uint64(CLASSES), np.uint64(CLASSES)
-        rows = np.uint64(ROWS)
+        rows = np.uint64(ROWS - 1)
         pair = c1 * np.uint64(64) + c2
-        return [(mix(one ^ np.uint64(1)) % rows).astype(np.int64), (mix(two ^ np.uint64(2)) % rows).astype(np.int64),
-                (mix(one * np.uint64(3) + two) % rows).astype(np.int64), (mix(pair + np.uint64(1 << 32)) % rows).astype(np.int64)]
+        return [(mix(one ^ np.uint64(1)) & rows).astype(np.int64), (mix(two ^ np.uint64(2)) & rows).astype(np.int64),
+                (mix(one * np.uint64(3) + two) & rows).astype(np.int64), (mix(pair + np.uint64(1 << 32)) & rows).astype(np.int64)]
 
 
 class Lookup:
@@ -173,12 +173,12 @@ class Model:
             grad_a[np.arange(len(c)), c] -= 1
             grad_b[np.arange(len(c)), s] -= 1
             for group, grad in ((first, grad_a), (second, grad_b)):
-                index = np.concatenate(group)
+                index = np.concatenate(group).astype(np.uint16)  # 2 * ROWS numbers at most: sorted by radix
                 order = np.argsort(index, kind="stable")
                 index = index[order]
                 starts = np.flatnonzero(np.concatenate([[True], index[1:] != index[:-1]]))
                 sums = np.add.reduceat(grad[order % len(c)], starts, axis=0)
-                row = index[starts]
+                row = index[starts].astype(np.int64)
                 seen[row] += (sums ** 2).mean(1)
                 self.weights[row] -= RATE * sums / np.sqrt(seen[row] + 1.0)[:, None]
 
@@ -218,6 +218,22 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                               ["token", "class", "n"])
 
 
+def frequent_from(counts: DataFrame, most: int = HEAD) -> int:
+    """The least count from which on there are at most ``most`` tokens, to a 64th of a power of two.
+
+    Counts are tallied by their logarithm, so a few thousand numbers reach the driver at any size.
+    """
+    step = F.floor(F.log2("n") * 64)
+    tally = counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("tokens"), F.min("n").alias("n")).collect()
+    total, least = 0, 1 << 62
+    for row in sorted(tally, key=lambda r: -r.step):
+        total += row.tokens
+        if total > most:
+            break
+        least = row.n
+    return least
+
+
 def _learner(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -262,7 +278,7 @@ def train(docs: DataFrame, rounds: int = ROUNDS) -> tuple[Model, DataFrame, int,
     counts = stored(texts.mapInArrow(_counts, "token long, class int, n long").groupBy("token", "class").agg(F.sum("n").alias("n")), "counts")
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     per_class = {r["class"]: r for r in counts.groupBy("class").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect()}
-    head = counts.orderBy(F.col("n").desc(), "token").limit(HEAD).toPandas()
+    head = counts.filter(F.col("n") >= frequent_from(counts)).toPandas()
     model = Model(head["token"].to_numpy(np.int64).view(np.uint64), head["n"].to_numpy(np.int64), head["class"].to_numpy(np.int64),
                   np.array([per_class[k].n if k in per_class else 0 for k in range(CLASSES)], np.float64),
                   np.array([per_class[k].v if k in per_class else 0 for k in range(CLASSES)], np.float64))
