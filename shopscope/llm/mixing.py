@@ -11,7 +11,7 @@ over a table of distinct (source, size) pairs; no multiplier passes through the
 Rates become copies by error feedback: within a bucket of one source, in falling
 order of size, a document takes the number of copies that brings the words taken
 nearest to the sum of sizes times rates so far. What is left over at the end of a
-bucket is about half of its smallest document. Buckets are hash ranges of a
+bucket is about half of its smallest document, or up to half of a document that outweighs the rest of its bucket. Buckets are hash ranges of a
 source, so a hot source is many buckets and no task holds a whole source.
 
 Nulls: a null text has size 0 (and rate 1, zero words taken); a null source is a

@@ -217,7 +217,8 @@ def test_mix(texts):
         taken[r.source] = taken.get(r.source, 0) + r.taken
         longest[r.source] = max(longest.get(r.source, 0), r.size)
     for source, target in want.items():
-        assert abs(taken[source] - target) <= max(30, 0.01 * target)
+        # Copies are whole: a text that outweighs the rest of its bucket can leave half of itself over.
+        assert abs(taken[source] - target) <= max(30, 0.01 * target, longest[source] / 2)
     again = mixing.mix(docs.repartition(7), bucket_rows=100).collect()
     key = lambda rows: sorted((r.doc_id, r.taken) for r in rows)
     assert key(again) == key(got)
