@@ -13,7 +13,7 @@ token files, which Spark writes and commits as Parquet. A shard's bytes alone an
 k-th occurrence; each touches a block or two per plane. ``ids()`` unpacks a whole shard plane by plane from the last to the first.
 
 Encoding gives the tokenizer library's own ids. Texts are cut before single blanks (and line breaks) with an
-ASCII character that is no white space on one side and none of ASCII's white space on the other, where the byte-level rules always start a new piece; equal cuts of a
+ASCII character that is no white space on one side and none of ASCII's white space on the other, and between an ASCII letter and an ASCII sign. The byte-level rules always start a new piece there. Equal cuts of a
 slice are encoded once, and their bytes are compared in full, so a hash never decides.
 
 Null and empty texts have only the end id. Rows of one id are in order of their text; null ids come first. Empty tables give files without rows.
@@ -38,8 +38,9 @@ from shopscope.session import scratch_dir
 
 END_ID = 2
 SHARD_TOKENS = 1 << 19
-SLICE = 8 << 20
+SLICE = 3 << 20
 BLOCK_BITS = 1 << 15
+KNOWN_WORDS = 1 << 18
 MAGIC = b"WAVELET1"
 FILE_SCHEMA = "part int, shard int, n_tokens long, bytes binary"
 
@@ -52,6 +53,9 @@ class Encoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
+        # Cuts are distinct already; the library's own cache would only cost time.
+        self.tokenizer.model._resize_cache(0)
+        self.known: dict[bytes, list[int]] = {}
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         #: Bytes that an id stands for: a character each in the byte-level alphabet; -1 for added tokens.
         self.widths = np.zeros(max(vocabulary.values()) + 1, np.int64)
@@ -67,6 +71,10 @@ class Encoder:
         ink = solid.copy()
         ink[128:] = True
         self.gap, self.solid, self.ink = gap, solid, ink
+        self.letter = np.zeros(256, bool)
+        self.letter[65:91] = self.letter[97:123] = True
+        self.point = solid & ~self.letter
+        self.point[48:58] = False
 
     def plain(self, text: bytes) -> list[int]:
         return self.tokenizer.encode(text.decode(), add_special_tokens=False).ids
@@ -81,6 +89,7 @@ class Encoder:
         cut = np.zeros(len(buf) + 1, bool)
         before, after = buf[:-2], buf[2:]
         cut[1:-2] = self.gap[buf[1:-1]] & ((self.solid[before] & self.ink[after]) | (self.ink[before] & self.solid[after]))
+        cut[1:-1] |= self.letter[buf[:-1]] & self.point[buf[1:]]
         cut[bounds] = True
         edges = np.flatnonzero(cut)
         starts, ends = edges[:-1], edges[1:]
@@ -90,8 +99,10 @@ class Encoder:
         _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
         lengths = ends - starts
         # Every cut must equal the one that stands for it, byte by byte.
-        like = np.repeat(starts[first][which] - starts, lengths) + np.arange(len(buf))
-        if (lengths[first][which] != lengths).any() or (buf[np.minimum(like, len(buf) - 1)] != buf).any():
+        kind = np.int32 if len(buf) < 1 << 31 else np.int64
+        like = np.repeat((starts[first][which] - starts).astype(kind), lengths)
+        like += np.arange(len(buf), dtype=kind)
+        if (lengths[first][which] != lengths).any() or (buf.take(like, mode="clip") != buf).any():
             odd = list(range(n))
         ids_of, counts_of = self._distinct(raw, starts[first], ends[first])
         at = np.concatenate([[0], np.cumsum(counts_of)])
@@ -109,48 +120,71 @@ class Encoder:
         return ids, totals
 
     def _distinct(self, raw: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of distinct cuts, encoded many to a text: cuts that begin with a blank and an ASCII character can follow any that ends without white space."""
-        joins = np.zeros(len(starts), bool)
+        """Ids of distinct cuts in order, and the number of ids of each.
+
+        A blank and ASCII letters are one piece before merging, so they go straight to the library's merges. Other cuts that begin with a blank and an
+        ASCII sign or digit can follow any that ends without white space, and are encoded many to a text; the rest one by one.
+        """
         buf = np.frombuffer(raw, np.uint8)
+        lengths = ends - starts
         begin, second = buf[starts], buf[np.minimum(starts + 1, len(buf) - 1)]
-        tail = self.ink[buf[ends - 1]]
-        joins[:] = (begin == 0x20) & self.solid[second] & (ends - starts > 1) & tail
-        ids = [np.zeros(0, np.uint32)] * len(starts)
-        together = np.flatnonzero(joins)
+        letters = np.concatenate([[0], np.cumsum(self.letter[buf], dtype=np.int64)])
+        words = (begin == 0x20) & (lengths > 1) & (letters[ends] - letters[starts] == lengths - 1)
+        joins = (begin == 0x20) & (lengths > 1) & self.solid[second] & self.ink[buf[ends - 1]] & ~words
         counts = np.zeros(len(starts), np.int64)
-        out = []
-        lengths = (ends - starts)[together]
-        total = np.cumsum(lengths)
-        group = total // 16384
-        at = 0
-        texts, groups = [], []
-        starts_list, ends_list = starts[together].tolist(), ends[together].tolist()
-        bounds = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1], [True]])).tolist() if len(together) else [0]
-        for a, b in zip(bounds[:-1], bounds[1:]):
-            texts.append(b"".join(raw[starts_list[k]:ends_list[k]] for k in range(a, b)).decode())
-            groups.append((a, b))
-        for at in range(0, len(texts), 16):
-            for encoding, (a, b) in zip(self.tokenizer.encode_batch(texts[at:at + 16], add_special_tokens=False), groups[at:at + 16]):
-                got = np.array(encoding.ids, np.uint32)
-                place = np.cumsum(self.widths[got])
-                edge = np.searchsorted(place, np.cumsum(lengths[a:b]), side="right")
-                counts[together[a:b]] = np.diff(np.concatenate([[0], edge]))
-                out.append(got)
-        alone = np.flatnonzero(~joins).tolist()
-        for at in range(0, len(alone), 512):
-            some = alone[at:at + 512]
-            for k, encoding in zip(some, self.tokenizer.encode_batch([raw[starts[k]:ends[k]].decode() for k in some], add_special_tokens=False)):
-                ids[k] = np.array(encoding.ids, np.uint32)
-                counts[k] = len(ids[k])
-        # Ids in order of the cuts.
-        flat_ids = np.empty(counts.sum(), np.uint32)
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def add(which: np.ndarray, found: list) -> None:
+            parts.append((which, np.concatenate(found) if found else np.zeros(0, np.uint32)))
+
+        which = np.flatnonzero(words)
+        merge, known, got, sizes = self.tokenizer.model.tokenize, self.known, [], []
+        for a, b in zip((starts[which] + 1).tolist(), ends[which].tolist()):
+            word = raw[a:b]
+            found = known.get(word)
+            if found is None:
+                found = [t.id for t in merge("\u0120" + word.decode())]  # the byte-level character of a blank
+                if b - a < 32:
+                    known[word] = found
+            sizes.append(len(found))
+            got += found
+        counts[which] = sizes
+        add(which, [np.array(got, np.uint32)])
+        if len(known) > KNOWN_WORDS:
+            known.clear()
+
+        which = np.flatnonzero(joins)
+        group = np.cumsum(lengths[which]) // 1024
+        edges = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1], [True]])).tolist() if len(which) else []
+        spans = list(zip(starts[which].tolist(), ends[which].tolist()))
+        runs = list(zip(edges[:-1], edges[1:]))
+        found = []
+        for at in range(0, len(runs), 64):
+            some = runs[at:at + 64]
+            texts = [b"".join(raw[x:y] for x, y in spans[a:b]).decode() for a, b in some]
+            for encoding, (a, b) in zip(self.tokenizer.encode_batch(texts, add_special_tokens=False), some):
+                ids = np.array(encoding.ids, np.uint32)
+                edge = np.searchsorted(np.cumsum(self.widths[ids]), np.cumsum(lengths[which[a:b]]), side="right")
+                counts[which[a:b]] = np.diff(np.concatenate([[0], edge]))
+                found.append(ids)
+        add(which, found)
+
+        which = np.flatnonzero(~words & ~joins)
+        found = []
+        for at in range(0, len(which), 512):
+            some = which[at:at + 512]
+            encodings = self.tokenizer.encode_batch([raw[starts[k]:ends[k]].decode() for k in some], add_special_tokens=False)
+            for k, encoding in zip(some, encodings):
+                counts[k] = len(encoding.ids)
+                found.append(np.array(encoding.ids, np.uint32))
+        add(which, found)
+
+        ids = np.empty(counts.sum(), np.uint32)
         place = np.cumsum(counts) - counts
-        if len(together):
-            n = counts[together]
-            flat_ids[np.repeat(place[together] - (np.cumsum(n) - n), n) + np.arange(n.sum())] = np.concatenate(out)
-        for k in alone:
-            flat_ids[place[k]:place[k] + counts[k]] = ids[k]
-        return flat_ids, counts
+        for which, values in parts:
+            n = counts[which]
+            ids[np.repeat(place[which] - (np.cumsum(n) - n), n) + np.arange(n.sum())] = values
+        return ids, counts
 
 
 def pack(ids: np.ndarray, doc_ids: list[int | None], counts: np.ndarray) -> bytes:
