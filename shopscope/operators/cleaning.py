@@ -124,14 +124,16 @@ def clean_transactions(transactions: DataFrame, strict: bool = True) -> DataFram
     })
 
 
-def clean_sessions(sessions: DataFrame, strict: bool = True) -> DataFrame:
+def clean_sessions(sessions: DataFrame, strict: bool = True, nested: bool | None = None) -> DataFrame:
+    """``nested`` keeps the nested columns, which the lenient variant drops by itself."""
     if strict:
         sessions = required(sessions, "session_id", "user_id", "start_time")
     device = {"device_type": "type", "device_os": "os"} | ({"device_browser": "browser"} if strict else {})
     sessions = flatten(sessions, "device_profile", device)
     sessions = parse_timestamp(sessions, "start_time", *(["end_time"] if strict else []))
     sessions = add_sizes(sessions.filter(F.col("duration_seconds") > 0))
-    return sessions if strict else sessions.drop("cart_contents", "page_views")
+    keep = strict if nested is None else nested
+    return sessions if keep else sessions.drop("cart_contents", "page_views")
 
 
 def add_sizes(sessions: DataFrame) -> DataFrame:

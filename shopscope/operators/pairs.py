@@ -10,9 +10,9 @@ large, skewed input:
 * A basket with more than ``block`` distinct items is *wide*. ``item_pairs``,
   whose result is all pairs, cuts it into item blocks and makes every pair of
   blocks its own join key: no key holds more than about ``2 * block`` rows.
-* ``top_pairs`` forms no pairs in wide baskets as long as they alone cannot
-  lift a pair into the answer, and drops the items that cannot be in a leading
-  pair before any pair is formed. It loses nothing: see there.
+* ``top_pairs`` forms pairs of wide baskets among those items only that wide
+  baskets alone could lift into the answer, and drops the items that cannot be in
+  a leading pair before any pair is formed. It loses nothing: see there.
 """
 
 from __future__ import annotations
@@ -21,15 +21,12 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import stored
 
 BLOCK = 1024
 
-# Up to this many pairs are counted outright: looking for bounds would cost more.
-FEW_PAIRS = 2e7
-
 
 @dataclass(frozen=True)
 class Signal:
@@ -66,23 +63,21 @@ def bags(signals: Sequence[Signal]) -> DataFrame:
     return rows.groupBy("signal", "basket", "item").agg(F.count("*").alias("copies"))
 
 
-def special_baskets(bag: DataFrame, block: int = BLOCK) -> tuple[DataFrame, float]:
+def special_baskets(bag: DataFrame, block: int = BLOCK) -> DataFrame:
     """Baskets that are wide or repeat an item, with the number of their item
-    blocks and their largest multiplicity; and how many pairs all baskets have.
+    blocks and their largest multiplicity.
 
     The list is written, so that the planner knows its size: small, it is
     broadcast; if not, it is shuffled.
     """
     n = F.col("n")
-    total = Observation("pairs")
     listed = (
         bag.groupBy("signal", "basket")
         .agg(F.count("*").alias("n"), F.max("copies").alias("most"))
-        .observe(total, F.sum(n.cast("double") * (n - 1) / 2).alias("pairs"))
         .filter((n > block) | (F.col("most") > 1))
         .select("signal", "basket", F.ceil(n / block).cast("int").alias("blocks"), "most")
     )
-    return stored(listed, "special_baskets"), total.get["pairs"] or 0.0
+    return stored(listed, "special_baskets")
 
 
 def with_blocks(bag: DataFrame, special: DataFrame) -> DataFrame:
@@ -90,12 +85,14 @@ def with_blocks(bag: DataFrame, special: DataFrame) -> DataFrame:
     return bag.join(special, ["signal", "basket"], "left").fillna({"blocks": 1, "most": 1})
 
 
-def count_pairs(bag: DataFrame, signals: Sequence[Signal]) -> DataFrame:
-    """(item_a, item_b, one count per signal) with item_a < item_b."""
+def count_pairs(bag: DataFrame, signals: Sequence[Signal], reach: bool = False) -> DataFrame:
+    """(item_a, item_b, one count per signal) with item_a < item_b. With
+    ``reach``, also the smaller ``reach`` of the two items."""
+    carried = ["reach"] if reach else []
     own = F.pmod(F.xxhash64("item"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     cells = (
-        bag.select("signal", "basket", "item", "copies", own.alias("own"), other.alias("other"))
+        bag.select("signal", "basket", "item", "copies", *carried, own.alias("own"), other.alias("other"))
         .withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")})
         .drop("other")
     )
@@ -107,16 +104,17 @@ def count_pairs(bag: DataFrame, signals: Sequence[Signal]) -> DataFrame:
     together = joined.select(
         F.col("a.item").alias("item_a"), F.col("b.item").alias("item_b"), F.col("a.signal").alias("signal"),
         (F.col("a.copies") * F.col("b.copies")).alias("copies"),
+        *(F.least(f"a.{c}", f"b.{c}").alias(c) for c in carried),
     )
-    return _sum_by_pair(together, signals)
+    return _sum_by_pair(together, signals, *(F.max(c).alias(c) for c in carried))
 
 
-def _sum_by_pair(together: DataFrame, signals: Sequence[Signal]) -> DataFrame:
+def _sum_by_pair(together: DataFrame, signals: Sequence[Signal], *more: Column) -> DataFrame:
     """Rows (item_a, item_b, signal, copies) summed to one count per signal."""
     return together.groupBy("item_a", "item_b").agg(*(
         F.sum(F.when(F.col("signal") == n, F.col("copies")).otherwise(0)).alias(s.name)
         for n, s in enumerate(signals)
-    ))
+    ), *more)
 
 
 def _count_in(bag: DataFrame, candidates: DataFrame, signals: Sequence[Signal]) -> DataFrame:
@@ -136,8 +134,7 @@ def item_pairs(rows: DataFrame, basket: str, item: str, name: str = "pair_count"
     """All pairs that share a basket, with their counts."""
     signals = [Signal(rows, basket, item, name)]
     bag = stored(bags(signals), "bags")
-    special, _ = special_baskets(bag, block)
-    return count_pairs(with_blocks(bag, special), signals)
+    return count_pairs(with_blocks(bag, special_baskets(bag, block)), signals)
 
 
 def score(signals: Sequence[Signal]):
@@ -155,43 +152,46 @@ def top_pairs(
     limit: int,
     seeds: int | None = None,
     block: int = BLOCK,
-    few: float = FEW_PAIRS,
+    scale: int | None = None,
 ) -> DataFrame:
     """The ``limit`` best pairs by weighted count, ties by item ids, among the
-    items listed in ``known`` (one column, ``item``).
+    items listed in ``known`` (one column, ``item``). With ``scale``, the score is
+    rounded to so many places before pairs are ranked.
 
-    Where the baskets have no more than ``few`` pairs, all are counted. Beyond
-    that, the pairs among the ``seeds`` items of highest bound are counted first, and
-    their ``limit``-th score is a floor for the answer. It serves twice.
+    The pairs among the ``seeds`` items of highest bound are counted first, and
+    their ``limit``-th score is a floor for the answer. It serves three times; the
+    plan is the same at every size.
 
     *Items.* No pair scores above the bound of either of its items, the weighted
     sum of copies times the basket's largest multiplicity. An item whose bound
     lies under the floor can be in no answer pair, and its rows are dropped. On
     skewed data that leaves a small part of the rows.
 
-    *Wide baskets.* All of them together add at most the weighted sum of their
-    squared multiplicities to a pair. Where that stays under the floor, a pair
-    found in wide baskets only is out, and so is one whose count in the others
-    falls short by more than that. The wide baskets are then only asked for the
-    pairs that are left. Otherwise they are cut into blocks like the rest.
+    *Pairs of other baskets.* The same sum over wide baskets only is an item's
+    reach: wide baskets add no more than the smaller reach of its two items to a
+    pair. A pair of the other baskets that falls short of the floor by more than
+    that is out; the rest look up their count in the wide baskets.
+
+    *Pairs of wide baskets.* A pair that meets in wide baskets only needs two
+    items with a reach of the floor at least. Pairs of wide baskets are formed
+    among those items only, in blocks.
     """
     if seeds is None:
         seeds = max(64, 2 * math.isqrt(2 * limit) + 1)
     plain = stored(bags(signals), "bags")
-    special, formed = special_baskets(plain, block)
-    bag = with_blocks(plain, special)
-    if formed <= few:
-        return _best(count_pairs(bag.join(known, "item", "left_semi"), signals), signals, limit)
+    bag = with_blocks(plain, special_baskets(plain, block))
+    wide = F.col("blocks") > 1
 
     weight = F.element_at(F.array(*(F.lit(float(s.weight)) for s in signals)), F.col("signal") + 1)
+    most = F.col("copies") * F.col("most") * weight
     bounds = stored(
         bag.groupBy("item")
-        .agg(F.sum(F.col("copies") * F.col("most") * weight).alias("bound"))
-        .join(known.select("item", F.lit(True).alias("known")), "item", "left"),
+        .agg(F.sum(most).alias("bound"), F.sum(F.when(wide, most).otherwise(0.0)).alias("reach"))
+        .join(known, "item", "left_semi"),
         "item_bounds",
     )
 
-    seed_items = bounds.filter("known").orderBy(F.desc("bound"), "item").limit(seeds).select("item")
+    seed_items = bounds.orderBy(F.desc("bound"), "item").limit(seeds).select("item")
     seed_scores = (
         count_pairs(bag.join(F.broadcast(seed_items), "item", "left_semi"), signals)
         .select(score(signals).alias("score"))
@@ -199,23 +199,21 @@ def top_pairs(
         .limit(limit)
     )
     found, lowest = seed_scores.agg(F.count("*"), F.min("score")).first()
-    # Just under the exact value, to cover the rounding of fractional weights.
-    floor = lowest * (1 - 1e-9) if found == limit else 0.0
-    wide = special.filter("blocks > 1").agg(F.sum(weight * F.col("most") * F.col("most"))).first()[0]
-
-    eligible = F.coalesce("known", F.lit(False)) & (F.col("bound") >= floor)
-    if not bounds.filter(~eligible).isEmpty():
-        bag = bag.join(bounds.filter(eligible).select("item"), "item", "left_semi")
-    if wide is not None and wide < floor:
-        narrow = count_pairs(bag.filter("blocks = 1"), signals).filter(score(signals) >= floor - wide)
-        added = _count_in(bag.filter("blocks > 1"), narrow, signals)
-        pairs = narrow.unionByName(added).groupBy("item_a", "item_b").agg(
-            *(F.sum(s.name).alias(s.name) for s in signals)
-        )
-    else:
-        pairs = count_pairs(bag, signals)
-    return _best(pairs, signals, limit)
-
-
-def _best(pairs: DataFrame, signals: Sequence[Signal], limit: int) -> DataFrame:
-    return pairs.withColumn("score", score(signals)).orderBy(F.desc("score"), "item_a", "item_b").limit(limit)
+    # Just under the exact value, to cover the rounding of fractional weights, and of the score if it is rounded.
+    slack = 0.0 if scale is None else 10.0**-scale
+    floor = max(0.0, (lowest - slack) * (1 - 1e-9)) if found == limit else 0.0
+
+    bag = bag.join(bounds.filter(F.col("bound") >= floor).select("item", "reach"), "item")
+    short = count_pairs(bag.filter(~wide), signals, reach=True).filter(score(signals) + F.col("reach") >= floor)
+    strong = F.col("reach") >= floor
+    counts = ["item_a", "item_b", *(s.name for s in signals)]
+    parts = [
+        short.select(*counts),
+        _count_in(bag.filter(wide), short.filter(~strong & (F.col("reach") > 0)), signals),
+        count_pairs(bag.filter(wide & strong), signals),
+    ]
+    pairs = parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("item_a", "item_b").agg(
+        *(F.sum(s.name).alias(s.name) for s in signals)
+    )
+    total = score(signals) if scale is None else F.round(score(signals), scale)
+    return pairs.withColumn("score", total).orderBy(F.desc("score"), "item_a", "item_b").limit(limit)

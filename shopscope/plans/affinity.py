@@ -44,13 +44,14 @@ def product_affinity(
     """Product pairs by weighted count of joint purchases and joint views.
 
     Both signals run through one pair count, which stands for a full outer join
-    of two counts with missing sides read as zero.
+    of two counts with missing sides read as zero. Pairs are picked and sorted by
+    the score as shown, rounded to two places.
     """
     signals = [
         Signal(lines, "transaction_id", "product_id", "purchase_together", w_buy),
         Signal(views, "session_id", "product_id", "viewed_together", w_view),
     ]
-    best = top_pairs(signals, _known_items(products), limit)
+    best = top_pairs(signals, _known_items(products), limit, scale=2)
     details = products.select("product_id", "name", "category_id", "price_tier")
     for s in ("a", "b"):
         best = best.withColumnRenamed(f"item_{s}", f"prod_{s}").join(
@@ -62,7 +63,7 @@ def product_affinity(
     return (
         best.select(
             "prod_a", "name_a", "cat_a", "tier_a", "prod_b", "name_b", "cat_b", "tier_b",
-            "purchase_together", "viewed_together", F.round("score", 2).alias("affinity_score"),
+            "purchase_together", "viewed_together", F.col("score").alias("affinity_score"),
         )
         .orderBy(F.desc("affinity_score"), "prod_a", "prod_b")
         .limit(limit)

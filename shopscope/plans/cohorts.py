@@ -58,17 +58,15 @@ def cohort_revenue_matrix(
 ) -> DataFrame:
     """Revenue per cohort and month offset, zero where there is none.
 
-    There is one column ``Month +k`` per offset that occurs. Finding those runs
-    a small job over the cohort table; passing ``offsets`` avoids it.
+    There is one column ``Month +k`` per offset that occurs, in order of k. Finding
+    those runs a small job over the cohort table; passing ``offsets`` avoids it.
     """
-    near = cohorts.filter(F.col("months_since_reg").between(0, max_offset)).withColumn(
-        "column", F.concat(F.lit("Month +"), F.col("months_since_reg").cast("string"))
-    )
-    names = None if offsets is None else [f"Month +{k}" for k in offsets]
-    return (
+    near = cohorts.filter(F.col("months_since_reg").between(0, max_offset))
+    matrix = (
         near.groupBy("reg_month")
-        .pivot("column", names)
+        .pivot("months_since_reg", None if offsets is None else list(offsets))
         .agg(money.amount(money.sum_cents("total_revenue")))
         .fillna(0.0)
         .orderBy("reg_month")
     )
+    return matrix.withColumnsRenamed({c: f"Month +{c}" for c in matrix.columns if c != "reg_month"})

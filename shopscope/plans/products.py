@@ -75,10 +75,9 @@ def category_revenue_top(lines: DataFrame, products: DataFrame, limit: int = 10)
 def revenue_by_category(lines: DataFrame, products: DataFrame, exclude_status: str | None = None) -> DataFrame:
     """Distinct transactions and customers, revenue and mean item per category.
 
-    Refunds count unless ``exclude_status`` names them. Grouping to one row per
-    (category, customer, transaction) and then per (category, customer) gives
-    both distinct counts in one pass over the lines, since a transaction has
-    one customer.
+    Refunds count unless ``exclude_status`` names them. Lines collapse to one row
+    per (category, customer, transaction) first; both distinct counts run over
+    those, whoever a transaction belongs to.
     """
     if exclude_status is not None:
         lines = lines.filter(F.col("status") != exclude_status)
@@ -86,12 +85,10 @@ def revenue_by_category(lines: DataFrame, products: DataFrame, exclude_status: s
         lines.join(products.select("product_id", "category_id"), "product_id")
         .groupBy("category_id", "user_id", "transaction_id")
         .agg(money.sum_cents("subtotal").alias("_cents"), F.count("subtotal").alias("n"))
-        .groupBy("category_id", "user_id")
-        .agg(F.sum("_cents").alias("_cents"), F.sum("n").alias("n"), F.count("transaction_id").alias("txns"))
         .groupBy("category_id")
         .agg(
-            F.sum("txns").alias("num_transactions"),
-            F.count("user_id").alias("num_customers"),
+            F.count_distinct("transaction_id").alias("num_transactions"),
+            F.count_distinct("user_id").alias("num_customers"),
             F.sum("_cents").alias("_cents"),
             F.sum("n").alias("_n"),
         )

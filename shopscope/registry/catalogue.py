@@ -535,11 +535,11 @@ def _event_stream(w: Warehouse) -> DataFrame:
 
 @query
 def stream_daily_views(w):
-    """View events as a stream of daily counters per product."""
+    """Events as a stream of daily view counters per product, as ``product_view_metrics`` has them in batch."""
     folder = scratch_dir(w.spark)
-    stream = jobs.daily_view_counts(_event_stream(w).filter("event_type = 'view'"))
-    jobs.write_batches(stream, f"{folder}/views", f"{folder}/checkpoint").awaitTermination()
-    return jobs.read_latest(w.spark, f"{folder}/views", ["product_id", "metric_date"])
+    seen = _event_stream(w).filter("event_type IN ('view', 'click') AND user_id IS NOT NULL AND ts IS NOT NULL")
+    jobs.write_batches(jobs.daily_views(seen), f"{folder}/views", f"{folder}/checkpoint", "append").awaitTermination()
+    return jobs.daily_view_counts(w.spark, f"{folder}/views")
 
 
 @query

@@ -537,7 +537,8 @@ ORACLE_SQL: dict[str, str] = {
         WHERE product_id = 42 AND year(metric_date) = 2024"""),
     # Streams
     "stream_daily_views": sql("ev", body="""
-        SELECT k AS product_id, day AS metric_date, count(*) AS views FROM ev WHERE event_type = 'view' GROUP BY ALL"""),
+        SELECT k AS product_id, day AS metric_date, count(DISTINCT user_id) AS views FROM ev
+        WHERE event_type IN ('view', 'click') GROUP BY ALL"""),
     "stream_latest_events": sql("ev", body=f"""
         SELECT user_id || '#' || {reverse_ts('ts')} AS row_key, user_id, day, event_id, event_type, k AS product_id
         FROM ev QUALIFY row_number() OVER (PARTITION BY user_id, day ORDER BY ts DESC, event_id DESC) = 1"""),

@@ -69,7 +69,8 @@ class Store:
 
     @cached_property
     def sessions(self) -> DataFrame:
-        return cleaning.clean_sessions(self.raw("sessions"), self.strict)
+        # With the nested columns, for views and carts; a scan reads those that a query uses.
+        return cleaning.clean_sessions(self.raw("sessions"), self.strict, nested=True)
 
     @cached_property
     def lines(self) -> DataFrame:

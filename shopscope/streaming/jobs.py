@@ -11,24 +11,39 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..operators.keyed import last_write
 
 
-def daily_view_counts(views: DataFrame, ts: str = "ts", watermark: str = "1 day") -> DataFrame:
-    """Views per product and day from a stream of views (``product_id``, ``ts``).
+def daily_views(events: DataFrame, user: str = "user_id", ts: str = "ts", watermark: str = "1 day") -> DataFrame:
+    """A stream of views (``product_id``, user, time) with each product once per
+    user and day, as the batch frames have it: ``product_id``, ``user_id``,
+    ``metric_date``. Write it in append mode; ``daily_view_counts`` counts it.
 
-    Views later than the watermark are dropped; the day's state is then freed.
-    Days are cut in UTC, the session time zone this library pins.
+    A day later than the watermark before the newest day is dropped (see
+    ``late_rows``), and its state freed. Days are those of the written time.
     """
     return (
-        views.withWatermark(ts, watermark)
-        .groupBy(F.window(ts, "1 day").alias("_day"), "product_id")
-        .agg(F.count("*").alias("views"))
-        .select("product_id", F.to_date("_day.start").alias("metric_date"), "views")
+        events.select("product_id", F.col(user).alias("user_id"), F.date_trunc("day", ts).alias("_day"))
+        .withWatermark("_day", watermark)
+        .dropDuplicates(["product_id", "user_id", "_day"])
+        .select("product_id", "user_id", F.to_date("_day").alias("metric_date"))
     )
 
 
+def daily_view_counts(spark: SparkSession, path: str) -> DataFrame:
+    """Views per product and day of what ``daily_views`` has written so far. A
+    replayed batch counts once."""
+    written = "product_id bigint, user_id bigint, metric_date date"
+    return read_batches(spark, path, written).groupBy("product_id", "metric_date").agg(F.count("*").alias("views"))
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that the watermark dropped, over the batches the query still remembers."""
+    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
+
+
 def distinct_rows(rows: DataFrame, key: Sequence[str], ts: str, watermark: str = "1 day") -> DataFrame:
     """A stream without redeliveries of a key within the watermark."""
     return rows.withWatermark(ts, watermark).dropDuplicatesWithinWatermark(list(key))
@@ -59,10 +74,24 @@ def write_batches(
     )
 
 
-def read_latest(spark: SparkSession, path: str, key: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+def read_batches(spark: SparkSession, path: str, schema: str | StructType | None = None) -> DataFrame:
+    """All batches at ``path`` with their ``batch_id``. With ``schema`` (that of the rows written), a stream
+    that has put out no batch yet reads as no rows."""
+    if schema is None:
+        return spark.read.parquet(path)
+    rows = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return spark.createDataFrame([], StructType([*rows.fields, StructField("batch_id", LongType())]))
+    return spark.read.schema(StructType([*rows.fields, StructField("batch_id", LongType())])).parquet(path)
+
+
+def read_latest(
+    spark: SparkSession, path: str, key: Sequence[str], order: Sequence[str] = (), schema: str | StructType | None = None
+) -> DataFrame:
     """Last write per key over all batches at ``path``: the newest by ``order``,
     and by batch among equals."""
-    batches = spark.read.parquet(path)
+    batches = read_batches(spark, path, schema)
     return last_write(batches, list(key), [*order, "batch_id"]).drop("batch_id")
 
 
