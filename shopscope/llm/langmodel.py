@@ -148,18 +148,28 @@ class Model:
         slot = np.where(at >= 0, self.slot[at] if len(self.head) else SLOTS - 1, SLOTS - 1)
         return at, tokens.classes, slot
 
-    def logs(self, rows: list[np.ndarray], classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], list[np.ndarray]]:
-        """Log softmax over classes and over the slots of the token's class, and the table rows used."""
+    def logits(self, rows: list[np.ndarray], classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], list[np.ndarray]]:
+        """Softmax inputs over classes and over the slots of the token's class, and the table rows used."""
         first = rows
         # In the second table a feature's row also depends on the class.
         second = [ROWS + ((r + classes * 7919) & (ROWS - 1)) for r in (rows[0], rows[2])]
-        a = self.class_bias + self.weights[first[0]]
+        a = self.class_bias + self.weights.take(first[0], axis=0)
         for r in first[1:]:
-            a += self.weights[r]
-        b = self.slot_bias[classes] + self.weights[second[0]]
-        b += self.weights[second[1]]
+            a += self.weights.take(r, axis=0)
+        b = self.slot_bias.take(classes, axis=0)
+        for r in second:
+            b += self.weights.take(r, axis=0)
         # A slot that no token has keeps its place at minus infinity.
-        return _log_softmax(a), _log_softmax(b), first, second
+        return a, b, first, second
+
+    def logs(self, rows: list[np.ndarray], classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], list[np.ndarray]]:
+        """Log softmax over classes and over the slots of the token's class, and the table rows used."""
+        a, b, first, second = self.logits(rows, classes)
+        for x in (a, b):
+            powers = x.copy()
+            x -= _exponents(powers)
+            x -= np.log(_row_sums(powers))
+        return a, b, first, second
 
     def learn(self, tokens: Tokens, seen: np.ndarray) -> None:
         """Adagrad steps over the tokens, a batch at a time; ``seen`` holds the sums of squared steps per row."""
@@ -168,8 +178,10 @@ class Model:
         for at in range(0, len(classes), BATCH):
             cut = slice(at, at + BATCH)
             c, s = classes[cut], slots[cut]
-            log_a, log_b, first, second = self.logs([r[cut] for r in rows], c)
-            grad_a, grad_b = np.exp(log_a), np.exp(log_b)
+            grad_a, grad_b, first, second = self.logits([r[cut] for r in rows], c)
+            for grad in (grad_a, grad_b):
+                _exponents(grad)
+                grad /= _row_sums(grad)
             grad_a[np.arange(len(c)), c] -= 1
             grad_b[np.arange(len(c)), s] -= 1
             for group, grad in ((first, grad_a), (second, grad_b)):
@@ -177,10 +189,11 @@ class Model:
                 order = np.argsort(index, kind="stable")
                 index = index[order]
                 starts = np.flatnonzero(np.concatenate([[True], index[1:] != index[:-1]]))
-                sums = np.add.reduceat(grad[order % len(c)], starts, axis=0)
+                sums = _run_sums(grad.take(order % len(c), axis=0), starts)
                 row = index[starts].astype(np.int64)
-                seen[row] += (sums ** 2).mean(1)
-                self.weights[row] -= RATE * sums / np.sqrt(seen[row] + 1.0)[:, None]
+                seen[row] += _row_sums(sums ** 2)[:, 0] / np.float32(CLASSES)
+                sums *= (np.float32(RATE) / np.sqrt(seen[row] + np.float32(1)))[:, None]
+                self.weights[row] = self.weights.take(row, axis=0) - sums
 
     def score(self, tokens: Tokens) -> tuple[np.ndarray, np.ndarray]:
         """log10 of the first two factors (and for frequent tokens of all three) per token; number among the frequent ones."""
@@ -199,10 +212,32 @@ class Model:
         return out, at
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x -= x.max(1, keepdims=True)
-    x -= np.log(np.exp(x).sum(1, keepdims=True))
-    return x
+def _exponents(x: np.ndarray) -> np.ndarray:
+    """Turns ``x`` into exponentials, each row less its largest, and returns those."""
+    top = x
+    while top.shape[1] > 1:  # halves against halves: long loops where max(1) runs a short one per row
+        half = top.shape[1] // 2
+        top = np.maximum(top[:, :half], top[:, half:])
+    x -= top
+    np.exp(x, out=x)
+    return top
+
+
+def _row_sums(x: np.ndarray) -> np.ndarray:
+    return x @ np.ones((x.shape[1], 1), x.dtype)
+
+
+def _run_sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sums over the runs of rows that begin at ``starts``, added in pairs; overwrites ``values``."""
+    lengths = np.diff(np.append(starts, len(values)))
+    place = np.arange(len(values)) - np.repeat(starts, lengths)
+    left = np.repeat(lengths, lengths) - place
+    step, at = 1, np.flatnonzero(((place & 1) == 0) & (left > 1))
+    while len(at):
+        values[at] = values.take(at, axis=0) + values.take(at + step, axis=0)
+        step *= 2
+        at = at[((place[at] & (2 * step - 1)) == 0) & (left[at] > step)]
+    return values.take(starts, axis=0)
 
 
 def held_out(doc_id: str = "doc_id") -> F.Column:
