@@ -491,6 +491,86 @@ def documents_landed(w):
     )
 
 
+def _array_files(df: DataFrame, key: str, path: str, per_file: int = 10_000) -> None:
+    """Documents as JSON arrays, one to a file, of about ``per_file`` documents each however many there are."""
+    files = max(1, -(-df.count() // per_file))
+    docs = df.select(F.pmod(F.xxhash64(key), F.lit(files)).alias("file"), F.to_json(F.struct("*")).alias("doc"))
+    arrays = docs.groupBy("file").agg(F.array_join(F.collect_list("doc"), ",\n").alias("docs"))
+    arrays.select("file", F.concat(F.lit("[\n"), "docs", F.lit("\n]")).alias("value")).write.partitionBy("file").text(path)
+
+
+def _transactions_with_items(w: Warehouse) -> DataFrame:
+    """An order holds a handful of lines, so its items fit in its document."""
+    items = w.table("lineitem").groupBy("l_orderkey").agg(F.collect_list(F.expr(
+        "struct(l_partkey AS product_id, CAST(l_quantity AS bigint) AS quantity, "
+        "l_extendedprice / l_quantity AS unit_price, l_extendedprice AS subtotal)"
+    )).alias("items"))
+    return w.transaction_documents().join(items, F.expr("transaction_id = l_orderkey"), "left").drop("l_orderkey")
+
+
+def _store(w: Warehouse, *entities: str) -> documents.Store:
+    """Some entities written as files of JSON arrays, read with their declared schema, landed, and cleaned."""
+    folder = scratch_dir(w.spark)
+    sources = {
+        "products": (w.product_documents, "product_id"),
+        "transactions": (lambda: _transactions_with_items(w), "transaction_id"),
+        "sessions": (w.session_documents, "session_id"),
+    }
+    for entity in entities:
+        make, key = sources[entity]
+        _array_files(make(), key, f"{folder}/json/{entity}", 10_000 if entity != "sessions" else 200)
+        raw = documents.read_documents(w.spark, f"{folder}/json/{entity}", entity, pattern="*.txt").drop("file")
+        results.write_parquet(raw, f"{folder}/landed/{entity}")
+    return documents.Store(w.spark, f"{folder}/landed")
+
+
+def _numbered(df: DataFrame) -> DataFrame:
+    """Product ids, text in the documents, as the numbers of the tables."""
+    return df.withColumn("product_id", F.col("product_id").cast("bigint"))
+
+
+@query
+def documents_popularity(w):
+    """Best sellers from nested transactions: ``explode`` of their items."""
+    shop = _store(w, "products", "transactions")
+    return _numbered(products.product_popularity(shop.lines, shop.products))
+
+
+@query
+def documents_daily_metrics(w):
+    """Daily metrics from nested sessions (views, cart) and transactions."""
+    shop = _store(w, "transactions", "sessions")
+    return _numbered(trends.product_daily_metrics(shop.views, shop.carts, shop.lines))
+
+
+@query
+def documents_funnel(w):
+    """The funnel from sessions in several files: sizes of their collections."""
+    return funnels.conversion_funnel(_store(w, "sessions").sessions)
+
+
+@query
+def documents_devices(w):
+    """Device statistics from sessions in several files: fields of their structs."""
+    return funnels.device_referrer_stats(_store(w, "sessions").sessions)
+
+
+@query
+def documents_views_sql(w):
+    """Views per product in SQL over the named sessions."""
+    documents.register_views(_store(w, "sessions"), "sessions")
+    return w.spark.sql("""
+        SELECT CAST(product_id AS bigint) AS product_id, count(*) AS total_views
+        FROM sessions LATERAL VIEW explode(viewed_products) AS product_id GROUP BY 1""")
+
+
+@query
+def clean_users_without_columns(w):
+    """Users whose documents lack two optional columns."""
+    users = cleaning.clean_users(w.user_documents().drop("gender", "age"))
+    return users.select("user_id", "email", "age", "gender", "age_group", "reg_month")
+
+
 @query
 def results_as_csv(w):
     """Funnel sessions through the CSV sink and back, all part files."""

@@ -543,3 +543,16 @@ ORACLE_SQL: dict[str, str] = {
         SELECT user_id || '#' || {reverse_ts('ts')} AS row_key, user_id, day, event_id, event_type, k AS product_id
         FROM ev QUALIFY row_number() OVER (PARTITION BY user_id, day ORDER BY ts DESC, event_id DESC) = 1"""),
 }
+
+# The same answers from nested documents.
+ORACLE_SQL |= {
+    "documents_popularity": ORACLE_SQL["product_popularity"],
+    "documents_daily_metrics": ORACLE_SQL["product_daily_metrics"],
+    "documents_funnel": ORACLE_SQL["conversion_funnel"],
+    "documents_devices": ORACLE_SQL["device_referrer_stats"],
+    "documents_views_sql": ORACLE_SQL["product_views"],
+    "clean_users_without_columns": sql("users", body="""
+        SELECT user_id, lower(coalesce(email, user_id || '@placeholder.local')) AS email,
+          CAST(NULL AS INTEGER) AS age, CAST(NULL AS VARCHAR) AS gender,
+          'unknown' AS age_group, reg_month FROM users"""),
+}

@@ -85,9 +85,9 @@ class Store:
         return nested.cart_lines(self.sessions)
 
 
-def register_views(store) -> None:
-    """Name the cleaned tables for SQL."""
-    for name in ("users", "products", "transactions", "sessions"):
+def register_views(store, *names: str) -> None:
+    """Name the cleaned tables, or only those in ``names``, for SQL."""
+    for name in names or ("users", "products", "transactions", "sessions"):
         getattr(store, name).createOrReplaceTempView(name)
 
 
