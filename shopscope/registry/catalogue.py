@@ -13,7 +13,7 @@ from ..plans import affinity, cohorts, customers, funnels, products, trends
 from ..schemas import TIMESTAMP_FORMAT
 from ..session import scratch_dir
 from ..sources import documents, results
-from ..sources.warehouse import CLV_TIERS, SPEND_TIERS, Warehouse
+from ..sources.warehouse import CLV_TIERS, SEGMENTS, SPEND_TIERS, Warehouse
 from ..streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -151,7 +151,7 @@ def user_segments(w):
 @query
 def age_payment_spend_matrix(w):
     segments = customers.user_segments(w.users, w.transactions, tiers=SPEND_TIERS)
-    return customers.age_payment_spend_matrix(segments)
+    return customers.age_payment_spend_matrix(segments, SEGMENTS)
 
 
 @query

@@ -32,6 +32,9 @@ TABLES = {
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
 }
 
+# The market segments, which stand for payment methods.
+SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+
 # Spend and lifetime-value thresholds that suit order totals of this schema.
 SPEND_TIERS = ((2_000_000, "high_value"), (1_000_000, "mid_value"))
 CLV_TIERS = ((1_300_000, "platinum"), (900_000, "gold"), (500_000, "silver"))
