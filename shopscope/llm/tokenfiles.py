@@ -12,8 +12,9 @@ token files, which Spark writes and commits as Parquet. A shard's bytes alone an
 ``token(i)`` reads one bit per plane, ``count(id, to)`` how often an id occurs before a place, ``find(id, k)`` the place of its
 k-th occurrence; each touches a block or two per plane. ``ids()`` unpacks a whole shard plane by plane from the last to the first.
 
-Encoding gives the tokenizer library's own ids. Texts are cut before single blanks (and line breaks) with an
-ASCII character that is no white space on one side and none of ASCII's white space on the other, and between an ASCII letter and an ASCII sign. The byte-level rules always start a new piece there. Equal cuts of a
+Encoding gives the tokenizer library's own ids. Texts are cut before single blanks (and line breaks) with a
+character that surely is no white space (printing ASCII, Latin letters of two bytes) on one side and none of ASCII's white space on the other,
+between such a line break and a letter, and between a letter and an ASCII sign. The byte-level rules always start a new piece there. Equal cuts of a
 slice are encoded once, and their bytes are compared in full, so a hash never decides.
 
 Null and empty texts have only the end id. Rows of one id are in order of their text; null ids come first. Empty tables give files without rows.
@@ -40,7 +41,7 @@ END_ID = 2
 SHARD_TOKENS = 1 << 19
 SLICE = 3 << 20
 BLOCK_BITS = 1 << 15
-KNOWN_WORDS = 1 << 18
+KNOWN_WORDS = 1 << 19
 MAGIC = b"WAVELET1"
 FILE_SCHEMA = "part int, shard int, n_tokens long, bytes binary"
 
@@ -55,7 +56,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         # Cuts are distinct already; the library's own cache would only cost time.
         self.tokenizer.model._resize_cache(0)
-        self.known: dict[bytes, list[int]] = {}
+        self.known: dict[str, list[int]] = {}
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         #: Bytes that an id stands for: a character each in the byte-level alphabet; -1 for added tokens.
         self.widths = np.zeros(max(vocabulary.values()) + 1, np.int64)
@@ -75,6 +76,18 @@ class Encoder:
         self.letter[65:91] = self.letter[97:123] = True
         self.point = solid & ~self.letter
         self.point[48:58] = False
+        #: The byte-level alphabet: printing Latin-1 characters stand for themselves, the other bytes for characters from 256 on.
+        own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        self.alphabet = np.arange(256, dtype="<u2")
+        self.alphabet[sorted(set(range(256)) - set(own))] = np.arange(256, 512 - len(own))
+
+    def letters(self, buf: np.ndarray) -> np.ndarray:
+        """Which bytes belong to letters: ASCII ones, and Latin ones of two bytes (U+00C0 to U+023F without the signs of times and division)."""
+        latin = (buf[:-1] >= 0xC3) & (buf[:-1] <= 0xC8) & ~((buf[:-1] == 0xC3) & ((buf[1:] == 0x97) | (buf[1:] == 0xB7)))
+        out = self.letter[buf]
+        out[:-1] |= latin
+        out[1:] |= latin
+        return out
 
     def plain(self, text: bytes) -> list[int]:
         return self.tokenizer.encode(text.decode(), add_special_tokens=False).ids
@@ -87,9 +100,10 @@ class Encoder:
             return np.zeros(0, np.uint32), np.zeros(n, np.int64)
         raw = buf.tobytes()
         cut = np.zeros(len(buf) + 1, bool)
-        before, after = buf[:-2], buf[2:]
-        cut[1:-2] = self.gap[buf[1:-1]] & ((self.solid[before] & self.ink[after]) | (self.ink[before] & self.solid[after]))
-        cut[1:-1] |= self.letter[buf[:-1]] & self.point[buf[1:]]
+        letters = self.letters(buf)
+        sure, ink = self.solid[buf] | letters, self.ink[buf]
+        cut[1:-2] = self.gap[buf[1:-1]] & ((sure[:-2] & ink[2:]) | (ink[:-2] & sure[2:]))
+        cut[1:-1] |= (cut[:-2] & (buf[:-1] == 0x0A) & letters[1:]) | (letters[:-1] & self.point[buf[1:]])
         cut[bounds] = True
         edges = np.flatnonzero(cut)
         starts, ends = edges[:-1], edges[1:]
@@ -104,7 +118,7 @@ class Encoder:
         like += np.arange(len(buf), dtype=kind)
         if (lengths[first][which] != lengths).any() or (buf.take(like, mode="clip") != buf).any():
             odd = list(range(n))
-        ids_of, counts_of = self._distinct(raw, starts[first], ends[first])
+        ids_of, counts_of = self._distinct(raw, letters, sure, starts[first], ends[first])
         at = np.concatenate([[0], np.cumsum(counts_of)])
         counts = counts_of[which]
         where = np.repeat(at[which] - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
@@ -119,18 +133,18 @@ class Encoder:
             ids = np.concatenate(parts)
         return ids, totals
 
-    def _distinct(self, raw: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _distinct(self, raw: bytes, letters: np.ndarray, sure: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of distinct cuts in order, and the number of ids of each.
 
-        A blank and ASCII letters are one piece before merging, so they go straight to the library's merges. Other cuts that begin with a blank and an
-        ASCII sign or digit can follow any that ends without white space, and are encoded many to a text; the rest one by one.
+        Letters, with a blank before them or none, are one piece before merging, so they go straight to the library's merges. Other cuts that begin with a
+        blank and a character that is no white space can follow any that ends without white space, and are encoded many to a text; the rest one by one.
         """
         buf = np.frombuffer(raw, np.uint8)
         lengths = ends - starts
-        begin, second = buf[starts], buf[np.minimum(starts + 1, len(buf) - 1)]
-        letters = np.concatenate([[0], np.cumsum(self.letter[buf], dtype=np.int64)])
-        words = (begin == 0x20) & (lengths > 1) & (letters[ends] - letters[starts] == lengths - 1)
-        joins = (begin == 0x20) & (lengths > 1) & self.solid[second] & self.ink[buf[ends - 1]] & ~words
+        blank = buf[starts] == 0x20
+        so_far = np.concatenate([[0], np.cumsum(letters, dtype=np.int64)])
+        words = (lengths > blank) & (so_far[ends] - so_far[starts] == lengths - blank)
+        joins = blank & (lengths > 1) & sure[np.minimum(starts + 1, len(buf) - 1)] & self.ink[buf[ends - 1]] & ~words
         counts = np.zeros(len(starts), np.int64)
         parts: list[tuple[np.ndarray, np.ndarray]] = []
 
@@ -139,12 +153,12 @@ class Encoder:
 
         which = np.flatnonzero(words)
         merge, known, got, sizes = self.tokenizer.model.tokenize, self.known, [], []
-        for a, b in zip((starts[which] + 1).tolist(), ends[which].tolist()):
-            word = raw[a:b]
+        tape = self.alphabet[buf].tobytes().decode("utf-16-le")
+        for word in [tape[a:b] for a, b in zip(starts[which].tolist(), ends[which].tolist())]:
             found = known.get(word)
             if found is None:
-                found = [t.id for t in merge("\u0120" + word.decode())]  # the byte-level character of a blank
-                if b - a < 32:
+                found = [t.id for t in merge(word)]
+                if len(word) < 32:
                     known[word] = found
             sizes.append(len(found))
             got += found
@@ -162,7 +176,7 @@ class Encoder:
         for at in range(0, len(runs), 64):
             some = runs[at:at + 64]
             texts = [b"".join(raw[x:y] for x, y in spans[a:b]).decode() for a, b in some]
-            for encoding, (a, b) in zip(self.tokenizer.encode_batch(texts, add_special_tokens=False), some):
+            for encoding, (a, b) in zip(self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), some):
                 ids = np.array(encoding.ids, np.uint32)
                 edge = np.searchsorted(np.cumsum(self.widths[ids]), np.cumsum(lengths[which[a:b]]), side="right")
                 counts[which[a:b]] = np.diff(np.concatenate([[0], edge]))
@@ -173,7 +187,7 @@ class Encoder:
         found = []
         for at in range(0, len(which), 512):
             some = which[at:at + 512]
-            encodings = self.tokenizer.encode_batch([raw[starts[k]:ends[k]].decode() for k in some], add_special_tokens=False)
+            encodings = self.tokenizer.encode_batch_fast([raw[starts[k]:ends[k]].decode() for k in some], add_special_tokens=False)
             for k, encoding in zip(some, encodings):
                 counts[k] = len(encoding.ids)
                 found.append(np.array(encoding.ids, np.uint32))
