@@ -36,7 +36,6 @@ DIM = 8
 WINDOW = 8
 SIZES = (3, 4, 5, 6)
 MOST_ROWS = 4000
-STRETCH = 20_000
 SHARPNESS = 3.0
 THRESHOLD = 0.3
 
@@ -124,15 +123,10 @@ def train(texts: list[str | None], labels: np.ndarray, prior: float, steps: int
     bias = 0.0
     seen_table = np.full(table.shape, 1e-6, np.float32)
     seen_out, seen_bias = np.full(DIM, 1e-6), 1e-6
-    word_vec, window_vec = np.empty((len(starts), DIM), np.float32), np.empty((len(first), DIM))
     for _ in range(steps):
-        # In stretches and by dimension, so no table of all subwords or of all places is made.
-        for at in range(0, len(starts), STRETCH):
-            a, b = starts[at], starts[at + STRETCH] if at + STRETCH < len(starts) else len(bucket)
-            word_vec[at:at + STRETCH] = np.add.reduceat(table[bucket[a:b]], starts[at:at + STRETCH] - a, axis=0)
-        for d in range(DIM):
-            window_vec[:, d] = span_sums(word_vec[word_of, d], first, end) / n
-        logit = window_vec @ out + bias
+        # The softmax is linear in the averaged vectors, so averaging each vector's product with its weights gives the same logit.
+        value = np.add.reduceat((table @ out)[bucket], starts)
+        logit = span_sums(value[word_of], first, end) / n + bias
         # Weight of each window within its text: softmax of its logit.
         top = np.repeat(np.maximum.reduceat(logit, text_starts), size)
         lead = np.exp(SHARPNESS * (logit - top))
@@ -140,14 +134,13 @@ def train(texts: list[str | None], labels: np.ndarray, prior: float, steps: int
         text_logit = np.add.reduceat(lead * logit, text_starts)
         error = 1 / (1 + np.exp(-text_logit)) - y
         pull = np.repeat(error, size) * lead / len(y)
-        grad_out = pull @ window_vec
         # Each window's pull goes to its words, and from there to their subwords.
         per_window = pull / n
-        edge = np.zeros(len(word_of) + 1)
-        np.add.at(edge, first, per_window)
-        np.add.at(edge, end, -per_window)
+        size_of = len(word_of) + 1
+        edge = np.bincount(first, weights=per_window, minlength=size_of) - np.bincount(end, weights=per_window, minlength=size_of)
         per_distinct = np.bincount(word_of, weights=np.cumsum(edge[:-1]), minlength=len(hashes))
         per_bucket = np.add.reduceat(per_distinct[owner_by_bucket], bucket_starts)
+        grad_out = per_bucket @ table
         grad_table = (per_bucket[:, None] * out).astype(np.float32)
         seen_table += grad_table ** 2
         table -= (rate * grad_table / np.sqrt(seen_table)).astype(np.float32) * 0.2
