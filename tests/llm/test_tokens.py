@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -168,3 +169,12 @@ def test_lookup():
     table = langmodel.Lookup(keys)
     assert (table.find(keys) == np.arange(5000)).all()
     assert (table.find(keys[200:] ^ np.uint64(1 << 62)) == -1).all()
+
+
+def test_cuts_around_latin_letters_and_line_breaks_keep_the_librarys_ids():
+    encoder = tokenfiles.Encoder(BPE)
+    texts = ["é\n\nFoo", "\nFoo", "a\n", "\n", "", None, "été×2 ÷é", "don't été's l'été\nécole  Ça va Ƀa ɐa", "été\tx\nÀ",
+             "  \nfoo \n bar\n \nbaz", "日本 é 語 a　é\nb", "x \ny é", " é", "é ", "ȿ ȿ\nȿ", "a é\u0085b é2 é-é"]
+    ids, counts = encoder.encode(pa.array(texts, pa.string()))
+    found = [part.tolist() for part in np.split(ids, np.cumsum(counts)[:-1])]
+    assert found == [encoder.tokenizer.encode(text or "", add_special_tokens=False).ids for text in texts]
