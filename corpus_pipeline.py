@@ -26,8 +26,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     return toxicity.without_toxic(docs, model)
 
 
+#: Jaccard similarity in hundredths from which two documents are near duplicates in the pipeline; operator 9 by itself has a threshold of its own.
+NEAR = 80
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    judged = neardup.near_duplicates(docs)
+    judged = neardup.near_duplicates(docs, percent=NEAR)
     # Rows to drop are fewer than rows to keep, and a row without a verdict stays.
     gone = judged.filter("NOT kept").select(F.col("doc_id").alias("__gone")).distinct()
     return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__gone")), "left_anti")

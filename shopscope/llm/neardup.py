@@ -6,9 +6,10 @@ one class and are handled once. Per class:
 
 1. *Sketch.* The top bits of a hash pick one of 256 buckets; the least rest in a bucket is kept as its count of
    leading zeros and ten mantissa bits, 16 bits a register.
-2. *Bands.* 32 bands of 8 registers; classes that agree in a band come into one cluster. For banding, an empty
+2. *Bands.* Bands of so many registers that two sets at the threshold share no band with a chance of at most 4e-5: 32 bands of 8
+   at 0.85 (4e-5; 1e-8 for sets at 0.9), 42 of 6 at 0.8 (3e-6). Classes that agree in a band come into one cluster. For banding, an empty
    register borrows the value of another one, by a fixed pseudo-random order of its own, so a band of a short
-   text also samples eight shingles and not one. Two sets at the threshold 0.85 share no band with a chance of 4e-5, at 0.9 of 1e-8.
+   text also samples that many shingles and not one.
 3. *Estimate.* In a cluster, pairs whose collision-corrected estimate (of the registers as they were, without loans) is not six
    deviations below the threshold, and whose set sizes allow it, are candidates.
 4. *Verify.* Candidates are compared on their full sets, unless links already found join them.
@@ -36,7 +37,7 @@ from shopscope.llm.text import Words, binary_rows, distinct_sets, list_rows, mix
 from shopscope.session import stored
 
 REGISTERS = 256
-BAND = 8
+MISS = 4e-5
 EMPTY = np.uint16(0xFFFF)
 MANTISSA = 10
 BLOCK = 1536
@@ -77,9 +78,18 @@ def lend(regs: np.ndarray) -> np.ndarray:
     return out
 
 
-def band_keys(regs: np.ndarray) -> np.ndarray:
+def band_width(percent: int) -> int:
+    """Registers in a band: the most with which sets at the threshold miss each other with a chance of ``MISS`` or less."""
+    fits = [b for b in range(1, REGISTERS + 1) if (1 - (percent / 100) ** b) ** (REGISTERS // b) <= MISS]
+    return max(fits, default=1)
+
+
+def band_keys(regs: np.ndarray, band: int) -> np.ndarray:
     """A 64-bit key for each band of each sketch, loans included."""
-    halves = np.ascontiguousarray(lend(regs)).view(np.uint64).reshape(len(regs), -1, BAND // 4)
+    count = REGISTERS // band
+    padded = np.zeros((len(regs), count, -(-band // 4) * 4), np.uint16)
+    padded[:, :, :band] = lend(regs)[:, :count * band].reshape(len(regs), count, band)
+    halves = padded.view(np.uint64)
     keys = np.zeros(halves.shape[:2], np.uint64) + np.arange(1, halves.shape[1] + 1, dtype=np.uint64)
     for k in range(halves.shape[2]):
         keys = mix(keys ^ halves[:, :, k])
@@ -120,12 +130,15 @@ def _keyed_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([piece.column("class"), binary_rows(values, sizes)], ["class", "shingles"])
 
 
-def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        regs = np.stack([np.frombuffer(r, np.uint16) for r in batch.column("registers").to_pylist()]) if batch.num_rows else np.zeros((0, REGISTERS), np.uint16)
-        keys = band_keys(regs)
-        yield pa.record_batch(
-            [batch.column("class"), list_rows(keys.reshape(-1).view(np.int64), np.full(len(keys), keys.shape[1]))], ["class", "bands"])
+def _bands(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            regs = np.stack([np.frombuffer(r, np.uint16) for r in batch.column("registers").to_pylist()]) if batch.num_rows else np.zeros((0, REGISTERS), np.uint16)
+            keys = band_keys(regs, band_width(percent))
+            yield pa.record_batch(
+                [batch.column("class"), list_rows(keys.reshape(-1).view(np.int64), np.full(len(keys), keys.shape[1]))], ["class", "bands"])
+
+    return run
 
 
 def estimate(same: np.ndarray, filled: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> np.ndarray:
@@ -208,7 +221,7 @@ def near_duplicates(docs: DataFrame, percent: int = THRESHOLD, block: int = BLOC
     classes = stored(sketched.filter("n_shingles > 0").groupBy("class").agg(
         F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers"), F.min("doc_id").alias("first_id")), "classes")
 
-    banded = classes.select("class", "registers").mapInArrow(_bands, "class binary, bands array<long>").select(
+    banded = classes.select("class", "registers").mapInArrow(_bands(percent), "class binary, bands array<long>").select(
         "class", F.explode("bands").alias("band"))
     least = banded.groupBy("band").agg(F.min("class").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     shared = banded.join(least, "band").select(F.col("class").alias("a"), F.col("least").alias("b"))

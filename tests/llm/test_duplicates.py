@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from shopscope.llm import exact, neardup
 from shopscope.llm.graph import components
 
@@ -159,3 +160,36 @@ def test_exact_result_is_lazy_in_text(texts):
     rows = texts([(1, "a"), (2, "a")])
     assert [r.keep_id for r in exact.duplicates(rows).orderBy("doc_id").collect()] == [2, 2]
     assert exact.duplicates(rows).filter(F.col("kept")).count() == 1
+
+
+def test_bands_follow_the_threshold():
+    for percent in (50, 80, 85, 95):
+        band = neardup.band_width(percent)
+        assert (1 - (percent / 100) ** band) ** (neardup.REGISTERS // band) <= neardup.MISS
+    rng = np.random.default_rng(6)
+    for percent in (80, 85):
+        lost = 0
+        for _ in range(300):
+            values = np.unique(rng.integers(0, 2**63, 400, dtype=np.uint64) * np.uint64(2))[:400]
+            rng.shuffle(values)
+            own = (400 - 400 * percent // 100) // 2
+            a, b = np.sort(values[own:]), np.sort(values[:len(values) - own])
+            keys = neardup.band_keys(neardup.sketch(np.concatenate([a, b]), np.repeat([0, 1], [len(a), len(b)]), 2), neardup.band_width(percent))
+            lost += not (keys[0] == keys[1]).any()
+        assert lost == 0
+
+
+def test_pipeline_stage_matches_all_pairs_at_80(spark, texts):
+    rng = random.Random(8)
+    rows = varied(30)
+    for size in (60, 100, 200):
+        for _ in range(15):
+            base = [f"v{rng.randrange(10**6)}" for _ in range(size)]
+            rows.append((len(rows), " ".join(base)))
+            # A changed tail of d words changes d shingles: similarity between 0.80 and 0.85.
+            d = rng.randint(-(-(size - 4) * 15 // 185), (size - 4) * 20 // 180)
+            rows.append((len(rows), " ".join(base[:-d] + [f"z{rng.randrange(10**6)}" for _ in range(d)])))
+    want = {doc_id for doc_id, n, least in brute_components(rows, 80) if not n or doc_id == least}
+    assert len(want) < len({doc_id for doc_id, n, least in brute_components(rows) if not n or doc_id == least})
+    kept = corpus_pipeline.drop_near_duplicates(spark, texts(rows), "")
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(want)
