@@ -8,6 +8,9 @@ every template is dropped before any bigram is compared, and a pair outside them
 that occur in a template leave a passage; they meet the templates' bigrams in a broadcast join (the template list
 is a parameter, its size is checked against ``MOST_BIGRAMS``) and are counted per passage and template. The best passage of each document and template is returned.
 
+The templates of ``scan_public`` are notices, headers and short texts of common licences in their usual phrasings, and the full texts of long ones
+(``licence_list``). A row names the template; a notice is often like templates of a neighbouring version too, and its own has the highest Dice.
+
 Null and empty texts, and passages of fewer than two words, match nothing. Ties between passages go to the shorter passage,
 then to the last in order of text. Repeated rows are found once per id; rows of a null id are taken together.
 """
@@ -16,13 +19,15 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shopscope.llm.licence_list import MORE, TEXTS
+
 LEAST = 0.8
 MOST_BIGRAMS = 20_000
 
-#: Opening statements of well-known public licences.
+#: Opening statements of well-known public licences; ``licence_list`` holds the wider list.
 TEMPLATES = {
     "Apache-2.0-notice": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0-header": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
@@ -37,6 +42,9 @@ TEMPLATES = {
     "all-rights-reserved": "Copyright. All rights reserved.",
 }
 
+#: Words of most English texts tell least of a licence.
+COMMON = set("a an and any are as at be by for from in is it may not of on or other that the this to under with you your work project".split())
+
 
 def bigrams_of(text: str) -> set[str]:
     """Distinct word bigrams of a normalised text; the same as the plan computes."""
@@ -69,10 +77,10 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, least: float
     # A passage of many words may still repeat few bigrams, so only the lower bound holds for words.
     cut = cut.filter(F.size("words") > max(1.0, low))
     # Without a telling word of a template there is no match; this spares most passages the bigrams.
-    cut = cut.filter(F.arrays_overlap("words", F.array(*map(F.lit, _telling_words(sets, least)))))
+    cut = cut.filter(F.arrays_overlap("words", _constants(_telling_words(sets, least))))
     pairs = F.transform(F.sequence(F.lit(0), F.size("words") - 2), lambda k: F.concat_ws(" ", F.get("words", k), F.get("words", k + 1)))
     cut = cut.select("doc_id", "passage", once(F.array_distinct(pairs)).alias("own")).filter(F.size("own").between(low, high))
-    known = F.array(*map(F.lit, sorted(set().union(*sets.values()))))
+    known = _constants(sorted(set().union(*sets.values())))
     hits = cut.select("doc_id", "passage", F.size("own").alias("n_own"), F.explode(F.array_intersect("own", known)).alias("bigram"))
     # At most MOST_BIGRAMS rows, checked above.
     wanted = docs.sparkSession.createDataFrame(
@@ -86,18 +94,32 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, least: float
     return dice.groupBy("doc_id", "licence").agg(F.max("dice").alias("dice"), best.alias("passage"))
 
 
+def scan_public(docs: DataFrame, least: float = LEAST) -> DataFrame:
+    """``scan`` for the whole list: ``TEMPLATES``, the notices of ``licence_list`` and its full texts.
+
+    Only long passages are compared with the full texts, so these are scanned for by themselves.
+    """
+    return scan(docs, {**TEMPLATES, **MORE}, least).union(scan(docs, TEXTS, least))
+
+
+def _constants(values: list[str]) -> Column:
+    """An array of words or bigrams as one constant; as many literals would take seconds to plan."""
+    return F.split(F.lit("\n".join(values)), "\n")
+
+
 def _telling_words(sets: dict[str, set[str]], least: float) -> list[str]:
     """Words of which every template has at least one in so many bigrams that no match can do without them all.
 
-    For each template, its longest words are taken until the bigrams without any of them are too few for a match.
+    For each template, its longest words, common ones last, are taken until the bigrams without any of them are too few for a match.
     """
     taken: set[str] = set()
     for found in sets.values():
-        words = sorted({w for b in found for w in b.split()}, key=lambda w: (-len(w), w))
-        for k in range(len(words) + 1):
-            left = sum(1 for b in found if not set(b.split()) & set(words[:k]))
+        words = sorted({w for b in found for w in b.split()}, key=lambda w: (w in COMMON, -len(w), w))
+        left = [b.split() for b in found]
+        for word in words:
             # A match has 2 * common >= least * (own + template) and own >= common, so common >= template * least / (2 - least).
-            if left < len(found) * least / (2 - least) or k == len(words):
-                taken |= set(words[:k])
+            if len(left) < len(found) * least / (2 - least):
                 break
+            taken.add(word)
+            left = [pair for pair in left if word not in pair]
     return sorted(taken)

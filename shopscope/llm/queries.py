@@ -23,7 +23,7 @@ def op3_maxent_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_dice_licences(spark: SparkSession, folder: str) -> DataFrame:
-    return licences.scan(table(spark, folder, "documents"))
+    return licences.scan_public(table(spark, folder, "documents"))
 
 
 def op4_subword_toxicity(spark: SparkSession, folder: str) -> DataFrame:

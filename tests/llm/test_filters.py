@@ -234,3 +234,17 @@ def test_mix_of_one_source_and_of_nothing(texts, odd):
     assert mixing.mix(texts([])).count() == 0
     assert mixing.mixed(texts([])).count() == 0
     assert mixing.mix(texts([(1, None, None), (2, "", "x")])).filter(F.col("taken") > 0).count() == 0
+
+
+def test_common_licences_are_found(texts):
+    lines = [
+        ("This work is licensed under the GNU General Public License, version 3.", "GPL-3"), ("Licensed under CC BY-NC 4.0.", "CC-BY-NC-4.0"),
+        ("This work is licensed under the GNU Lesser General Public License, version 2.1.", "LGPL-2.1"), ("Licensed under the AGPLv3.", "AGPL-3"),
+        ("Licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.", "CC-BY-NC-ND-4.0"),
+        ("Licensed under CC BY-ND 3.0", "CC-BY-ND-3.0"), ("Released under the BSD 3-Clause License.", "BSD-3-Clause"),
+        ("SPDX-License-Identifier: MPL-2.0", "MPL-2.0"), (licences.TEXTS["GPL-3-text"], "GPL-3"), (licences.MORE["MIT-text"], "MIT")]
+    found = licences.scan_public(texts([(k, f"some text\n\n{line}\n\nmore text") for k, (line, _) in enumerate(lines)])).collect()
+    for k, (line, licence) in enumerate(lines):
+        rows = [r for r in found if r.doc_id == k]
+        best = max((r.dice for r in rows), default=0)
+        assert any(r.licence.startswith(licence) and r.dice == best for r in rows), line[:80]
