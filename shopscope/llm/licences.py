@@ -18,6 +18,7 @@ then to the last in order of text. Repeated rows are found once per id; rows of
 from __future__ import annotations
 
 import re
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -61,23 +62,25 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, least: float
     texts = docs.select(F.col("doc_id"), F.col("text").alias("text"))
     if not sets:
         return texts.filter(F.lit(False)).select("doc_id", F.lit("").alias("licence"), F.lit(0.0).alias("dice"), F.lit("").alias("passage"))
-    low = min(len(s) for s in sets.values()) * least / (2 - least)
-    high = max(len(s) for s in sets.values()) * (2 - least) / least
+    # Whole numbers throughout: rounded bounds would drop passages that lie on them. least is up / down.
+    up, down = Fraction(str(least)).as_integer_ratio()
+    low = -(-min(len(s) for s in sets.values()) * up // (2 * down - up))
+    high = max(len(s) for s in sets.values()) * (2 * down - up) // up
 
     lines = F.split("text", "\n")
     paragraphs = F.split("text", r"\n[ \t\r]*\n")
     passages = F.array_distinct(F.concat(lines, paragraphs, F.array("text")))
     cut = texts.filter("text IS NOT NULL").select("doc_id", F.explode(passages).alias("passage"))
     # Bounds first: a bigram takes at least three characters with the blank that parts it from the next one.
-    cut = cut.filter(F.length("passage") >= int(2 * low))
+    cut = cut.filter(F.length("passage") >= 2 * low)
     plain = F.trim(F.regexp_replace(F.translate("passage", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), "[^a-z0-9]+", " "))
     # Exploding a one-element array computes an expression once, however often later steps use it.
     once = lambda value: F.explode(F.array(value))
     cut = cut.select("doc_id", "passage", once(F.split(plain, " ")).alias("words"))
     # A passage of many words may still repeat few bigrams, so only the lower bound holds for words.
-    cut = cut.filter(F.size("words") > max(1.0, low))
+    cut = cut.filter(F.size("words") > max(1, low))
     # Without a telling word of a template there is no match; this spares most passages the bigrams.
-    cut = cut.filter(F.arrays_overlap("words", _constants(_telling_words(sets, least))))
+    cut = cut.filter(F.arrays_overlap("words", _constants(_telling_words(sets, up, down))))
     pairs = F.transform(F.sequence(F.lit(0), F.size("words") - 2), lambda k: F.concat_ws(" ", F.get("words", k), F.get("words", k + 1)))
     cut = cut.select("doc_id", "passage", once(F.array_distinct(pairs)).alias("own")).filter(F.size("own").between(low, high))
     known = _constants(sorted(set().union(*sets.values())))
@@ -86,10 +89,11 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, least: float
     wanted = docs.sparkSession.createDataFrame(
         [(name, len(found), b) for name, found in sorted(sets.items()) for b in sorted(found)], "licence string, n_template int, bigram string")
     pairs = hits.join(F.broadcast(wanted), "bigram").filter(
-        F.col("n_own").between(F.col("n_template") * (least / (2 - least)), F.col("n_template") * ((2 - least) / least)))
+        (F.col("n_own") * (2 * down - up) >= F.col("n_template") * up) & (F.col("n_own") * up <= F.col("n_template") * (2 * down - up)))
     # Repeated document rows repeat their bigrams; distinct ones are counted.
     counted = pairs.groupBy("doc_id", "passage", "n_own", "licence", "n_template").agg(F.countDistinct("bigram").alias("common"))
-    dice = counted.withColumn("dice", 2.0 * F.col("common") / (F.col("n_own") + F.col("n_template"))).filter(F.col("dice") >= least)
+    alike = counted.filter(F.col("common") * (2 * down) >= (F.col("n_own") + F.col("n_template")) * up)
+    dice = alike.withColumn("dice", 2.0 * F.col("common") / (F.col("n_own") + F.col("n_template")))
     best = F.max_by("passage", F.struct(F.col("dice"), -F.length("passage"), F.col("passage")))
     return dice.groupBy("doc_id", "licence").agg(F.max("dice").alias("dice"), best.alias("passage"))
 
@@ -107,7 +111,7 @@ def _constants(values: list[str]) -> Column:
     return F.split(F.lit("\n".join(values)), "\n")
 
 
-def _telling_words(sets: dict[str, set[str]], least: float) -> list[str]:
+def _telling_words(sets: dict[str, set[str]], up: int, down: int) -> list[str]:
     """Words of which every template has at least one in so many bigrams that no match can do without them all.
 
     For each template, its longest words, common ones last, are taken until the bigrams without any of them are too few for a match.
@@ -117,8 +121,8 @@ def _telling_words(sets: dict[str, set[str]], least: float) -> list[str]:
         words = sorted({w for b in found for w in b.split()}, key=lambda w: (w in COMMON, -len(w), w))
         left = [b.split() for b in found]
         for word in words:
-            # A match has 2 * common >= least * (own + template) and own >= common, so common >= template * least / (2 - least).
-            if len(left) < len(found) * least / (2 - least):
+            # A match has 2 * common >= least * (own + template) and own >= common, so common >= template * least / (2 - least), least being up / down.
+            if len(left) * (2 * down - up) < len(found) * up:
                 break
             taken.add(word)
             left = [pair for pair in left if word not in pair]

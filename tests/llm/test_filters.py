@@ -248,3 +248,12 @@ def test_common_licences_are_found(texts):
         rows = [r for r in found if r.doc_id == k]
         best = max((r.dice for r in rows), default=0)
         assert any(r.licence.startswith(licence) and r.dice == best for r in rows), line[:80]
+
+
+def test_licences_on_the_bounds_are_found(texts):
+    """Passages whose size, overlap or Dice is exactly the least that counts."""
+    assert [(r.licence, r.dice) for r in licences.scan(texts([(1, "All rights reserved.")])).collect()] == [("all-rights-reserved", 0.8)]
+    for least, n, m in [(0.8, 3, 2), (0.8, 6, 4), (0.8, 9, 6), (0.5, 6, 2), (0.6, 7, 3), (0.9, 11, 9), (0.7, 13, 7)]:
+        longer, part = (" ".join(f"w{k}" for k in range(size + 1)) for size in (n, m))
+        assert licences.scan(texts([(1, part)], 1), {"longer": longer}, least).count() == 1, (least, n, m)
+        assert licences.scan(texts([(1, longer)], 1), {"part": part}, least).count() == 1, (least, n, m)
