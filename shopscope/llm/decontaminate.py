@@ -6,9 +6,10 @@ typed placeholders, other tokens their lower-cased form. Every five template tok
 and the windows of a document meet those of the benchmark in a hash join. Windows with fewer than two
 plain tokens say nothing and do not count, unless an item has no others.
 
-For each item that a document meets, window pairs vote for an alignment (document place minus
-item place; the stretch of half an item's length with most votes wins), so only windows that lie together count. A document holds an item if at least
-``share`` of the item's distinct windows occur in one such stretch and the placeholders agree: every value that the item has in a slot must
+For each item that a document meets, a window pair has an alignment (document place minus
+item place), and alignments in a stretch of half an item's length are judged together, so only windows that lie together count. Every stretch that holds
+enough windows is judged along each of its alignments: an item token stands for one document token, by the nearest alignment that has it. A document holds an item if at least
+``share`` of the item's distinct windows occur in one such stretch and the placeholders agree along one alignment: every value that the item has in a slot must
 stand for one value of the same type in the document (2 and 5 may become 7 and 9, but both 2s must become 7). That catches
 re-parameterised questions and keeps apart texts that only share a form.
 
@@ -131,8 +132,8 @@ class Index:
         self.sieve = np.zeros(1 << 24, bool)
         self.sieve[(self.grams >> np.uint64(40)).astype(np.int64)] = True
 
-    def matches(self, t: Template) -> Iterator[tuple[int, int, int, float, float]]:
-        """(text, item, windows, share, agreement) of every pair that shares a window, best alignment each."""
+    def matches(self, t: Template, share: float) -> Iterator[tuple[int, int, int, float, float]]:
+        """(text, item, windows, share, agreement) of every stretch with at least ``share`` and every alignment in it; a perfect one ends its pair."""
         grams, at, _ = t.windows()
         near = np.flatnonzero(self.sieve[(grams >> np.uint64(40)).astype(np.int64)])
         grams, at = grams[near], at[near]
@@ -150,13 +151,23 @@ class Index:
             k = int(item[a])
             span = max(2, self.lengths[k] // 2)
             starts = start[a:b]
-            # The stretch of alignments, no wider than half the item, that holds the most windows.
-            stop = np.searchsorted(starts, starts + span, side="right")
-            votes = stop - np.arange(len(starts))
-            for lead in np.argsort(-votes, kind="stable")[:1]:
-                rows = slice(a + lead, a + int(stop[lead]))
-                found = len(np.unique(self.grams[entry[rows]]))
-                yield int(text[a]), k, found, found / self.sizes[k], self._agreement(t, at[hit[rows]], self.at[entry[rows]])
+            # Every stretch of alignments no wider than half the item.
+            lead = np.flatnonzero(np.concatenate([[True], starts[1:] != starts[:-1]]))
+            stop = np.searchsorted(starts, starts[lead] + span, side="right")
+            own = stop - lead >= share * self.sizes[k]
+            best = 0.0
+            for c, d in zip((a + lead[own]).tolist(), (a + stop[own]).tolist()):
+                found = len(np.unique(self.grams[entry[c:d]]))
+                if found < share * self.sizes[k]:
+                    continue
+                for anchor in np.unique(start[c:d]).tolist():
+                    same = self._agreement(t, at[hit[c:d]], self.at[entry[c:d]], np.abs(start[c:d] - anchor))
+                    yield int(text[a]), k, found, found / self.sizes[k], same
+                    best = max(best, same if found == self.sizes[k] else 0.0)
+                    if best == 1.0:
+                        break
+                if best == 1.0:
+                    break
         for n, keys in self.short_keys.items():
             grams = ngram_hashes(t.codes, n)
             wanted = np.array(sorted(keys), np.uint64)
@@ -164,12 +175,21 @@ class Index:
                 k = int(np.searchsorted(t.of, p, side="right") - 1)
                 if p + n <= t.of[k + 1]:
                     for item_k in keys[int(grams[p])]:
-                        yield k, item_k, 1, 1.0, self._agreement(t, np.array([p]), np.array([self.of[item_k]]), n)
-
-    def _agreement(self, t: Template, there: np.ndarray, here: np.ndarray, width: int = WIDTH) -> float:
-        """Share of the slots whose value stands for one and the same value throughout; 1 without slots."""
-        pairs = np.unique(np.stack([(there[:, None] + np.arange(width)).ravel(), (here[:, None] + np.arange(width)).ravel()], 1), axis=0)
-        pairs = pairs[self.kinds[pairs[:, 1]] > 0]
+                        yield k, item_k, 1, 1.0, self._agreement(t, np.array([p]), np.array([self.of[item_k]]), np.zeros(1, np.int64), n)
+
+    def _agreement(self, t: Template, there: np.ndarray, here: np.ndarray, away: np.ndarray, width: int = WIDTH) -> float:
+        """Share of the slots whose value stands for one and the same value throughout; 1 without slots.
+
+        Window pairs ``away`` from the alignment judged count only for item tokens that no nearer one has.
+        """
+        doc, own = (there[:, None] + np.arange(width)).ravel(), (here[:, None] + np.arange(width)).ravel()
+        slot = self.kinds[own] > 0
+        doc, own, far = doc[slot], own[slot], np.repeat(away, width)[slot]
+        order = np.lexsort((doc, far, own))
+        doc, own = doc[order], own[order]
+        first = np.ones(len(own), bool)
+        first[1:] = own[1:] != own[:-1]
+        pairs = np.stack([doc[first], own[first]], 1)
         if not len(pairs):
             return 1.0
         votes: dict[int, dict[int, int]] = {}
@@ -198,7 +218,7 @@ def _matcher(shared, share: float, agree: float):
         index = Index(shared.value)
         for piece in slices(batches):
             best: dict[tuple[int, int], tuple] = {}
-            for text, item, windows, part, same in index.matches(Template(piece.column("text"))):
+            for text, item, windows, part, same in index.matches(Template(piece.column("text")), share):
                 if part >= share and same >= agree:
                     best[text, item] = max(best.get((text, item), (0, 0.0, 0.0)), (windows, part, same))
             rows = sorted(best)
@@ -237,7 +257,7 @@ def _filter(shared, share: float, agree: float):
         index = Index(shared.value)
         for piece in slices(batches):
             keep = np.ones(piece.num_rows, bool)
-            for text, _, _, part, same in index.matches(Template(piece.column("text"))):
+            for text, _, _, part, same in index.matches(Template(piece.column("text")), share):
                 if part >= share and same >= agree:
                     keep[text] = False
             yield piece.filter(pa.array(keep))

@@ -257,3 +257,20 @@ def test_licences_on_the_bounds_are_found(texts):
         longer, part = (" ".join(f"w{k}" for k in range(size + 1)) for size in (n, m))
         assert licences.scan(texts([(1, part)], 1), {"longer": longer}, least).count() == 1, (least, n, m)
         assert licences.scan(texts([(1, longer)], 1), {"part": part}, least).count() == 1, (least, n, m)
+
+
+def test_every_alignment_is_judged(texts, spark):
+    items = ["What is 2 plus 3 plus 4 plus 5 plus 6 plus 7", BENCH[0][1], "2 apples 3 apples 4 apples 5 apples 6 apples 7 apples"]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    rng = random.Random(7)
+    docs = [(k, f"{prose(rng, 30)}. {item}. {prose(rng, 30)}") for k, item in enumerate(items)]
+    strict = [(1, "If a train leaves Boston at 5 with 60 km per hour and another leaves at 5 with 60 km per hour when do 5 trains meet 5 trains")]
+    tangled = strict[0][1].split()
+    tangled = " ".join(str(200 + k) if w.isdigit() else w for k, w in enumerate(tangled))
+    found = {(r.doc_id, r.item_id, r.slot_agreement) for r in decontaminate.contaminated(texts(docs), bench).collect()}
+    assert {(k, k, 1.0) for k in range(len(items))} <= found
+    quiz = texts([(1, f"{tangled}. {prose(rng, 40)}. {strict[0][1]}")])
+    repeats = spark.createDataFrame(strict, "item_id long, text string")
+    assert decontaminate.contaminated(texts([(1, tangled)]), repeats).count() == 0
+    assert decontaminate.contaminated(quiz, repeats).count() == 1
+    assert decontaminate.without_contaminated(quiz, repeats).count() == 0
