@@ -1,8 +1,10 @@
 """Benchmark decontamination by canonical templates (operator 6).
 
-Tokens are runs of letters and digits (any byte from 0x80 on counts as a letter; a point or comma between digits
+Tokens are runs of letters and digits (any byte from 0x80 on counts as a letter, but for typographic quotes, dashes and blanks; a point or comma between digits
 belongs to the number). Numbers, units after a number, and names (a capital inside a sentence, not followed by another) become
-typed placeholders, other tokens their lower-cased form. Every five template tokens make a window; windows are hashed,
+typed placeholders, other tokens their lower-cased form. As case and the signs around a word may change in a copy, texts are also compared
+in two more forms, and an item counts if any form has it: by words without names, whatever their case, and with a run of names as one
+name, where a word after a bracket, a quote or a list sign is no name. Every five template tokens make a window; windows are hashed,
 and the windows of a document meet those of the benchmark in a hash join. Windows with fewer than two
 plain tokens say nothing and do not count, unless an item has no others.
 
@@ -46,17 +48,33 @@ _MARK = np.zeros(256, bool)
 _MARK[[ord(c) for c in ".,"]] = True
 _STOP = np.zeros(256, bool)
 _STOP[[ord(c) for c in ".!?:;\n\r|"]] = True
+#: Signs that open a quotation, a bracket or a list entry.
+_OPEN = _STOP.copy()
+_OPEN[[ord(c) for c in "()[]{}<>\"*#_=/"]] = True
+
+#: As the text has them; names as plain words; a run of names as one name.
+FORMS = CASED, PLAINER, FOLDED = range(3)
 
 NUMBER, UNIT, NAME = (np.uint64(hash_bytes(x)) for x in (b"\x00number", b"\x00unit", b"\x00name"))
 _UNIT_HASHES = np.array(sorted(hash_bytes(u.encode()) for u in UNITS), np.uint64)
 
 
+def _signs(buf: np.ndarray) -> np.ndarray:
+    """Bytes of the signs U+2000 to U+203F (quotes, dashes, blanks), of angle quotes and of the hard blank."""
+    out = np.zeros(len(buf), bool)
+    three = np.flatnonzero((buf[:-2] == 0xE2) & (buf[1:-1] == 0x80))
+    out[three] = out[three + 1] = out[three + 2] = True
+    two = np.flatnonzero((buf[:-1] == 0xC2) & np.isin(buf[1:], [0xA0, 0xAB, 0xBB]))
+    out[two] = out[two + 1] = True
+    return out
+
+
 class Template:
     """Tokens of some texts: canonical ``codes``, own hashes ``values``, ``kinds`` (0 plain, 1 number, 2 unit, 3 name), text k in ``of[k]`` to ``of[k + 1]``."""
 
-    def __init__(self, column: pa.Array):
+    def __init__(self, column: pa.Array, form: int = CASED):
         buf, bounds = flat(column)
-        inside = _TOKEN[buf]
+        inside = _TOKEN[buf] & ~_signs(buf)
         digit = _DIGIT[buf]
         inner = np.zeros(len(buf), bool)
         inner[1:-1] = _MARK[buf[1:-1]] & digit[:-2] & digit[2:]
@@ -74,19 +92,35 @@ class Template:
         number = digit[self.starts]
         fresh = np.zeros(len(self.starts), bool)
         fresh[self.of[:-1][self.of[:-1] < len(fresh)]] = True
-        stops = np.concatenate([[0], np.cumsum(_STOP[buf], dtype=np.int32)])
+        stops = np.concatenate([[0], np.cumsum((_OPEN if form == FOLDED else _STOP)[buf], dtype=np.int32)])
         fresh[1:] |= stops[self.starts[1:]] > stops[ends[:-1]]
         after = np.zeros(len(buf) + 1, np.uint8)
         after[:len(buf)] = buf
         second = after[self.starts + 1]
         capital = ((head >= 65) & (head <= 90)) | ((head == 0xC3) & (second >= 0x80) & (second <= 0x9E))
         # A word in capitals throughout is emphasis, not a name.
-        name = capital & ~fresh & ~((second >= 65) & (second <= 90))
+        name = capital & ~fresh & ~((second >= 65) & (second <= 90)) & (form != PLAINER)
         unit = np.zeros(len(number), bool)
         unit[1:] = number[:-1] & np.isin(self.values[1:], _UNIT_HASHES)
         unit[self.of[:-1][self.of[:-1] < len(unit)]] = False
         self.kinds = np.select([number, unit, name], [1, 2, 3], 0).astype(np.int8)
         self.codes = np.select([number, unit, name], [NUMBER, UNIT, NAME], self.values)
+        if form == FOLDED:
+            self._fold()
+
+    def _fold(self) -> None:
+        """One token for each run of names within a text; its value is that of all of them."""
+        named = self.kinds == 3
+        keep = np.ones(len(named), bool)
+        keep[1:] = ~(named[1:] & named[:-1])
+        keep[self.of[:-1][self.of[:-1] < len(keep)]] = True
+        at = np.flatnonzero(keep)
+        if len(at):
+            place = np.arange(len(keep)) - np.repeat(at, np.diff(np.append(at, len(keep))))
+            self.values = mix(np.add.reduceat(self.values * (2 * place + 1).astype(np.uint64), at))
+        self.of = np.concatenate([[0], np.cumsum(keep)])[self.of]
+        self.starts, self.kinds = self.starts[at], self.kinds[at]
+        self.codes = self.codes[at]
 
     def windows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Hash, first token and number of plain tokens of every window that lies within one text."""
@@ -102,9 +136,10 @@ class Template:
 class Index:
     """Windows of some benchmark items, sorted by hash."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], form: int = CASED):
         self.ids = [k for k, _ in items]
-        t = Template(pa.array([x for _, x in items], pa.string()))
+        self.form = form
+        t = Template(pa.array([x for _, x in items], pa.string()), form)
         self.kinds, self.values, self.of = t.kinds, t.values, t.of
         grams, at, plain = t.windows()
         owner = np.searchsorted(t.of, at, side="right") - 1
@@ -199,6 +234,11 @@ class Index:
         return sum(max(of.values()) for of in votes.values()) / len(pairs)
 
 
+def _all_matches(indexes: list[Index], column: pa.Array, share: float) -> Iterator[tuple[int, int, int, float, float]]:
+    for index in indexes:
+        yield from index.matches(Template(column, index.form), share)
+
+
 def blocks(benchmark: DataFrame, block_windows: int = BLOCK_WINDOWS) -> Iterator[list[tuple[int, str]]]:
     """Items in lists of a bounded number of words; a longer item stands alone."""
     part, size = [], 0
@@ -215,17 +255,17 @@ def blocks(benchmark: DataFrame, block_windows: int = BLOCK_WINDOWS) -> Iterator
 
 def _matcher(shared, share: float, agree: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Index(shared.value)
+        indexes = [Index(shared.value, form) for form in FORMS]
         for piece in slices(batches):
             best: dict[tuple[int, int], tuple] = {}
-            for text, item, windows, part, same in index.matches(Template(piece.column("text")), share):
+            for text, item, windows, part, same in _all_matches(indexes, piece.column("text"), share):
                 if part >= share and same >= agree:
                     best[text, item] = max(best.get((text, item), (0, 0.0, 0.0)), (windows, part, same))
             rows = sorted(best)
             ids = piece.column("doc_id").take(pa.array([a for a, _ in rows], pa.int64()))
             found = [best[k] for k in rows]
             yield pa.record_batch(
-                [ids, pa.array([index.ids[b] for _, b in rows], pa.int64()), pa.array([x[0] for x in found], pa.int64()),
+                [ids, pa.array([indexes[0].ids[b] for _, b in rows], pa.int64()), pa.array([x[0] for x in found], pa.int64()),
                  pa.array([float(x[1]) for x in found], pa.float64()), pa.array([float(x[2]) for x in found], pa.float64())],
                 ["doc_id", "item_id", "windows", "share", "slot_agreement"])
 
@@ -254,10 +294,10 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, share: float = S
 
 def _filter(shared, share: float, agree: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Index(shared.value)
+        indexes = [Index(shared.value, form) for form in FORMS]
         for piece in slices(batches):
             keep = np.ones(piece.num_rows, bool)
-            for text, _, _, part, same in index.matches(Template(piece.column("text")), share):
+            for text, _, _, part, same in _all_matches(indexes, piece.column("text"), share):
                 if part >= share and same >= agree:
                     keep[text] = False
             yield piece.filter(pa.array(keep))

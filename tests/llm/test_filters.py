@@ -274,3 +274,20 @@ def test_every_alignment_is_judged(texts, spark):
     assert decontaminate.contaminated(texts([(1, tangled)]), repeats).count() == 0
     assert decontaminate.contaminated(quiz, repeats).count() == 1
     assert decontaminate.without_contaminated(quiz, repeats).count() == 0
+
+
+def test_copies_in_other_case_and_signs(texts, spark):
+    items = [
+        "What is the sum of nine", "Who wrote the long red book", "Anna told Bob that the farmer Carl had sold seven hungry goats to Dora. Then Bob asked Anna where Carl went.",
+        "The farmer told Bob that seven hungry goats had left the barn before noon and gone to the river with their friends",
+    ]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    shapes = ["1) {}", "- {}", "* {}", '"{}"', "well, {}", "Question 7 {}", "({})", "\u201c{}\u201d", "\u2014{}"]
+    rows = [(100 * k + n, shape.format(item)) for k, item in enumerate(items) for n, shape in enumerate(shapes)]
+    rows += [(100 * k + 50, item.lower()) for k, item in enumerate(items)] + [(100 * k + 51, item.replace(".", "")) for k, item in enumerate(items)]
+    rows.append((352, items[3].replace("Bob", "Mary Ann")))
+    rows.append((900, "the farmer asked where the goats of the river were"))
+    found = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(texts(rows), bench).collect()}
+    assert found == {(d, d // 100) for d, _ in rows if d < 900}
+    kept = decontaminate.without_contaminated(texts(rows), bench).collect()
+    assert [r.doc_id for r in kept] == [900]
