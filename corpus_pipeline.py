@@ -13,7 +13,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from shopscope.llm import decontaminate, mixing, neardup, tokenfiles, toxicity
 from shopscope.llm.tables import table, vocabulary
@@ -31,10 +30,7 @@ NEAR = 80
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    judged = neardup.near_duplicates(docs, percent=NEAR)
-    # Rows to drop are fewer than rows to keep, and a row without a verdict stays.
-    gone = judged.filter("NOT kept").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__gone")), "left_anti")
+    return neardup.without_near_duplicates(docs, percent=NEAR)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

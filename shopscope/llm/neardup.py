@@ -20,7 +20,7 @@ a group. Nothing is capped: every candidate is in one pair of blocks.
 
 Null or empty texts have an empty set and are linked with nothing. Rows are identified by doc_id: repeated rows
 of one id are one document if their texts agree, and are classed each by its own text if not. A null doc_id takes part, but is not the least of a
-component unless all ids in it are null.
+component unless all ids in it are null. Of the classes that hold the least id of a component, the least class is kept.
 """
 
 from __future__ import annotations
@@ -123,6 +123,14 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["doc_id", "n_shingles", "class", "registers"])
 
 
+def _classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts with their class, which a repeated or null id does not tell."""
+    for piece in slices(batches):
+        values, owner = distinct_sets(*shingles(Words(piece.column("text"))))
+        _, digest = set_keys(values, owner, piece.num_rows)
+        yield pa.record_batch([piece.column("doc_id"), key_rows(digest), piece.column("text")], ["doc_id", "class", "text"])
+
+
 def _keyed_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for piece in slices(batches):
         values, owner = distinct_sets(*shingles(Words(piece.column("text"))))
@@ -234,7 +242,8 @@ def near_duplicates(docs: DataFrame, percent: int = THRESHOLD, block: int = BLOC
     # One document stands for its class; its text is read again and only such texts are shuffled on.
     keys = members.select(F.col("class"), F.col("first_id").alias("stand_in"))
     of_class = sketched.select("doc_id", "class").join(keys, "class", "left_semi").groupBy("class").agg(F.min("doc_id").alias("stand_in"))
-    picked = texts.join(of_class, F.col("doc_id") == F.col("stand_in")).select("class", "text")
+    classed = texts.mapInArrow(_classed, "doc_id long, class binary, text string")
+    picked = classed.join(of_class.withColumnRenamed("class", "of"), F.col("doc_id").eqNullSafe(F.col("stand_in")) & (F.col("class") == F.col("of"))).select("class", "text")
     sets = picked.mapInArrow(_keyed_sets, "class binary, shingles binary").groupBy("class").agg(F.first("shingles").alias("shingles"))
     full = members.drop("first_id").join(sets, "class")
     dealt = full.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
@@ -246,9 +255,28 @@ def near_duplicates(docs: DataFrame, percent: int = THRESHOLD, block: int = BLOC
 
     named = classes.select("class", "first_id").join(joined, F.col("class") == F.col("node"), "left").select(
         "class", "first_id", F.coalesce("root", "class").alias("root"))
-    smallest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    by_class = named.join(smallest, "root").select(F.col("class").alias("of"), "component_id")
+    # Nulls last: the least id that is one, then the least class with it.
+    least_one = F.min(F.struct(F.col("first_id").isNull(), F.col("first_id").alias("id"), F.col("class").alias("class")))
+    smallest = named.groupBy("root").agg(least_one.alias("one")).select("root", F.col("one.id").alias("component_id"), F.col("one.class").alias("keeper"))
+    by_class = named.join(smallest, "root").select(F.col("class").alias("of"), "component_id", "keeper")
     result = sketched.drop("registers").join(by_class, F.col("class") == F.col("of"), "left")
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return result.select("doc_id", "n_shingles", "class", component.alias("component_id")).withColumn(
-        "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    keeper = (F.col("n_shingles") == 0) | (F.col("class") == F.col("keeper"))
+    return result.select("doc_id", "n_shingles", "class", component.alias("component_id"), keeper.alias("keeper")).withColumn(
+        "kept", F.col("doc_id").eqNullSafe(F.col("component_id")) & F.col("keeper")).drop("keeper")
+
+
+def without_near_duplicates(docs: DataFrame, percent: int = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, all columns, that are kept: rows are told apart by doc_id, nulls included, and class. Runs jobs."""
+    # Rows to drop are fewer than rows to keep, and a row without a verdict stays.
+    gone = near_duplicates(docs, percent).filter("NOT kept").select(F.col("doc_id").alias("__id"), F.col("class").alias("__gone")).distinct()
+    keyed = docs.mapInArrow(_with_class, docs.select("*", F.lit(b"").alias("__class")).schema)
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__class") == F.col("__gone"))
+    return keyed.join(gone, same, "left_anti").drop("__class")
+
+
+def _with_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for piece in slices(batches):
+        values, owner = distinct_sets(*shingles(Words(piece.column("text"))))
+        _, digest = set_keys(values, owner, piece.num_rows)
+        yield pa.record_batch([*piece.columns, key_rows(digest)], [*piece.schema.names, "__class"])

@@ -193,3 +193,22 @@ def test_pipeline_stage_matches_all_pairs_at_80(spark, texts):
     assert len(want) < len({doc_id for doc_id, n, least in brute_components(rows) if not n or doc_id == least})
     kept = corpus_pipeline.drop_near_duplicates(spark, texts(rows), "")
     assert sorted(r.doc_id for r in kept.collect()) == sorted(want)
+
+
+def test_near_copies_under_null_and_repeated_ids(spark, texts):
+    rng = random.Random(9)
+    base = [[f"u{rng.randrange(10**6)}" for _ in range(150)] for _ in range(8)]
+    copy = lambda k, at: " ".join([*base[k][:at], "other", *base[k][at + 1:]])
+    plain = [" ".join(b) for b in base]
+    rows = [
+        (None, plain[0]), (None, copy(0, 0)), (None, copy(0, 149)),  # null ids only
+        (None, plain[1]), (1, copy(1, 0)),  # a null copies a document
+        (None, plain[2]),  # a null that copies nothing
+        (7, plain[3]), (3, copy(3, 0)), (7, plain[4]),  # one id, two texts, one of them a copy
+        (9, plain[5]), (9, plain[6]), (10, copy(5, 0)), (11, copy(6, 0)),  # both texts of an id have copies
+    ]
+    assert near_rows(neardup.near_duplicates(texts(rows))) == sorted(brute_components(rows), key=str)
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_duplicates(spark, texts(rows), "").collect()]
+    nulls = {text for _, text in rows[:3]}
+    assert len(nulls & {t for d, t in kept if d is None}) == 1
+    assert sorted((r for r in kept if r[1] not in nulls), key=str) == sorted([rows[4], rows[5], rows[7], rows[8], rows[9], rows[10]], key=str)
