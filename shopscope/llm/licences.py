@@ -84,7 +84,9 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, least: float
     pairs = F.transform(F.sequence(F.lit(0), F.size("words") - 2), lambda k: F.concat_ws(" ", F.get("words", k), F.get("words", k + 1)))
     cut = cut.select("doc_id", "passage", once(F.array_distinct(pairs)).alias("own")).filter(F.size("own").between(low, high))
     known = _constants(sorted(set().union(*sets.values())))
-    hits = cut.select("doc_id", "passage", F.size("own").alias("n_own"), F.explode(F.array_intersect("own", known)).alias("bigram"))
+    hits = cut.select("doc_id", "passage", F.size("own").alias("n_own"), once(F.array_intersect("own", known)).alias("hit"))
+    # As template >= common, a match also has common >= own * least / (2 - least); other passages need not be joined.
+    hits = hits.filter(F.size("hit") * (2 * down - up) >= F.col("n_own") * up).select("doc_id", "passage", "n_own", F.explode("hit").alias("bigram"))
     # At most MOST_BIGRAMS rows, checked above.
     wanted = docs.sparkSession.createDataFrame(
         [(name, len(found), b) for name, found in sorted(sets.items()) for b in sorted(found)], "licence string, n_template int, bigram string")
