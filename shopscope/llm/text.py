@@ -109,10 +109,10 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = S
 class Words:
     """The words of some texts: ``starts`` and ``ends`` in ``buf``; text k has words ``of[k]`` to ``of[k + 1]``."""
 
-    def __init__(self, column: pa.Array, lower: bool = True):
+    def __init__(self, column: pa.Array, lower: bool = True, space: np.ndarray = IS_SPACE):
         buf, self.bounds = flat(column)
         self.buf = LOWER[buf] if lower else buf
-        inside = ~IS_SPACE[buf]
+        inside = ~space[buf]
         first = inside.copy()
         first[1:] &= ~inside[:-1]
         last = inside.copy()
@@ -142,6 +142,30 @@ class Words:
         return span_hashes(self.buf, self.starts, self.ends)
 
 
+def span_bytes(buf: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The bytes of all spans in a row."""
+    at = np.repeat(starts - (np.cumsum(lengths) - lengths), lengths)
+    at += np.arange(len(at))
+    return buf[at]
+
+
+def distinct_spans(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first, which): one span for each different string, and the place in ``first`` of every span's string.
+
+    Spans are grouped by hash and then compared with the one that stands for them, so a hash never decides.
+    """
+    _, first, which = np.unique(span_hashes(buf, starts, ends), return_index=True, return_inverse=True)
+    lengths, like = ends - starts, first[which]
+    if (lengths[like] == lengths).all() and (span_bytes(buf, starts, lengths) == span_bytes(buf, starts[like], lengths)).all():
+        return first, which
+    raw, numbers, first, which = buf.tobytes(), {}, [], np.empty(len(starts), np.int64)
+    for k, (a, b) in enumerate(zip(starts.tolist(), ends.tolist())):
+        which[k] = numbers.setdefault(raw[a:b], len(numbers))
+        if which[k] == len(first):
+            first.append(k)
+    return np.array(first, np.int64), which
+
+
 def ngram_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
     """Hash of every ``width`` consecutive entries, by the first one, across text bounds."""
     n = max(0, len(hashes) - width + 1)
