@@ -18,7 +18,7 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 def test_registered():
     numbers = [int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")]
-    assert numbers == list(range(1, 11)) and "pipeline" in QUERIES
+    assert numbers == list(range(1, 14)) and "pipeline" in QUERIES
     assert set(QUERIES) <= set(contract.queries()) and set(ORACLE_SQL) <= set(contract.oracle_sql())
 
 
@@ -36,7 +36,7 @@ def test_agrees_with_sql(spark, folder, name):
 
 def test_shapes(spark, folder):
     n = spark.read.parquet(f"{folder}/documents.parquet").count()
-    for name in ("op1_wavelet_tokens", "op3_maxent_scores", "op5_piece_counts", "op8_entropy_mix", "op9_hyperminhash"):
+    for name in ("op1_wavelet_tokens", "op3_maxent_scores", "op5_piece_counts", "op8_entropy_mix", "op9_hyperminhash", "op13_bitmap_manifest"):
         assert QUERIES[name](spark, folder).count() == n
 
 
@@ -84,7 +84,7 @@ def test_pipeline_filters_match_brute_force(spark, folder):
     for i, a in enumerate(ids):
         for b in ids[:i]:
             x, y = sets[a], sets[b]
-            if x and y and 100 * min(len(x), len(y)) >= 85 * max(len(x), len(y)) and 100 * len(x & y) >= 85 * len(x | y):
+            if x and y and 100 * len(x & y) >= corpus_pipeline.NEAR * len(x | y):
                 ra, rb = find(a), find(b)
                 root[max(ra, rb)] = min(ra, rb)
     assert {r.doc_id for r in corpus_pipeline.STAGES[1][1](spark, kept, folder).collect()} == {d for d in ids if find(d) == d}
