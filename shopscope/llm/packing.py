@@ -35,19 +35,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from shopscope.llm.text import Words, distinct_spans, slices
+from shopscope.llm.text import LOWER, Words, distinct_spans, slices
 from shopscope.session import stored
 
 CAPACITY = 2048
 END_ID = 0
 KNOWN_WORDS = 1 << 18
-KNOWN_BYTES = 48
+SLICE = 2 << 20
+LETTER, DIGIT, SIGN, ODD = range(1, 5)
 
 
 class WordPieces:
-    """Ids of texts for a tokenizer that drops white space: words between ASCII white space are encoded one by one, each known word once.
+    """Ids of texts for a lower-casing tokenizer that drops white space and splits letters, single digits and signs.
 
-    Neither normalisation nor a piece spans white space in such a vocabulary, so the ids are those of the whole text.
+    Neither normalisation nor a piece spans white space in such a vocabulary, so words are encoded apart. Words of printing ASCII (without apostrophes, which
+    may begin a contraction, and names of added tokens) and two-byte Latin letters are cut further, into runs of letters, digits and runs of signs, as the
+    vocabulary's own pattern does. Every different string is encoded once by the library.
     """
 
     def __init__(self, path: str):
@@ -55,34 +58,96 @@ class WordPieces:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, list[int]] = {}
+        self.clear()
+        kind = np.full(256, ODD, np.uint8)
+        kind[33:127], kind[48:58] = SIGN, DIGIT
+        kind[65:91] = kind[97:123] = LETTER
+        kind[0x27] = ODD
+        self.kind = kind
+        #: The byte-level alphabet: printing Latin-1 characters stand for themselves, the other bytes for characters from 256 on.
+        own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        self.alphabet = np.arange(256, dtype="<u2")
+        self.alphabet[sorted(set(range(256)) - set(own))] = np.arange(256, 512 - len(own))
+        # Strings are distinct already; the library's own cache would only cost time.
+        self.tokenizer.model._resize_cache(0)
+
+    def clear(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.start, self.size, self.tape = (np.zeros(0, t) for t in (np.int64, np.int64, np.uint32))
+
+    def kinds(self, buf: np.ndarray) -> np.ndarray:
+        """What each byte is part of; white space does not matter."""
+        kind = self.kind[buf]
+        if len(buf) > 1:
+            # U+00C0 to U+023F are letters but for the signs of times and division; the dotted capital I becomes two characters.
+            lead, tail = buf[:-1], buf[1:]
+            latin = (lead >= 0xC3) & (lead <= 0xC8) & ~((lead == 0xC3) & ((tail == 0x97) | (tail == 0xB7))) & ~((lead == 0xC4) & (tail == 0xB0))
+            at = np.flatnonzero(latin)
+            kind[at] = kind[at + 1] = LETTER
+            # Where an added token's name may begin.
+            kind[:-1][(lead == 0x3C) & (tail == 0x7C)] = ODD
+        return kind
+
+    def pieces(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Bytes, starts and ends of the strings to encode, in order, and which bytes belong to letters of words that were cut."""
+        buf, starts, ends = words.buf, words.starts, words.ends
+        kind = self.kinds(buf)
+        strange = np.concatenate([[0], np.cumsum(kind == ODD, dtype=np.int64)])
+        plain = strange[ends] == strange[starts]
+        inside = np.zeros(len(buf) + 1, np.int8)
+        inside[starts[plain]] += 1
+        inside[ends[plain]] -= 1
+        inside = np.cumsum(inside[:-1], dtype=np.int8).view(bool)
+        cut = np.zeros(len(buf), bool)
+        cut[1:] = inside[1:] & ((kind[1:] != kind[:-1]) | (kind[1:] == DIGIT))
+        cut[starts] = True
+        from_ = np.flatnonzero(cut)
+        to = np.append(from_[1:], len(buf))
+        word = np.searchsorted(starts, from_, side="right") - 1
+        return np.where(inside, LOWER[buf], buf), from_, np.minimum(to, ends[word]), inside & (kind == LETTER)
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and the number of ids of each."""
         words = Words(column, lower=False)
-        first, which = distinct_spans(words.buf, words.starts, words.ends)
-        raw = words.buf.tobytes()
-        strings = [raw[a:b] for a, b in zip(words.starts[first].tolist(), words.ends[first].tolist())]
-        known = self.known
-        new = [w for w in strings if w not in known]
-        for at in range(0, len(new), 4096):
-            some = new[at:at + 4096]
-            for word, found in zip(some, self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)):
-                known[word] = found.ids
-        ids_of = [known[w] for w in strings]
-        if len(known) > KNOWN_WORDS:
-            known.clear()
-        for word in new:
-            if len(word) > KNOWN_BYTES:
-                known.pop(word, None)
-        size = np.array([len(i) for i in ids_of], np.int64)
-        tape = np.fromiter((i for ids in ids_of for i in ids), np.uint32, int(size.sum()))
-        start = np.cumsum(size) - size
-        per_word = size[which]
-        place = np.repeat(start[which] - (np.cumsum(per_word) - per_word), per_word)
+        if not len(words):
+            return np.zeros(0, np.uint32), np.zeros(len(words.of) - 1, np.int64)
+        buf, starts, ends, letters = self.pieces(words)
+        first, which = distinct_spans(buf, starts, ends)
+        raw = buf.tobytes()
+        strings = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
+        number = self.numbers(strings, letters[starts[first]])[which]
+        size = self.size[number]
+        place = np.repeat(self.start[number] - (np.cumsum(size) - size), size)
         place += np.arange(len(place))
-        before = np.concatenate([[0], np.cumsum(per_word)])
-        return tape[place], before[words.of[1:]] - before[words.of[:-1]]
+        ids = self.tape[place]
+        before = np.concatenate([[0], np.cumsum(size)])
+        edge = before[np.searchsorted(starts, words.bounds)]
+        if len(self.known) > KNOWN_WORDS:
+            self.clear()
+        return ids, np.diff(edge)
+
+    def numbers(self, strings: list[bytes], letters: np.ndarray) -> np.ndarray:
+        """The place of each string in the tables of what is known; ``letters`` tells which are letters only."""
+        known = self.known
+        new = [k for k, w in enumerate(strings) if w not in known]
+        plain = letters[new]
+        words = [strings[k] for k, ok in zip(new, plain) if ok]
+        others = [strings[k] for k, ok in zip(new, plain) if not ok]
+        found: list[list[int]] = []
+        if words:
+            # A run of letters is one piece before merging, so it goes straight to the library's merges, in the byte-level alphabet.
+            lower = b" ".join(words).decode().lower().encode()
+            merge = self.tokenizer.model.tokenize
+            tape = self.alphabet[np.frombuffer(lower, np.uint8)].tobytes().decode("utf-16-le")
+            found += [[t.id for t in merge(w)] for w in tape.split(chr(self.alphabet[0x20]))]
+        for at in range(0, len(others), 4096):
+            found += [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in others[at:at + 4096]], add_special_tokens=False)]
+        known.update(zip(words + others, range(len(known), len(known) + len(found))))
+        size = np.array([len(ids) for ids in found], np.int64)
+        self.start = np.concatenate([self.start, len(self.tape) + np.cumsum(size) - size])
+        self.size = np.concatenate([self.size, size])
+        self.tape = np.concatenate([self.tape, np.fromiter((i for ids in found for i in ids), np.uint32, int(size.sum()))])
+        return np.array([known[w] for w in strings], np.int64)
 
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long"
@@ -92,7 +157,7 @@ def _cut(vocabulary: str, capacity: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part = WordPieces(vocabulary), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
-        for rows in slices(batches):
+        for rows in slices(batches, limit=SLICE):
             ids, counts = encoder.encode(rows.column("text"))
             raw = memoryview(np.insert(ids, np.cumsum(counts), end_id).astype("<u4").tobytes())
             counts = counts + 1
