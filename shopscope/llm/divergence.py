@@ -3,7 +3,7 @@
 Which terms set a source apart from its language, and how far apart the sources of a language are. Terms are runs of letters
 (A-Z lower-cased, all beyond ASCII as it is). A language keeps the terms that at least ``least`` of its documents hold:
 
-1. *Local counts.* Tasks cut texts into terms and put out (lang, source, term, documents, occurrences), summed over a slice of texts. A document is one row
+1. *Local counts.* Tasks cut texts into terms and put out (lang, term, documents, occurrences by source), summed over a slice of texts. A document is one row
    and lies in one slice, so documents add up without ever naming them.
 2. *Iceberg refinement.* A prefix is held by at least as many documents as any term that begins with it. The first level counts documents per prefix of four bytes and
    discards prefixes below ``least``; each level doubles the length and counts only below the prefixes that the level before kept. A zero byte ends each term,
@@ -23,6 +23,7 @@ Columns beside text, lang and source are not read. The result holds a row per or
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,7 @@ LEAST = 3
 SCALE = 1_000_000_000
 TOP = 200
 FIRST = 4
-SLICE = 4 << 20
+SLICE = 8 << 20
 END = b"\x00"
 
 #: Bytes that are no part of a term.
@@ -47,30 +48,34 @@ NO_TERM[65:91] = NO_TERM[97:123] = NO_TERM[128:] = False
 
 
 def _local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents and occurrences per (lang, source, term) of a slice."""
+    """Documents per (lang, term) of a slice, and occurrences by source."""
     for rows in slices(batches, limit=SLICE):
         words = Words(rows.column("text"), space=NO_TERM)
         if not len(words):
             continue
         first, which = distinct_spans(words.buf, words.starts, words.ends)
         langs, sources = (rows.column(c).dictionary_encode() for c in ("lang", "source"))
-        group = langs.indices.to_numpy().astype(np.int64) * len(sources.dictionary) + sources.indices.to_numpy()
-        # Terms of a document once each, then by group.
+        lang, source = (c.indices.to_numpy().astype(np.int64) for c in (langs, sources))
+        # Terms of a document once each, then by language, term and source.
         pairs, times = np.unique(words.text_of * len(first) + which, return_counts=True)
-        keys = group[pairs // len(first)] * len(first) + pairs % len(first)
+        doc, term = np.divmod(pairs, len(first))
+        keys = (lang[doc] * len(first) + term) * len(sources.dictionary) + source[doc]
         order = np.argsort(keys, kind="stable")
         keys = keys[order]
         edge = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        found, term = np.divmod(keys[edge], len(first))
-        lengths = (words.ends - words.starts)[first]
-        bounds = np.concatenate([[0], np.cumsum(lengths)])
-        terms = pa.LargeBinaryArray.from_buffers(
-            pa.large_binary(), len(first), [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(span_bytes(words.buf, words.starts[first], lengths))])
+        n = np.add.reduceat(times[order], edge)
+        named, of = np.divmod(keys[edge], len(sources.dictionary))
+        row = np.flatnonzero(np.concatenate([[True], named[1:] != named[:-1]]))
+        bounds = pa.array(np.append(row, len(named)).astype(np.int32))
+        held = np.diff(np.append(edge[row], len(keys)))
+        lang, term = np.divmod(named[row], len(first))
+        start, length = words.starts[first][term], (words.ends - words.starts)[first][term]
+        ends = np.concatenate([[0], np.cumsum(length)]).astype(np.int64)
+        terms = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(term), [None, pa.py_buffer(ends), pa.py_buffer(span_bytes(words.buf, start, length))])
         yield pa.record_batch(
-            [langs.dictionary.take(pa.array(found // len(sources.dictionary))), sources.dictionary.take(pa.array(found % len(sources.dictionary))),
-             pc.cast(terms.take(pa.array(term)), pa.binary()),
-             pa.array(np.diff(np.append(edge, len(keys)))), pa.array(np.add.reduceat(times[order], edge))],
-            ["lang", "source", "term", "docs", "n"])
+            [langs.dictionary.take(pa.array(lang)), pc.cast(terms, pa.binary()), pa.array(held),
+             pa.ListArray.from_arrays(bounds, sources.dictionary.take(pa.array(of))), pa.ListArray.from_arrays(bounds, pa.array(n))],
+            ["lang", "term", "docs", "sources", "counts"])
 
 
 def named(docs: DataFrame) -> DataFrame:
@@ -79,11 +84,11 @@ def named(docs: DataFrame) -> DataFrame:
 
 
 def local_counts(docs: DataFrame) -> DataFrame:
-    return stored(named(docs).mapInArrow(_local, "lang string, source string, term binary, docs long, n long"), "local_counts")
+    return stored(named(docs).mapInArrow(_local, "lang string, term binary, docs long, sources array<string>, counts array<long>"), "local_counts")
 
 
 def kept_terms(local: DataFrame, least: int = LEAST, first: int = FIRST) -> DataFrame:
-    """(lang, term) held by at least ``least`` documents of the language, by refinement of prefixes. Runs a job a level."""
+    """(lang, term) that at least ``least`` documents of the language hold, by refinement of prefixes. Runs a job a level."""
     ended = local.select("lang", F.concat("term", F.lit(END)).alias("term"), "docs")
     kept, alive, width = [], None, first
     while True:
@@ -100,10 +105,7 @@ def kept_terms(local: DataFrame, least: int = LEAST, first: int = FIRST) -> Data
         if alive.isEmpty():
             break
         width *= 2
-    out = kept[0]
-    for more in kept[1:]:
-        out = out.union(more)
-    return stored(out, "kept_terms")
+    return reduce(DataFrame.union, kept)
 
 
 def share(count: Column, total: Column, scale: int) -> Column:
@@ -118,19 +120,20 @@ def apart(p: Column, q: Column) -> Column:
 
 
 def profiles(local: DataFrame, groups: DataFrame, kept: DataFrame, scale: int) -> tuple[DataFrame, DataFrame]:
-    """(sources, terms): (lang, source, held, total, none) of every group, and (lang, term, q, of: [(source, n, p, none)]) of every kept term.
+    """(sources, terms): (lang, source, held, v, total, none) of every group, and (lang, term, q, of: [(source, n, p, none)]) of every kept term.
 
     ``total`` is N + V, ``none`` the share of a term that the group does not hold, ``held`` how many it does.
     """
-    found = local.join(kept, ["lang", "term"])
-    counts = stored(found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n")), "term_counts")
     vocabulary = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("v"))
-    per = counts.groupBy("lang", "source").agg(F.sum("n").alias("size"), F.count(F.lit(1)).alias("held"))
+    found = local.join(kept, ["lang", "term"]).select("lang", "term", F.inline(F.arrays_zip(F.col("sources").alias("source"), F.col("counts").alias("n"))))
+    counts = stored(found.groupBy("lang", "term", "source").agg(F.sum("n").alias("n")), "term_counts")
+    per = stored(counts.groupBy("lang", "source").agg(F.sum("n").alias("size"), F.count(F.lit(1)).alias("held")), "held")
     sources = groups.join(vocabulary, "lang").join(per, ["lang", "source"], "left").select(
         "lang", "source", F.coalesce("held", F.lit(0)).alias("held"), "v", (F.coalesce("size", F.lit(0)) + F.col("v")).alias("total"))
     sources = stored(sources.withColumn("none", share(F.lit(0).cast("long"), F.col("total"), scale)), "sources")
-    whole = per.groupBy("lang").agg(F.sum("size").alias("size")).join(vocabulary, "lang").select(
-        F.col("lang").alias("l"), (F.col("size") + F.col("v")).alias("lang_total"))
+    # A row per language, of known size: without it the terms would be dealt out by language.
+    whole = stored(per.groupBy("lang").agg(F.sum("size").alias("size")).join(vocabulary, "lang").select(
+        F.col("lang").alias("l"), (F.col("size") + F.col("v")).alias("lang_total")), "languages")
     one = F.struct("source", "n", share(F.col("n"), F.col("total"), scale).alias("p"), "none")
     terms = counts.join(sources, ["lang", "source"]).groupBy("lang", "term").agg(F.sum("n").alias("n"), F.collect_list(one).alias("of"))
     terms = terms.join(whole, F.col("lang") == F.col("l")).select("lang", "term", share(F.col("n"), F.col("lang_total"), scale).alias("q"), "of")

@@ -14,11 +14,11 @@ one class and are handled once. Per class:
    deviations below the threshold, and whose set sizes allow it, are candidates.
 4. *Verify.* Candidates are compared on their full sets, unless links already found join them.
 
-A cluster is dealt out as pairs of blocks of at most ``block`` classes; a task holds one pair of blocks and
+A cluster is dealt out as pairs of blocks of about ``block`` classes and ``SHINGLES * block`` shingles, or one long text; a task holds one pair of blocks and
 returns at most a spanning forest of the links in it, so neither a task nor the rows grow with the square of
 a group. Nothing is capped: every candidate is in one pair of blocks.
 
-Null or empty texts have an empty set and are linked with nothing. Rows are identified by doc_id: repeated rows
+Texts of any length are taken whole, in slices of about a megabyte or one text. Null or empty texts have an empty set and are linked with nothing. Rows are identified by doc_id: repeated rows
 of one id are one document if their texts agree, and are classed each by its own text if not. A null doc_id takes part, but is not the least of a
 component unless all ids in it are null. Of the classes that hold the least id of a component, the least class is kept.
 """
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopscope.llm.graph import components
-from shopscope.llm.text import Words, binary_rows, distinct_sets, list_rows, mix, shingles, slices
+from shopscope.llm.text import Words, binary_rows, distinct_sets, list_rows, mix, shingles, slices, small_batches
 from shopscope.session import stored
 
 REGISTERS = 256
@@ -41,6 +41,10 @@ MISS = 4e-5
 EMPTY = np.uint16(0xFFFF)
 MANTISSA = 10
 BLOCK = 1536
+#: Shingles a block holds for each set of ``BLOCK``: 6 MB of hashes at most, or one set.
+SHINGLES = 512
+#: Keys of rows that are sent to every task; more are joined by a shuffle.
+MOST_KEYS = 2_000_000
 THRESHOLD = 85  # in hundredths
 
 
@@ -119,23 +123,15 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes, digest = set_keys(values, owner, n)
         regs = sketch(values, owner, n)
         yield pa.record_batch(
-            [piece.column("doc_id"), pa.array(sizes), key_rows(digest), binary_rows(regs.reshape(-1), np.full(n, REGISTERS))],
-            ["doc_id", "n_shingles", "class", "registers"])
-
-
-def _classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts with their class, which a repeated or null id does not tell."""
-    for piece in slices(batches):
-        values, owner = distinct_sets(*shingles(Words(piece.column("text"))))
-        _, digest = set_keys(values, owner, piece.num_rows)
-        yield pa.record_batch([piece.column("doc_id"), key_rows(digest), piece.column("text")], ["doc_id", "class", "text"])
+            [piece.column("doc_id"), piece.column("text_hash"), pa.array(sizes), key_rows(digest), binary_rows(regs.reshape(-1), np.full(n, REGISTERS))],
+            ["doc_id", "text_hash", "n_shingles", "class", "registers"])
 
 
 def _keyed_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for piece in slices(batches):
         values, owner = distinct_sets(*shingles(Words(piece.column("text"))))
-        sizes = np.bincount(owner, minlength=piece.num_rows)
-        yield pa.record_batch([piece.column("class"), binary_rows(values, sizes)], ["class", "shingles"])
+        sizes, digest = set_keys(values, owner, piece.num_rows)
+        yield pa.record_batch([key_rows(digest), binary_rows(values, sizes)], ["class", "shingles"])
 
 
 def _bands(percent: int):
@@ -219,15 +215,33 @@ def _forests(percent: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, percent: int = THRESHOLD, block: int = BLOCK) -> DataFrame:
-    """(doc_id, n_shingles, class, component_id, kept) per row of ``docs``. Runs jobs.
+def text_hash() -> F.Column:
+    """Tells the texts of a repeated or null doc_id apart."""
+    return F.xxhash64("text")
+
+
+def of_rows(texts: DataFrame, keys: DataFrame, how: str, most: int = MOST_KEYS) -> DataFrame:
+    """Join of ``texts`` with rows named by (id, hash) in ``keys``, a stored table.
+
+    Up to ``most`` keys (24 bytes each) are sent to the texts; beyond that the texts are dealt out, to the same result.
+    """
+    if keys.count() <= most:
+        keys = F.broadcast(keys)
+    return texts.join(keys, F.col("doc_id").eqNullSafe(F.col("id")) & F.col("text_hash").eqNullSafe(F.col("hash")), how)
+
+
+def near_duplicates(docs: DataFrame, percent: int = THRESHOLD, block: int = BLOCK, most_keys: int = MOST_KEYS) -> DataFrame:
+    """(doc_id, text_hash, n_shingles, class, component_id, kept) per row of ``docs``. Runs jobs.
 
     Documents are linked if 100 * intersection >= percent * union of their shingle sets.
     """
-    texts = docs.select("doc_id", "text")
-    sketched = stored(texts.mapInArrow(_sketches, "doc_id long, n_shingles long, class binary, registers binary"), "sketches")
+    small_batches(docs.sparkSession)
+    texts = docs.select("doc_id", "text", text_hash().alias("text_hash"))
+    sketched = stored(texts.mapInArrow(_sketches, "doc_id long, text_hash long, n_shingles long, class binary, registers binary"), "sketches")
+    # The row that stands for a class; a null id does, too.
+    row = F.min(F.struct(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))).alias("row")
     classes = stored(sketched.filter("n_shingles > 0").groupBy("class").agg(
-        F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers"), F.min("doc_id").alias("first_id")), "classes")
+        F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers"), F.min("doc_id").alias("first_id"), row), "classes")
 
     banded = classes.select("class", "registers").mapInArrow(_bands(percent), "class binary, bands array<long>").select(
         "class", F.explode("bands").alias("band"))
@@ -235,17 +249,17 @@ def near_duplicates(docs: DataFrame, percent: int = THRESHOLD, block: int = BLOC
     shared = banded.join(least, "band").select(F.col("class").alias("a"), F.col("least").alias("b"))
     clusters = stored(components(shared).select(F.col("node").alias("class"), F.col("root").alias("cluster")), "clusters")
 
-    # Block numbers within a cluster come from the class digest; a pair of blocks is one task's work.
-    counts = clusters.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("blocks"))
+    # Block numbers within a cluster come from the class digest; a pair of blocks is one task's work, bounded in sets and in shingles.
+    sized = clusters.join(classes.select("class", "n_shingles"), "class")
+    counts = sized.groupBy("cluster").agg(F.greatest(
+        F.ceil(F.count(F.lit(1)) / F.lit(block)), F.ceil(F.sum("n_shingles") / F.lit(block * SHINGLES))).cast("int").alias("blocks"))
     placed = clusters.join(counts, "cluster").withColumn("own", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
-    members = placed.join(classes, "class").select("class", "cluster", "blocks", "own", "n_shingles", "registers", "first_id")
-    # One document stands for its class; its text is read again and only such texts are shuffled on.
-    keys = members.select(F.col("class"), F.col("first_id").alias("stand_in"))
-    of_class = sketched.select("doc_id", "class").join(keys, "class", "left_semi").groupBy("class").agg(F.min("doc_id").alias("stand_in"))
-    classed = texts.mapInArrow(_classed, "doc_id long, class binary, text string")
-    picked = classed.join(of_class.withColumnRenamed("class", "of"), F.col("doc_id").eqNullSafe(F.col("stand_in")) & (F.col("class") == F.col("of"))).select("class", "text")
-    sets = picked.mapInArrow(_keyed_sets, "class binary, shingles binary").groupBy("class").agg(F.first("shingles").alias("shingles"))
-    full = members.drop("first_id").join(sets, "class")
+    members = stored(placed.join(classes, "class").select("class", "cluster", "blocks", "own", "n_shingles", "registers", "row"), "members")
+    # One document stands for its class; only its text is read again.
+    keys = stored(members.select("row.id", "row.hash").distinct(), "stand_ins")
+    sets = of_rows(texts, keys, "left_semi", most_keys).select("text").mapInArrow(_keyed_sets, "class binary, shingles binary").groupBy("class").agg(
+        F.first("shingles").alias("shingles"))
+    full = members.drop("row").join(sets, "class")
     dealt = full.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
         "class", "n_shingles", "registers", "shingles", "cluster",
         F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"),
@@ -262,21 +276,14 @@ def near_duplicates(docs: DataFrame, percent: int = THRESHOLD, block: int = BLOC
     result = sketched.drop("registers").join(by_class, F.col("class") == F.col("of"), "left")
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     keeper = (F.col("n_shingles") == 0) | (F.col("class") == F.col("keeper"))
-    return result.select("doc_id", "n_shingles", "class", component.alias("component_id"), keeper.alias("keeper")).withColumn(
+    return result.select("doc_id", "text_hash", "n_shingles", "class", component.alias("component_id"), keeper.alias("keeper")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")) & F.col("keeper")).drop("keeper")
 
 
-def without_near_duplicates(docs: DataFrame, percent: int = THRESHOLD) -> DataFrame:
-    """The rows of ``docs``, all columns, that are kept: rows are told apart by doc_id, nulls included, and class. Runs jobs."""
+def without_near_duplicates(docs: DataFrame, percent: int = THRESHOLD, most_keys: int = MOST_KEYS) -> DataFrame:
+    """The rows of ``docs``, all columns, that are kept: rows are told apart by doc_id, nulls included, and text. Runs jobs."""
     # Rows to drop are fewer than rows to keep, and a row without a verdict stays.
-    gone = near_duplicates(docs, percent).filter("NOT kept").select(F.col("doc_id").alias("__id"), F.col("class").alias("__gone")).distinct()
-    keyed = docs.mapInArrow(_with_class, docs.select("*", F.lit(b"").alias("__class")).schema)
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__class") == F.col("__gone"))
-    return keyed.join(gone, same, "left_anti").drop("__class")
-
-
-def _with_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for piece in slices(batches):
-        values, owner = distinct_sets(*shingles(Words(piece.column("text"))))
-        _, digest = set_keys(values, owner, piece.num_rows)
-        yield pa.record_batch([*piece.columns, key_rows(digest)], [*piece.schema.names, "__class"])
+    gone = near_duplicates(docs, percent, most_keys=most_keys).filter("NOT kept").select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")).distinct()
+    # One struct holds the columns of the documents, whatever their names.
+    rows = docs.select("doc_id", text_hash().alias("text_hash"), F.struct("*").alias("row"))
+    return of_rows(rows, stored(gone, "gone"), "left_anti", most_keys).select("row.*")

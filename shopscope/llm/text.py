@@ -10,13 +10,31 @@ taken from prefix sums, and mixed; all words of a slice are hashed at once.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
+from contextlib import suppress
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 SLICE_BYTES = 1 << 20
+BATCH_BYTES = "8m"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lets the session hand texts to Python tasks by 8 MB or less instead of by rows, however long they are."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
+def give_back() -> None:
+    """Free what the worker's allocators hold: a worker lives on with the next stage beside an executor's heap."""
+    _powers.clear()
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
 
 #: White space of the word pattern [^\x20\x09-\x0D]+; these bytes never occur inside a UTF-8 character.
 IS_SPACE = np.zeros(256, bool)
@@ -94,7 +112,7 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that the texts of a piece have about ``limit`` bytes; a longer text stands alone."""
+    """Cut batches so that the texts of a piece have about ``limit`` bytes; a longer text stands alone. Memory goes back at the end of a task."""
     for batch in batches:
         lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0)
         ends = np.cumsum(lengths.to_numpy(zero_copy_only=False).astype(np.int64))
@@ -104,6 +122,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = S
             to = max(at + 1, int(np.searchsorted(ends, before + limit, side="right")))
             yield batch.slice(at, to - at)
             at = to
+    give_back()
 
 
 class Words:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopscope.llm.text import Words, mix, slices
+from shopscope.llm.text import Words, give_back, mix, slices, small_batches
 from shopscope.session import stored
 
 BUCKETS = 1 << 18
@@ -193,7 +193,10 @@ def fit(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS) -> bytes
         rows = pd.concat(frames).sort_values("doc_id") if frames else pd.DataFrame()
         if len(rows) and rows.label.nunique() == 2:
             weight, *rest = train(rows.text.tolist(), rows.label.to_numpy(), prior)
-            yield pd.DataFrame({"model": [np.array(rest, np.float64).tobytes() + weight.tobytes()]})
+            model = np.array(rest, np.float64).tobytes() + weight.tobytes()
+            del frames, rows, weight
+            give_back()
+            yield pd.DataFrame({"model": [model]})
 
     models = rows.coalesce(1).mapInPandas(run, "model binary").collect()
     return bytes(models[0].model) if models else float(prior)
@@ -221,6 +224,7 @@ class Model:
 
 def score(docs: DataFrame, model: bytes | float) -> DataFrame:
     """(doc_id, score) per row."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,6 +237,7 @@ def score(docs: DataFrame, model: bytes | float) -> DataFrame:
 
 def without_toxic(docs: DataFrame, model: bytes | float, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs``, all columns, whose score is below the threshold."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -65,13 +65,27 @@ def near_rows(df):
     return sorted(((r.doc_id, r.n_shingles, r.component_id) for r in df.collect()), key=str)
 
 
-@pytest.mark.parametrize("block", [1536, 3])
-def test_near_duplicates_match_all_pairs(texts, block):
+@pytest.mark.parametrize("block, most_keys", [(1536, neardup.MOST_KEYS), (3, 0)])
+def test_near_duplicates_match_all_pairs(texts, block, most_keys):
     rows = varied(60)
-    got = near_rows(neardup.near_duplicates(texts(rows), block=block))
+    got = near_rows(neardup.near_duplicates(texts(rows), block=block, most_keys=most_keys))
     assert got == sorted(brute_components(rows), key=str)
 
 
+def test_dropping_does_not_depend_on_how_keys_travel(texts):
+    rows = [*varied(30), (None, "a b c d e f g"), (None, "A b c d e f g"), (None, None), (3, "a b c d e f g"), (3, "other words are in this row")]
+    docs = texts(rows)
+    kept = [sorted((tuple(r) for r in neardup.without_near_duplicates(docs, most_keys=k).collect()), key=str) for k in (0, neardup.MOST_KEYS)]
+    assert kept[0] == kept[1] and len(kept[0]) < len(rows) and (None, None) in {r[:2] for r in kept[0]}
+
+
+def test_long_sets_are_blocks_of_their_own(texts, monkeypatch):
+    monkeypatch.setattr(neardup, "SHINGLES", 1)
+    words = [f"w{k}" for k in range(3000)]
+    rows = [(k, " ".join([*words[:k * 3], f"x{k}", *words[k * 3 + 1:]])) for k in range(12)]
+    assert near_rows(neardup.near_duplicates(texts(rows), block=64)) == sorted(brute_components(rows), key=str)
+
+
 def test_near_duplicates_of_odd_rows(texts, odd):
     found = neardup.near_duplicates(texts(odd))
     assert near_rows(found) == sorted(brute_components(odd), key=str)
