@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -12,9 +13,10 @@ from ..operators import cleaning, keyed, pairs
 from ..plans import affinity, cohorts, customers, funnels, products, trends
 from ..schemas import TIMESTAMP_FORMAT
 from ..session import scratch_dir
-from ..sources import documents, results
+from ..sources import documents, loading, results
 from ..sources.warehouse import CLV_TIERS, SEGMENTS, SPEND_TIERS, Warehouse
 from ..streaming import jobs
+from . import rough
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -339,19 +341,6 @@ def us_week(w):
     return days.select("day", calendar.us_week("day").alias("week"))
 
 
-@query
-def load_report(w):
-    """Rows read and kept per table."""
-    cleaners = {
-        "users": (w.user_documents(), cleaning.clean_users),
-        "products": (w.product_documents(), cleaning.clean_products),
-        "transactions": (w.transaction_documents(), cleaning.clean_transactions),
-        "sessions": (w.session_documents(), cleaning.clean_sessions),
-    }
-    raw = {name: df for name, (df, _) in cleaners.items()}
-    return documents.load_report(raw, {name: clean(df) for name, (df, clean) in cleaners.items()})
-
-
 # Keyed tables
 
 
@@ -491,12 +480,11 @@ def documents_landed(w):
     )
 
 
-def _array_files(df: DataFrame, key: str, path: str, per_file: int = 10_000) -> None:
-    """Documents as JSON arrays, one to a file, of about ``per_file`` documents each however many there are."""
-    files = max(1, -(-df.count() // per_file))
-    docs = df.select(F.pmod(F.xxhash64(key), F.lit(files)).alias("file"), F.to_json(F.struct("*")).alias("doc"))
-    arrays = docs.groupBy("file").agg(F.array_join(F.collect_list("doc"), ",\n").alias("docs"))
-    arrays.select("file", F.concat(F.lit("[\n"), "docs", F.lit("\n]")).alias("value")).write.partitionBy("file").text(path)
+def _array_files(df: DataFrame, key: str, path: str, rows: int, per_file: int = 10_000) -> None:
+    """Documents as JSON arrays, one to a file, of about ``per_file`` documents each however many (``rows``) there are."""
+    files = max(1, -(-rows // per_file))
+    arrays = df.groupBy(F.pmod(F.xxhash64(key), F.lit(files)).alias("file")).agg(F.to_json(F.collect_list(F.struct("*"))).alias("value"))
+    arrays.write.partitionBy("file").text(path)
 
 
 def _transactions_with_items(w: Warehouse) -> DataFrame:
@@ -508,20 +496,19 @@ def _transactions_with_items(w: Warehouse) -> DataFrame:
     return w.transaction_documents().join(items, F.expr("transaction_id = l_orderkey"), "left").drop("l_orderkey")
 
 
-def _store(w: Warehouse, *entities: str) -> documents.Store:
-    """Some entities written as files of JSON arrays, read with their declared schema, landed, and cleaned."""
+def _loaded(w: Warehouse, *entities: str, strict: bool = True) -> documents.Store:
+    """Some entities written as files of JSON arrays, loaded, and cleaned."""
     folder = scratch_dir(w.spark)
     sources = {
-        "products": (w.product_documents, "product_id"),
-        "transactions": (lambda: _transactions_with_items(w), "transaction_id"),
-        "sessions": (w.session_documents, "session_id"),
+        "products": (w.product_documents, "product_id", "part", 10_000),
+        "transactions": (lambda: _transactions_with_items(w), "transaction_id", "orders", 10_000),
+        "sessions": (w.session_documents, "session_id", "customer", 200),
     }
     for entity in entities:
-        make, key = sources[entity]
-        _array_files(make(), key, f"{folder}/json/{entity}", 10_000 if entity != "sessions" else 200)
-        raw = documents.read_documents(w.spark, f"{folder}/json/{entity}", entity, pattern="*.txt").drop("file")
-        results.write_parquet(raw, f"{folder}/landed/{entity}")
-    return documents.Store(w.spark, f"{folder}/landed")
+        make, key, counted, per_file = sources[entity]
+        _array_files(make(), key, f"{folder}/json/{entity}", w.table(counted).count(), per_file)
+        loading.load_entity(w.spark, f"{folder}/json/{entity}", f"{folder}/tables", entity, pattern="*.txt")
+    return documents.Store(w.spark, f"{folder}/tables", strict)
 
 
 def _numbered(df: DataFrame) -> DataFrame:
@@ -532,38 +519,95 @@ def _numbered(df: DataFrame) -> DataFrame:
 @query
 def documents_popularity(w):
     """Best sellers from nested transactions: ``explode`` of their items."""
-    shop = _store(w, "products", "transactions")
+    shop = _loaded(w, "products", "transactions")
     return _numbered(products.product_popularity(shop.lines, shop.products))
 
 
 @query
 def documents_daily_metrics(w):
     """Daily metrics from nested sessions (views, cart) and transactions."""
-    shop = _store(w, "transactions", "sessions")
+    shop = _loaded(w, "transactions", "sessions")
     return _numbered(trends.product_daily_metrics(shop.views, shop.carts, shop.lines))
 
 
 @query
 def documents_funnel(w):
     """The funnel from sessions in several files: sizes of their collections."""
-    return funnels.conversion_funnel(_store(w, "sessions").sessions)
+    return funnels.conversion_funnel(_loaded(w, "sessions").sessions)
 
 
 @query
 def documents_devices(w):
     """Device statistics from sessions in several files: fields of their structs."""
-    return funnels.device_referrer_stats(_store(w, "sessions").sessions)
+    return funnels.device_referrer_stats(_loaded(w, "sessions").sessions)
 
 
 @query
 def documents_views_sql(w):
     """Views per product in SQL over the named sessions."""
-    documents.register_views(_store(w, "sessions"), "sessions")
+    documents.register_views(_loaded(w, "sessions"), "sessions")
     return w.spark.sql("""
         SELECT CAST(product_id AS bigint) AS product_id, count(*) AS total_views
         FROM sessions LATERAL VIEW explode(viewed_products) AS product_id GROUP BY 1""")
 
 
+def _rough(w: Warehouse, *entities: str) -> tuple[DataFrame, str]:
+    """Documents with every fault that a load knows, loaded: its report, and the folder of its tables."""
+    folder = scratch_dir(w.spark)
+    for entity in entities:
+        key, counted, per_file = {
+            "categories": ("category_id", "nation", 10_000), "users": ("name", "customer", 10_000), "products": ("product_id", "part", 10_000),
+            "transactions": ("transaction_id", "orders", 10_000), "sessions": ("user_id", "customer", 200)}[entity]
+        _array_files(rough.documents(w, entity), key, f"{folder}/json/{entity}", w.table(counted).count(), per_file)
+        for n, text in enumerate(rough.BROKEN_FILES.get(entity, ())):
+            w.spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{folder}/json/{entity}/broken-{n}")
+    patterns = dict.fromkeys(entities, "*.txt")
+    reports = [loading.load(w.spark, f"{folder}/json/{e}", f"{folder}/tables", True, [e], patterns) for e in entities]
+    return reduce(DataFrame.unionByName, reports), f"{folder}/tables"
+
+
+@query
+def load_report(w):
+    """Rows read, kept and refused, by table and rule, of a load of faulty documents."""
+    return _rough(w, "categories", "users", "products", "transactions", "sessions")[0]
+
+
+@query
+def load_rejects(w):
+    """What the load of faulty users and products refused, by reason and key."""
+    _, folder = _rough(w, "users", "products")
+    found = loading.rejects(w.spark, folder, "users", "products")
+    key = F.regexp_extract("reason", "(.*) repeated", 1)
+    # The only other columns of use are in the text of the refused row.
+    value = F.when(key == "user_id", F.get_json_object("text", "$.user_id")).when(key == "email", F.get_json_object("text", "$.email")).when(
+        key == "product_id", F.get_json_object("text", "$.product_id"))
+    return found.groupBy("table", "reason", value.alias("value")).agg(F.count("*").alias("rows"))
+
+
+@query
+def rough_revenue(w):
+    """Revenue by category of faulty documents: lines of unknown products and products without a category vanish."""
+    shop = documents.Store(w.spark, _rough(w, "products", "transactions")[1])
+    return products.revenue_by_category(shop.lines, shop.products)
+
+
+@query
+def rough_categories(w):
+    """Leading categories of faulty documents, leniently cleaned: lines of unknown products are a category of their own."""
+    shop = documents.Store(w.spark, _rough(w, "products", "transactions")[1], strict=False)
+    return products.category_revenue_top(shop.lines, shop.products)
+
+
+@query
+def rough_cohorts(w):
+    """Cohorts of faulty documents: users without an id or a date and orders of nobody vanish.
+
+    Of the users of a shared email the one first read stays, which the file order decides; they are left out.
+    """
+    shop = documents.Store(w.spark, _rough(w, "users", "transactions")[1])
+    return cohorts.cohort_analysis(shop.transactions, shop.users.filter("email <> 'shared@mail.com'"))
+
+
 @query
 def clean_users_without_columns(w):
     """Users whose documents lack two optional columns."""

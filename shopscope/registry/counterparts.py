@@ -219,6 +219,27 @@ PARTS = {
           CAST(page_count AS VARCHAR) AS page_count,
           'City ' || (user_id % 100) AS city, '' AS state, '10.0.0.' || (user_id % 256) AS ip
         FROM sessions""",
+    # Faulty documents, and what their load keeps.
+    "rough_users": """
+        SELECT CASE WHEN user_id % 101 <> 0 THEN CAST(user_id AS VARCHAR) END AS user_id, first_day,
+          CASE WHEN user_id % 101 = 0 OR user_id % 5 = 0 THEN NULL WHEN user_id % 70 = 3 THEN 'shared@mail.com' ELSE name || '@mail.com' END AS email
+        FROM user_doc CROSS JOIN (VALUES (1), (2)) t(n) WHERE n = 1 OR user_id % 50 = 1""",
+    "rough_products": """
+        SELECT CAST(product_id AS VARCHAR) AS product_id, CASE WHEN product_id % 23 <> 0 THEN category_id END AS category_id,
+          CASE WHEN product_id % 29 <> 0 THEN base_price END AS base_price
+        FROM product_doc CROSS JOIN (VALUES (1), (2)) t(n) WHERE n = 1 OR product_id % 40 = 7""",
+    "rough_txns": """
+        SELECT o_orderkey AS k, CASE WHEN o_orderkey % 41 <> 0 THEN o_custkey END AS user_id, CASE WHEN o_orderkey % 43 <> 0 THEN o_orderdate END AS ts,
+          CASE WHEN o_orderkey % 37 = 0 THEN NULL WHEN o_orderkey % 31 = 0 THEN 0 ELSE o_totalprice END AS total,
+          CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN 'shipped' WHEN 'P' THEN 'refunded' END AS status
+        FROM orders CROSS JOIN (VALUES (1), (2)) t(n) WHERE n = 1 OR o_orderkey % 60 = 5""",
+    "rough_sessions": """
+        SELECT CASE WHEN user_id % 19 <> 0 THEN session_id END AS session_id, user_id, CASE WHEN user_id % 17 <> 0 THEN start_time END AS start_time,
+          CASE WHEN user_id % 13 = 0 THEN 0 ELSE duration_seconds END AS duration_seconds FROM sessions""",
+    "rough_kept": "SELECT DISTINCT * FROM rough_txns WHERE user_id IS NOT NULL AND ts IS NOT NULL AND total > 0",
+    "rough_lines": """
+        SELECT k, user_id, status, l_partkey AS p, l_partkey % 50 = 0 AS gone, CAST(l_quantity AS BIGINT) AS quantity, l_extendedprice AS subtotal
+        FROM lineitem JOIN (SELECT DISTINCT * FROM rough_txns WHERE total > 0) ON l_orderkey = k""",
     "stock": "SELECT product_id, name, raw_price AS current_price, raw_stock AS current_stock FROM product_doc",
     "listings": """
         SELECT p_partkey AS product_id, p_size * 9.0::DOUBLE AS current_price,
@@ -459,14 +480,6 @@ ORACLE_SQL: dict[str, str] = {
     "us_week": f"""
         SELECT DISTINCT CAST(o_orderdate AS DATE) AS "day", {week('o_orderdate')} AS week
         FROM orders WHERE o_totalprice > 0""",
-    "load_report": sql("user_doc", "users", "products", "product_doc", "sessions", body="""
-        SELECT 'users' AS "table", (SELECT count(*) FROM user_doc) AS rows_in, (SELECT count(*) FROM users) AS rows_kept
-        UNION ALL SELECT 'products', (SELECT count(*) FROM product_doc),
-          (SELECT count(*) FROM products WHERE category_id IS NOT NULL AND base_price IS NOT NULL)
-        UNION ALL SELECT 'transactions', (SELECT count(*) FROM orders),
-          (SELECT count(*) FROM orders WHERE o_totalprice > 0 AND o_custkey IS NOT NULL AND o_orderdate IS NOT NULL)
-        UNION ALL SELECT 'sessions', (SELECT count(*) FROM sessions),
-          (SELECT count(*) FROM sessions WHERE duration_seconds > 0)"""),
     # Keyed tables
     "duplicate_keys": sql("user_doc", body="\nUNION ALL ".join(
         f"""SELECT '{table}' AS "table", '{key}' AS "key", CAST({column} AS VARCHAR) AS "value", count(*) AS row_count
@@ -544,6 +557,63 @@ ORACLE_SQL: dict[str, str] = {
         FROM ev QUALIFY row_number() OVER (PARTITION BY user_id, day ORDER BY ts DESC, event_id DESC) = 1"""),
 }
 
+
+
+def report_of(entity: str, source: str, extra: dict[str, int | str], rules: dict[str, str]) -> str:
+    """Rows of the load report: counts of ``source`` by condition, and ``extra`` numbers added to them."""
+    tests = {"rows in": "true", "rows kept": " AND ".join(f"NOT coalesce({t}, false)" for t in rules.values()) or "true"}
+    tests |= rules
+    parts = [f"SELECT '{entity}' AS \"table\", '{rule}' AS rule, count(*) FILTER ({test}) + {extra.get(rule, 0)} AS rows FROM {source}" for rule, test in tests.items()]
+    parts += [f"SELECT '{entity}', '{rule}', {n}" for rule, n in extra.items() if rule not in tests]
+    return " UNION ALL ".join(parts)
+
+
+def refused_of(source: str, column: str, where: str = "true") -> str:
+    """Rows beyond the first of each value."""
+    return f"(SELECT coalesce(sum(n - 1), 0)::BIGINT FROM (SELECT count(*) AS n FROM {source} WHERE {where} GROUP BY {column}))"
+
+
+# Rows with an email after the repeated ids went: an id comes once, and rows without an id have no email.
+EMAILS = "(SELECT DISTINCT user_id, email FROM rough_users WHERE email IS NOT NULL)"
+READABLE = {"unreadable": 0, "unreadable field": 0}
+ORACLE_SQL |= {
+    "load_report": sql("rough_users", "rough_products", "rough_txns", "rough_sessions", body=" UNION ALL ".join([
+        report_of("categories", "(SELECT DISTINCT p_brand FROM part)", READABLE | {"category_id repeated": 0}, {}),
+        report_of("users", "rough_users", {
+            "rows in": 3, "rows kept": 1, "unreadable": 2, "unreadable field": 1, "user_id repeated": refused_of("rough_users", "user_id"),
+            "email repeated": refused_of(EMAILS, "email")}, {"user_id missing": "user_id IS NULL", "registration_date missing": "first_day IS NULL"}),
+        report_of("products", "rough_products", READABLE | {"product_id repeated": refused_of("rough_products", "product_id")}, {
+            "product_id missing": "product_id IS NULL", "category_id missing": "category_id IS NULL", "base_price missing": "base_price IS NULL"}),
+        report_of("transactions", "rough_txns", READABLE | {"transaction_id repeated": refused_of("rough_txns", "k")}, {
+            "transaction_id missing": "k IS NULL", "user_id missing": "user_id IS NULL", "timestamp missing": "ts IS NULL",
+            "total missing": "total IS NULL", "total not positive": "total <= 0"}),
+        report_of("sessions", "rough_sessions", READABLE, {
+            "session_id missing": "session_id IS NULL", "user_id missing": "user_id IS NULL", "start_time missing": "start_time IS NULL",
+            "duration not positive": "duration_seconds <= 0"}),
+    ])),
+    "load_rejects": sql("rough_users", "rough_products", body=f"""
+        SELECT 'users' AS "table", 'user_id repeated' AS reason, user_id AS "value", count(*) - 1 AS rows FROM rough_users GROUP BY user_id HAVING count(*) > 1
+        UNION ALL SELECT 'users', 'email repeated', email, count(*) - 1 FROM {EMAILS} GROUP BY email HAVING count(*) > 1
+        UNION ALL SELECT 'products', 'product_id repeated', product_id, count(*) - 1 FROM rough_products GROUP BY product_id HAVING count(*) > 1
+        UNION ALL VALUES ('users', 'no document', NULL, 1), ('users', 'malformed text', NULL, 1), ('users', 'unreadable: age', NULL, 1)"""),
+    "rough_revenue": sql("rough_lines", "rough_kept", "rough_products", body=CAT_REV.replace("FROM cat_rev", f"""FROM (
+        SELECT category_id, count(DISTINCT k) AS num_transactions, count(DISTINCT l.user_id) AS num_customers, {cents(money('subtotal'))} AS c, count(*) AS n
+        FROM rough_lines l JOIN rough_kept USING (k) JOIN (SELECT DISTINCT * FROM rough_products) ON product_id = CAST(p AS VARCHAR) AND NOT gone
+        WHERE category_id IS NOT NULL AND base_price IS NOT NULL GROUP BY category_id)""")),
+    "rough_categories": sql("rough_lines", "rough_products", body=f"""
+        SELECT category_id, {dollars(cents(money('subtotal')))} AS total_revenue, CAST(sum(quantity) AS BIGINT) AS units_sold, count(*) AS num_txns,
+          {half_even(cents(money('subtotal')), '100 * count(*)', 2)} AS avg_item_revenue
+        FROM rough_lines LEFT JOIN (SELECT DISTINCT * FROM rough_products) ON product_id = CAST(p AS VARCHAR) AND NOT gone
+        WHERE status IN ('completed', 'shipped') GROUP BY category_id ORDER BY total_revenue DESC, category_id LIMIT 10"""),
+    "rough_cohorts": sql("rough_kept", "rough_users", body=f"""
+        SELECT reg_month, months_since_reg, num_transactions, {dollars('c')} AS total_revenue,
+          CAST(c AS DOUBLE) / (100 * num_transactions) AS avg_order_value, active_users FROM (
+            SELECT strftime(first_day, '%Y-%m') AS reg_month, CAST((year(ts) - year(first_day)) * 12 + month(ts) - month(first_day) AS INTEGER) AS months_since_reg,
+              count(k) AS num_transactions, {cents(money('total'))} AS c, count(DISTINCT t.user_id) AS active_users
+            FROM rough_kept t JOIN (SELECT DISTINCT user_id, first_day FROM rough_users WHERE first_day IS NOT NULL AND (email IS NULL OR email <> 'shared@mail.com')) u
+              ON u.user_id = CAST(t.user_id AS VARCHAR) GROUP BY ALL)"""),
+}
+
 # The same answers from nested documents.
 ORACLE_SQL |= {
     "documents_popularity": ORACLE_SQL["product_popularity"],

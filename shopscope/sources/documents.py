@@ -10,9 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators import cleaning, nested
 from ..operators.keyed import duplicate_keys
 from ..schemas import ENTITIES, UNIQUE_KEYS
-
-# Sessions come as any number of files.
-FILE_PATTERNS = {name: f"{name}.json" for name in ENTITIES} | {"sessions": "sessions_*.json"}
+from .loading import FILE_PATTERNS, broken_rules, load, rule_counts
 
 
 def read_documents(
@@ -21,9 +19,9 @@ def read_documents(
     """Documents of one entity with its declared schema: no inference pass, and
     absent fields come back null. ``pattern`` replaces the entity's file names.
 
-    A JSON array spread over lines cannot be split, so such a file is one task.
-    Read it once, through ``land``. ``multiline=False`` reads one document per
-    line, which splits.
+    A JSON array spread over lines cannot be split, so such a file is one task, and
+    slow per document. ``land`` reads arrays once, as VARIANT. ``multiline=False``
+    reads one document per line, which splits.
     """
     return (
         spark.read.schema(ENTITIES[entity])
@@ -33,11 +31,12 @@ def read_documents(
     )
 
 
-def land(spark: SparkSession, source: str, target: str, multiline: bool = True) -> None:
+def land(spark: SparkSession, source: str, target: str, multiline: bool = True) -> DataFrame:
     """Rewrite the documents of every entity as a Parquet table, replacing what
-    was there. Later reads split, prune columns and push filters down."""
-    for entity in ENTITIES:
-        read_documents(spark, source, entity, multiline).write.mode("overwrite").parquet(f"{target}/{entity}")
+    was there. Later reads split, prune columns and push filters down. Rows that a
+    unique key refuses and what cannot be read go to a table of rejects; the report
+    counts them (see ``loading``)."""
+    return load(spark, source, target, multiline)
 
 
 def read_landed(spark: SparkSession, folder: str, entity: str) -> DataFrame:
@@ -103,12 +102,12 @@ def key_violations(store: Store) -> DataFrame:
     return found
 
 
-def load_report(raw: dict[str, DataFrame], cleaned: dict[str, DataFrame]) -> DataFrame:
-    """Rows read and rows kept per table."""
+def load_report(raw: dict[str, DataFrame]) -> DataFrame:
+    """Rows read, kept by the cleaning step and breaking each of its rules, by table; one scan per table."""
     report = None
-    for name, df in raw.items():
-        part = df.agg(F.count("*").alias("rows_in")).withColumn(
-            "rows_kept", cleaned[name].agg(F.count("*")).scalar()
-        ).select(F.lit(name).alias("table"), "rows_in", "rows_kept")
+    for entity, df in raw.items():
+        counts = rule_counts(entity, broken_rules(entity))
+        one = df.agg(*counts)
+        part = one.unpivot([], [F.col(f"`{n}`") for n in one.columns], "rule", "rows").select(F.lit(entity).alias("table"), "rule", "rows")
         report = part if report is None else report.unionByName(part)
     return report

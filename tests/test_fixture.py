@@ -30,9 +30,11 @@ def by_key(df, *columns):
 
 
 def test_rows_kept(shop):
-    raw = {n: shop.raw(n) for n in ("users", "products", "transactions", "sessions")}
-    report = documents.load_report(raw, {n: getattr(shop, n) for n in raw})
-    assert by_key(report) == {"users": (5, 4), "products": (4, 4), "transactions": (6, 5), "sessions": (7, 6)}
+    raw = {n: shop.raw(n) for n in ("categories", "users", "products", "transactions", "sessions")}
+    report = {(t, rule): n for t, rule, n in rows(documents.load_report(raw))}
+    assert {t: (report[t, "rows in"], report[t, "rows kept"]) for t in raw} == {
+        "categories": (1, 1), "users": (5, 4), "products": (4, 4), "transactions": (6, 5), "sessions": (7, 6)}
+    assert report["users", "user_id missing"] == report["transactions", "total not positive"] == report["sessions", "duration not positive"] == 1
 
 
 def test_lenient_cleaning_keeps_rows_without_keys(shop):

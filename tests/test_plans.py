@@ -17,7 +17,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables a
 # Global aggregates (one row), rolling means over weeks, and top-k results of fixed size.
 ONE_PARTITION = {
     "conversion_funnel", "conversion_funnel_cart", "funnel_percentages", "funnel_totals", "status_filter_forms",
-    "upsert_inserted", "weekly_trend", "load_report", "row_key_lookup", "documents_funnel",
+    "upsert_inserted", "weekly_trend", "row_key_lookup", "documents_funnel",
 }
 
 
