@@ -109,6 +109,11 @@ def point_get(df: DataFrame, row_key: str, key: str = "row_key") -> DataFrame:
     return df.filter(F.col(key) == row_key)
 
 
+def prefix_get(df: DataFrame, prefix: str, key: str = "row_key") -> DataFrame:
+    """Rows whose key begins with ``prefix``, as a range of keys, which the statistics of a sorted table answer."""
+    return df.filter((F.col(key) >= prefix) & F.col(key).startswith(prefix))
+
+
 def retained(df: DataFrame, ts: str, as_of, days: int = 90) -> DataFrame:
     """Rows no older than ``days`` at ``as_of``. The cut-off takes the type of
     the column, so that the comparison reaches the scan."""

@@ -13,7 +13,7 @@ from ..operators import cleaning, keyed, pairs
 from ..plans import affinity, cohorts, customers, funnels, products, trends
 from ..schemas import TIMESTAMP_FORMAT
 from ..session import scratch_dir
-from ..sources import documents, loading, results
+from ..sources import buckets, documents, loading, results
 from ..sources.warehouse import CLV_TIERS, SEGMENTS, SPEND_TIERS, Warehouse
 from ..streaming import jobs
 from . import rough
@@ -435,12 +435,32 @@ def user_sessions_lookup(w):
 
 @query
 def row_key_lookup(w):
-    """Sessions of one user by a prefix of the row key, then one by its key."""
-    wide = keyed.wide_sessions(w.sessions)
-    newest = wide.filter(F.col("row_key").startswith("7#")).agg(F.min("row_key")).scalar()
+    """Sessions of one user by a prefix of the row key, then one by its key, in the stored wide table."""
+    folder = scratch_dir(w.spark)
+    results.write_wide_sessions(keyed.wide_sessions(w.sessions), f"{folder}/wide")
+    wide = w.spark.read.parquet(f"{folder}/wide")
+    newest = keyed.prefix_get(wide, "7#").agg(F.min("row_key")).first()[0]
     return keyed.point_get(wide, newest).select("row_key", "session_id", "start_time", "conversion")
 
 
+@query
+def upsert_stored(w):
+    """New listings merged into the stored products, of which only the buckets of their keys are rewritten."""
+    table = buckets.BucketedTable(w.spark, f"{scratch_dir(w.spark)}/stock", "product_id", 16)
+    table.create(_stock_table(w))
+    table.upsert(_new_listings(w))
+    return table.read()
+
+
+@query
+def upsert_stored_counts(w):
+    """Inserted and matched keys, counted while the buckets are rewritten."""
+    table = buckets.BucketedTable(w.spark, f"{scratch_dir(w.spark)}/stock", "product_id", 16)
+    table.create(_stock_table(w))
+    counts = table.upsert(_new_listings(w))
+    return w.spark.createDataFrame([(counts["inserted"], counts["matched"])], "inserted bigint, matched bigint")
+
+
 @query
 def metric_range(w):
     metrics = trends.product_daily_metrics(w.views, w.carts, w.lines)
@@ -666,6 +686,52 @@ def stream_daily_views(w):
     return jobs.daily_view_counts(w.spark, f"{folder}/views")
 
 
+def _out_of_order(w: Warehouse, folder: str) -> DataFrame:
+    """The views as a stream of files in which a part of every day comes with the file of a later one."""
+    seen = w.table("events").filter("event_type IN ('view', 'click') AND user_id IS NOT NULL AND ts IS NOT NULL").withColumns({
+        "ts": F.col("ts").cast("timestamp"), "product_id": F.get_json_object("props", "$.k").cast("bigint")})
+    # A file per fifth of the days; one user in seven comes with the last one.
+    file = F.when(F.col("user_id") % 7 == 0, 5).otherwise(F.pmod(F.floor(F.unix_date(F.to_date("ts")) / 7), F.lit(5)))
+    rows = seen.select("product_id", "user_id", "ts", file.cast("int").alias("n"))
+    rows.repartitionByRange(6, "n").sortWithinPartitions("n").write.partitionBy("n").parquet(f"{folder}/files")
+    return w.spark.readStream.schema("product_id bigint, user_id bigint, ts timestamp").option("maxFilesPerTrigger", 1).option(
+        "recursiveFileLookup", True).parquet(f"{folder}/files")
+
+
+@query
+def stream_late_views(w):
+    """Daily views from files out of order: late rows are kept aside and the days they belong to counted again."""
+    folder = scratch_dir(w.spark)
+    jobs.write_views_with_late(_out_of_order(w, folder), f"{folder}/views", f"{folder}/late", f"{folder}/checkpoint").awaitTermination()
+    jobs.correct_days(w.spark, f"{folder}/views", f"{folder}/late", f"{folder}/daily")
+    return w.spark.read.parquet(f"{folder}/daily").select("product_id", "metric_date", "views")
+
+
+@query
+def retention_stored(w):
+    """Daily views in a table by day: half of the days are counted anew, and days before a date are removed by their folders."""
+    folder = f"{scratch_dir(w.spark)}/daily"
+    daily = trends.product_daily_metrics(w.views).select("product_id", "metric_date", "views")
+    buckets.replace_days(daily.withColumn("views", F.when(F.dayofmonth("metric_date") % 2 == 0, F.col("views")).otherwise(0)), folder)
+    buckets.replace_days(daily.filter(F.dayofmonth("metric_date") % 2 == 1), folder)
+    buckets.drop_days(w.spark, folder, "2024-01-11")
+    return w.spark.read.parquet(folder).select("product_id", "metric_date", "views")
+
+
+@query
+def stream_folded_events(w):
+    """The latest activity per user and day once its batches are folded into a snapshot, and some come after it."""
+    folder = scratch_dir(w.spark)
+    rows = w.table("events").selectExpr("event_id", "CAST(ts AS timestamp) AS ts", "user_id", "event_type", "CAST(ts AS date) AS day")
+    for n in range(4):
+        if n == 3:
+            jobs.fold_batches(w.spark, f"{folder}/latest", ["user_id", "day"], ["ts", "event_id"])
+        batch = rows.filter(F.pmod("event_id", F.lit(4)) == n)
+        keyed.last_write(batch, ["user_id", "day"], ["ts", "event_id"]).write.parquet(f"{folder}/latest/batch_id={n}")
+    latest = jobs.read_latest(w.spark, f"{folder}/latest", ["user_id", "day"], ["ts", "event_id"])
+    return latest.select("user_id", "day", "event_id", "event_type")
+
+
 @query
 def stream_latest_events(w):
     """Events as a stream of the latest activity per user and day."""

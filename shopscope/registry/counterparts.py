@@ -614,6 +614,18 @@ ORACLE_SQL |= {
               ON u.user_id = CAST(t.user_id AS VARCHAR) GROUP BY ALL)"""),
 }
 
+ORACLE_SQL |= {
+    "upsert_stored": ORACLE_SQL["upsert_products"],
+    "upsert_stored_counts": sql("stock", "listings", body="""
+        SELECT count(*) FILTER (s.product_id IS NULL) AS inserted, count(s.product_id) AS matched FROM listings l LEFT JOIN stock s ON s.product_id = l.product_id"""),
+    "stream_late_views": ORACLE_SQL["stream_daily_views"],
+    "retention_stored": sql("views", body="""
+        SELECT product_id, day AS metric_date, count(*) AS views FROM views WHERE day >= DATE '2024-01-11' GROUP BY ALL"""),
+    "stream_folded_events": sql("ev", body="""
+        SELECT user_id, day, event_id, event_type FROM ev
+        QUALIFY row_number() OVER (PARTITION BY user_id, day ORDER BY ts DESC, event_id DESC) = 1"""),
+}
+
 # The same answers from nested documents.
 ORACLE_SQL |= {
     "documents_popularity": ORACLE_SQL["product_popularity"],

@@ -55,6 +55,8 @@ def write_daily_metrics(df: DataFrame, path: str) -> None:
     )
 
 
-def write_wide_sessions(df: DataFrame, path: str) -> None:
-    """Wide sessions in row-key order, so that a key or prefix touches few files."""
-    df.repartitionByRange("row_key").sortWithinPartitions("row_key").write.mode("overwrite").parquet(path)
+def write_wide_sessions(df: DataFrame, path: str, row_group_bytes: int = 8 << 20) -> None:
+    """Wide sessions in row-key order: ranges of keys are files, and within a file small row groups whose statistics
+    and Bloom filter tell which one can hold a key. A lookup by key or prefix opens few files and reads few row groups."""
+    df.repartitionByRange("row_key").sortWithinPartitions("row_key").write.mode("overwrite").option(
+        "parquet.bloom.filter.enabled#row_key", "true").option("parquet.block.size", row_group_bytes).parquet(path)
