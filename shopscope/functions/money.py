@@ -1,37 +1,55 @@
 """Exact money arithmetic.
 
-Amounts are two-decimal currency held as doubles. Adding doubles across
-partitions gives a result that depends on the order of the tasks, so every sum
-runs over whole cents in a bigint: exact, order-independent and still a plain
-long addition inside generated code. A sum that does not fit in a bigint
-raises under ANSI mode instead of wrapping.
+Amounts are currency held as doubles. Adding doubles across partitions gives a
+result that depends on the order of the tasks, so sums run over whole units of a
+millionth: exact for amounts of up to six places, parts of a cent included,
+order-independent, and rounded once, where the result is shown.
+
+Rows are added as bigints (``sum_units``), a plain long addition inside generated
+code, good for 9 trillion per group of the first grouping (an item, a user, a
+week of a user); the few rows of the groupings after it as decimals (``total``),
+good for 32 digits. What does not fit raises under ANSI mode instead of wrapping.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+UNITS = 1_000_000
 
-def cents(amount: Column | str) -> Column:
-    """Amount in whole cents."""
-    amount = F.col(amount) if isinstance(amount, str) else amount
-    return F.rint(amount * 100).cast("bigint")
 
+def _column(c: Column | str) -> Column:
+    return F.col(c) if isinstance(c, str) else c
 
-def sum_cents(amount: Column | str) -> Column:
-    """Aggregate: exact total in cents, null when there is nothing to add."""
-    return F.sum(cents(amount))
 
+def units(amount: Column | str) -> Column:
+    """Amount in whole units."""
+    return F.rint(_column(amount) * UNITS).cast("bigint")
 
-def amount(total_cents: Column | str) -> Column:
-    """Cents back to a currency amount."""
-    total_cents = F.col(total_cents) if isinstance(total_cents, str) else total_cents
-    return total_cents / 100
 
+def sum_units(amount: Column | str) -> Column:
+    """Aggregate: exact total of rows in units, null when there is nothing to add."""
+    return F.sum(units(amount))
 
-def mean_amount(total_cents: Column, n: Column) -> Column:
+
+def total(units_: Column | str) -> Column:
+    """Aggregate: exact total of totals in units."""
+    return F.sum(_column(units_).cast("decimal(38,0)"))
+
+
+def exact_amount(units_: Column | str) -> Column:
+    """Units back to a currency amount, parts of a cent included."""
+    return _column(units_).cast("double") / UNITS
+
+
+def amount(units_: Column | str) -> Column:
+    """Units back to a currency amount, rounded half up to cents."""
+    return F.round(exact_amount(units_), 2)
+
+
+def mean_amount(units_: Column, n: Column) -> Column:
     """Unrounded mean of ``n`` amounts; null when ``n`` is zero."""
-    return F.try_divide(total_cents, n * 100)
+    return F.try_divide(units_.cast("double"), (n * UNITS).cast("double"))
 
 
 def ratio(num: Column, den: Column, scale: int) -> Column:

@@ -18,7 +18,7 @@ def cohort_analysis(transactions: DataFrame, users: DataFrame, exclude_status: s
     if exclude_status is not None:
         transactions = transactions.filter(F.col("status") != exclude_status)
     monthly = transactions.groupBy("user_id", calendar.month_start("timestamp").alias("month")).agg(
-        F.count("transaction_id").alias("n"), money.sum_cents("total").alias("_cents")
+        F.count("transaction_id").alias("n"), money.sum_units("total").alias("_units")
     )
     cohort = users.select("user_id", calendar.month_start("registration_date").alias("reg"))
     return (
@@ -26,15 +26,15 @@ def cohort_analysis(transactions: DataFrame, users: DataFrame, exclude_status: s
         .groupBy("reg", calendar.months_apart(F.col("month"), F.col("reg")).alias("months_since_reg"))
         .agg(
             F.sum("n").alias("num_transactions"),
-            F.sum("_cents").alias("_cents"),
+            money.total("_units").alias("_units"),
             F.count("user_id").alias("active_users"),
         )
         .select(
             calendar.month_label("reg").alias("reg_month"),
             "months_since_reg",
             "num_transactions",
-            money.amount("_cents").alias("total_revenue"),
-            money.mean_amount(F.col("_cents"), F.col("num_transactions")).alias("avg_order_value"),
+            money.exact_amount("_units").alias("total_revenue"),
+            money.mean_amount(F.col("_units"), F.col("num_transactions")).alias("avg_order_value"),
             "active_users",
         )
         .orderBy("reg_month", "months_since_reg")
@@ -48,7 +48,7 @@ def cohort_pivot(cohorts: DataFrame, offsets: Sequence[int] = (0, 1, 2)) -> Data
         cohorts.filter("months_since_reg >= 0")
         .groupBy("reg_month")
         .pivot("months_since_reg", list(offsets))
-        .agg(F.round(money.amount(money.sum_cents("total_revenue")), 2))
+        .agg(money.amount(money.sum_units("total_revenue")))
         .orderBy("reg_month")
     )
 
@@ -65,7 +65,7 @@ def cohort_revenue_matrix(
     matrix = (
         near.groupBy("reg_month")
         .pivot("months_since_reg", None if offsets is None else list(offsets))
-        .agg(money.amount(money.sum_cents("total_revenue")))
+        .agg(money.exact_amount(money.sum_units("total_revenue")))
         .fillna(0.0)
         .orderBy("reg_month")
     )

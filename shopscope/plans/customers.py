@@ -14,7 +14,7 @@ from ..functions import bands, money, status as st
 def _spend_by_user(transactions: DataFrame) -> DataFrame:
     return transactions.groupBy("user_id").agg(
         F.count("*").alias("num_orders"),
-        F.coalesce(money.sum_cents("total"), F.lit(0)).alias("_cents"),
+        F.coalesce(money.sum_units("total"), F.lit(0)).alias("_units"),
         F.max("total").alias("max_spend"),
         F.count("total").alias("_n"),
     )
@@ -30,17 +30,17 @@ def user_spend_profile(
         .groupBy("user_id")
         .agg(
             F.count("*").alias("num_orders"),
-            F.coalesce(money.sum_cents("total"), F.lit(0)).alias("_cents"),
+            F.coalesce(money.sum_units("total"), F.lit(0)).alias("_units"),
             F.count("total").alias("_n"),
             F.max("total").alias("max_spend"),
             F.sort_array(F.collect_set("payment_method")).alias("payments"),
         )
         .select(
             "user_id", "num_orders",
-            money.amount("_cents").alias("total_spend"),
-            money.mean_amount(F.col("_cents"), F.col("_n")).alias("avg_spend"),
+            money.exact_amount("_units").alias("total_spend"),
+            money.mean_amount(F.col("_units"), F.col("_n")).alias("avg_spend"),
             "max_spend", "payments",
-            bands.spend_tier(money.amount("_cents"), tiers).alias("spend_segment"),
+            bands.spend_tier(money.exact_amount("_units"), tiers).alias("spend_segment"),
         )
     )
     return out if segment is None else out.filter(F.col("spend_segment") == segment)
@@ -54,7 +54,9 @@ def user_segmentation_by_age(
     age fall in the youngest band."""
     spend = _spend_by_user(transactions.filter(st.not_refunded_or_null()))
     youngest = bands.AGE_BANDS[0][1]
-    high = bands.spend_tier(money.amount("_cents"), tiers) == tiers[0][1]
+    # A user's mean order in units, too: a sum of doubles would depend on the order of tasks.
+    mean = money.mean_amount(F.col("_units"), F.col("_n"))
+    high = bands.spend_tier(money.exact_amount("_units"), tiers) == tiers[0][1]
     return (
         spend.join(users.select("user_id", "age"), "user_id", "left")
         .withColumn("age_group", bands.age_band(F.col("age"), null_label=youngest))
@@ -62,15 +64,16 @@ def user_segmentation_by_age(
         .agg(
             F.count("*").alias("num_users"),
             F.sum("num_orders").alias("_orders"),
-            F.sum("_cents").alias("_cents"),
-            F.avg(money.mean_amount(F.col("_cents"), F.col("_n"))).alias("_mean"),
+            money.total("_units").alias("_units"),
+            money.total(money.units(mean)).alias("_means"),
+            F.count(mean).alias("_buyers"),
             F.count_if(high).alias("_high"),
         )
         .select(
             "age_group", "num_users",
             F.bround(F.col("_orders") / F.col("num_users"), 1).alias("avg_orders"),
-            F.bround(money.mean_amount(F.col("_cents"), F.col("num_users")), 2).alias("avg_total_spend"),
-            F.bround("_mean", 2).alias("avg_order_value"),
+            F.bround(money.mean_amount(F.col("_units"), F.col("num_users")), 2).alias("avg_total_spend"),
+            F.bround(money.mean_amount(F.col("_means"), F.col("_buyers")), 2).alias("avg_order_value"),
             F.bround(F.col("_high") * 100 / F.col("num_users"), 1).alias("high_value_pct"),
         )
         .orderBy(F.desc("avg_total_spend"), "age_group")
@@ -89,7 +92,7 @@ def user_segments(
         transactions = transactions.filter(F.col("status") != exclude_status)
     orders = transactions.groupBy("user_id").agg(
         F.count("transaction_id").alias("num_orders"),
-        money.sum_cents("total").alias("_cents"),
+        money.sum_units("total").alias("_units"),
         F.max("total").alias("_max"),
         F.min("txn_date").alias("first_purchase"),
         F.max("txn_date").alias("last_purchase"),
@@ -97,11 +100,11 @@ def user_segments(
     return users.join(orders, "user_id", "left").select(
         "user_id", "age_group", "gender", "preferred_payment",
         F.coalesce("num_orders", F.lit(0)).alias("num_orders"),
-        money.amount("_cents").alias("lifetime_value"),
-        F.round(money.mean_amount(F.col("_cents"), F.col("num_orders")), 2).alias("avg_order_value"),
+        money.amount("_units").alias("lifetime_value"),
+        F.round(money.mean_amount(F.col("_units"), F.col("num_orders")), 2).alias("avg_order_value"),
         F.round("_max", 2).alias("max_order_value"),
         "first_purchase", "last_purchase",
-        bands.spend_tier(money.amount("_cents"), tiers).alias("customer_segment"),
+        bands.spend_tier(money.exact_amount("_units"), tiers).alias("customer_segment"),
     )
 
 
@@ -117,11 +120,11 @@ def age_payment_spend_matrix(segments: DataFrame, values: Sequence[str] | None =
         segments.select(
             F.coalesce("age_group", F.lit("unknown")).alias("age_group"),
             F.coalesce(by, F.lit("unknown")).alias("by"),
-            F.coalesce(money.cents("lifetime_value"), F.lit(0)).alias("_cents"),
+            F.coalesce(money.units("lifetime_value"), F.lit(0)).alias("_units"),
         )
         .groupBy("age_group")
         .pivot("by", list(values) if values is not None else None)
-        .agg(money.mean_amount(F.sum("_cents"), F.count("_cents")))
+        .agg(money.mean_amount(money.total("_units"), F.count("_units")))
         .fillna(0.0)
         .orderBy(rank)
     )
@@ -134,14 +137,14 @@ def txn_metrics(transactions: DataFrame) -> DataFrame:
         .groupBy("user_id")
         .agg(
             F.count("transaction_id").alias("order_count"),
-            money.sum_cents("total").alias("_cents"),
+            money.sum_units("total").alias("_units"),
             F.min("txn_date").alias("first_purchase_date"),
             F.max("txn_date").alias("last_purchase_date"),
         )
         .select(
             "user_id", "order_count",
-            money.amount("_cents").alias("total_spend"),
-            F.round(money.mean_amount(F.col("_cents"), F.col("order_count")), 2).alias("avg_order_value"),
+            money.amount("_units").alias("total_spend"),
+            F.round(money.mean_amount(F.col("_units"), F.col("order_count")), 2).alias("avg_order_value"),
             "first_purchase_date", "last_purchase_date",
             F.datediff("last_purchase_date", "first_purchase_date").alias("customer_tenure_days"),
         )
@@ -242,13 +245,13 @@ def clv_segment_distribution(clv: DataFrame) -> DataFrame:
         clv.groupBy("clv_segment")
         .agg(
             F.count("*").alias("num_users"),
-            money.sum_cents("total_spend").alias("_cents"),
+            money.sum_units("total_spend").alias("_units"),
             F.sum("order_count").alias("_orders"),
             F.sum("session_count").alias("_sessions"),
         )
         .select(
             "clv_segment", "num_users",
-            F.round(money.mean_amount(F.col("_cents"), F.col("num_users")), 2).alias("avg_spend"),
+            F.round(money.mean_amount(F.col("_units"), F.col("num_users")), 2).alias("avg_spend"),
             money.ratio(F.col("_orders"), F.col("num_users"), 2).alias("avg_orders"),
             money.ratio(F.col("_sessions"), F.col("num_users"), 2).alias("avg_sessions"),
         )
@@ -261,7 +264,7 @@ def clv_segment_dense(clv: DataFrame, domain: Sequence[str] = bands.CLV_ORDER) -
     zero for a tier nobody is in."""
     counts = clv.groupBy("clv_segment").agg(
         F.count("user_id").alias("num_users"),
-        money.mean_amount(money.sum_cents("total_spend"), F.count("total_spend")).alias("avg_spend"),
+        money.mean_amount(money.sum_units("total_spend"), F.count("total_spend")).alias("avg_spend"),
     )
     tiers = clv.sparkSession.range(1).select(
         F.posexplode(F.array(*map(F.lit, domain))).alias("_rank", "clv_segment")

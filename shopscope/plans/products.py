@@ -21,10 +21,10 @@ def product_popularity(lines: DataFrame, products: DataFrame, limit: int = 15) -
         .groupBy("product_id")
         .agg(
             F.coalesce(F.sum("quantity").cast("bigint"), F.lit(0)).alias("units_sold"),
-            F.coalesce(money.sum_cents("subtotal"), F.lit(0)).alias("_cents"),
+            F.coalesce(money.sum_units("subtotal"), F.lit(0)).alias("_units"),
             F.count("*").alias("num_orders"),
         )
-        .orderBy(F.desc("_cents"), "product_id")
+        .orderBy(F.desc("_units"), "product_id")
         .limit(limit)
     )
     details = products.select("product_id", F.col("name").alias("product_name"), "category_id", "base_price")
@@ -32,9 +32,9 @@ def product_popularity(lines: DataFrame, products: DataFrame, limit: int = 15) -
         best.join(details, "product_id", "left")
         .select(
             "product_id", "product_name", "category_id", "base_price", "units_sold",
-            money.amount("_cents").alias("total_revenue"),
+            money.amount("_units").alias("total_revenue"),
             "num_orders",
-            _rounded_mean(F.col("_cents"), F.col("units_sold"), half_even=True).alias("avg_unit_price"),
+            _rounded_mean(F.col("_units"), F.col("units_sold"), half_even=True).alias("avg_unit_price"),
         )
         .orderBy(F.desc("total_revenue"), "product_id")
         .limit(limit)
@@ -48,7 +48,7 @@ def category_revenue_top(lines: DataFrame, products: DataFrame, limit: int = 10)
         .groupBy("product_id")
         .agg(
             F.sum("quantity").cast("bigint").alias("units"),
-            money.sum_cents("subtotal").alias("_cents"),
+            money.sum_units("subtotal").alias("_units"),
             F.count("*").alias("n"),
         )
     )
@@ -56,16 +56,16 @@ def category_revenue_top(lines: DataFrame, products: DataFrame, limit: int = 10)
         by_product.join(products.select("product_id", "category_id"), "product_id", "left")
         .groupBy("category_id")
         .agg(
-            F.coalesce(F.sum("_cents"), F.lit(0)).alias("_cents"),
+            F.coalesce(money.total("_units"), F.lit(0)).alias("_units"),
             F.coalesce(F.sum("units"), F.lit(0)).alias("units_sold"),
             F.sum("n").alias("num_txns"),
         )
         .select(
             "category_id",
-            money.amount("_cents").alias("total_revenue"),
+            money.amount("_units").alias("total_revenue"),
             "units_sold",
             "num_txns",
-            _rounded_mean(F.col("_cents"), F.col("num_txns"), half_even=True).alias("avg_item_revenue"),
+            _rounded_mean(F.col("_units"), F.col("num_txns"), half_even=True).alias("avg_item_revenue"),
         )
         .orderBy(F.desc("total_revenue"), "category_id")
         .limit(limit)
@@ -84,18 +84,18 @@ def revenue_by_category(lines: DataFrame, products: DataFrame, exclude_status: s
     return (
         lines.join(products.select("product_id", "category_id"), "product_id")
         .groupBy("category_id", "user_id", "transaction_id")
-        .agg(money.sum_cents("subtotal").alias("_cents"), F.count("subtotal").alias("n"))
+        .agg(money.sum_units("subtotal").alias("_units"), F.count("subtotal").alias("n"))
         .groupBy("category_id")
         .agg(
             F.count_distinct("transaction_id").alias("num_transactions"),
             F.count_distinct("user_id").alias("num_customers"),
-            F.sum("_cents").alias("_cents"),
+            money.total("_units").alias("_units"),
             F.sum("n").alias("_n"),
         )
         .select(
             "category_id", "num_transactions", "num_customers",
-            money.amount("_cents").alias("total_revenue"),
-            _rounded_mean(F.col("_cents"), F.col("_n")).alias("avg_item_revenue"),
+            money.amount("_units").alias("total_revenue"),
+            _rounded_mean(F.col("_units"), F.col("_n")).alias("avg_item_revenue"),
         )
         .orderBy(F.desc("total_revenue"), "category_id")
     )
@@ -116,7 +116,7 @@ def product_purchases(lines: DataFrame) -> DataFrame:
         .groupBy("product_id")
         .agg(
             F.sum("quantity").cast("bigint").alias("units_sold"),
-            money.amount(money.sum_cents("subtotal")).alias("revenue"),
+            money.amount(money.sum_units("subtotal")).alias("revenue"),
         )
     )
 
@@ -156,17 +156,17 @@ def monthly_category_revenue(lines: DataFrame, products: DataFrame) -> DataFrame
     monthly = (
         lines.filter(st.not_refunded())
         .groupBy(calendar.month_start("timestamp").alias("month"), "product_id")
-        .agg(F.count("*").alias("n"), money.sum_cents("subtotal").alias("_cents"))
+        .agg(F.count("*").alias("n"), money.sum_units("subtotal").alias("_units"))
     )
     return (
         monthly.join(products.select("product_id", "category_id"), "product_id")
         .groupBy("month", "category_id")
-        .agg(F.sum("n").alias("num_txns"), F.sum("_cents").alias("_cents"))
+        .agg(F.sum("n").alias("num_txns"), money.total("_units").alias("_units"))
         .select(
             calendar.month_label("month").alias("txn_month"),
             "category_id",
             "num_txns",
-            money.amount("_cents").alias("revenue"),
+            money.amount("_units").alias("revenue"),
         )
         .orderBy("txn_month", F.desc("revenue"), "category_id")
     )

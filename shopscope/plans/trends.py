@@ -13,11 +13,11 @@ def _by_week(transactions: DataFrame) -> DataFrame:
     return (
         transactions.filter(st.not_refunded())
         .groupBy(calendar.week_end("timestamp").alias("_week"), "user_id")
-        .agg(F.count("transaction_id").alias("n"), money.sum_cents("total").alias("_cents"))
+        .agg(F.count("transaction_id").alias("n"), money.sum_units("total").alias("_units"))
         .groupBy("_week")
         .agg(
             F.sum("n").alias("n"),
-            F.sum("_cents").alias("_cents"),
+            money.total("_units").alias("_units"),
             F.count("user_id").alias("users"),
         )
     )
@@ -29,8 +29,8 @@ def weekly_revenue(transactions: DataFrame) -> DataFrame:
         .select(
             calendar.week_label("_week").alias("txn_week"),
             F.col("n").alias("num_transactions"),
-            money.amount("_cents").alias("total_revenue"),
-            F.round(money.mean_amount(F.col("_cents"), F.col("n")), 2).alias("avg_order_value"),
+            money.amount("_units").alias("total_revenue"),
+            F.round(money.mean_amount(F.col("_units"), F.col("n")), 2).alias("avg_order_value"),
             F.col("users").alias("unique_customers"),
         )
         .orderBy("txn_week")
@@ -45,7 +45,7 @@ def weekly_trend(transactions: DataFrame, window: int = 4) -> DataFrame:
     week: that is bounded by the calendar, not by the data.
     """
     w = Window.orderBy("txn_week").rowsBetween(1 - window, 0)
-    mean_cents = money.mean_amount(F.sum("_cents").over(w), F.count("_cents").over(w))
+    mean = money.mean_amount(money.total("_units").over(w), F.count("_units").over(w))
     mean_users = F.try_divide(F.sum("users").over(w), F.count("users").over(w))
     return (
         _by_week(transactions)
@@ -53,9 +53,9 @@ def weekly_trend(transactions: DataFrame, window: int = 4) -> DataFrame:
         .select(
             "txn_week",
             F.col("n").alias("num_txns"),
-            money.amount("_cents").alias("revenue"),
+            money.amount("_units").alias("revenue"),
             F.col("users").alias("unique_buyers"),
-            F.round(mean_cents, 2).alias("rolling_avg_revenue"),
+            F.round(mean, 2).alias("rolling_avg_revenue"),
             F.round(mean_users, 1).alias("rolling_avg_buyers"),
         )
         .orderBy("txn_week")
@@ -72,7 +72,7 @@ def product_daily_metrics(
     sources are stacked and grouped once, which stands for a full outer join.
     """
     def stacked(df: DataFrame, ts: str, **counts) -> DataFrame:
-        zero = {"views": F.lit(0), "cart_adds": F.lit(0), "purchases": F.lit(0), "_cents": F.lit(0)}
+        zero = {"views": F.lit(0), "cart_adds": F.lit(0), "purchases": F.lit(0), "_units": F.lit(0)}
         columns = {**zero, **counts}
         return df.select(
             "product_id", F.to_date(ts).alias("metric_date"),
@@ -85,11 +85,11 @@ def product_daily_metrics(
     if lines is not None:
         sold = lines.filter(st.not_refunded())
         rows = rows.unionByName(
-            stacked(sold, "timestamp", purchases=F.col("quantity"), _cents=money.cents("subtotal"))
+            stacked(sold, "timestamp", purchases=F.col("quantity"), _units=money.units("subtotal"))
         )
     return (
         rows.groupBy("product_id", "metric_date")
-        .agg(*(F.sum(c).alias(c) for c in ("views", "cart_adds", "purchases", "_cents")))
-        .withColumn("revenue", money.amount("_cents"))
-        .drop("_cents")
+        .agg(*(F.sum(c).alias(c) for c in ("views", "cart_adds", "purchases", "_units")))
+        .withColumn("revenue", money.amount("_units"))
+        .drop("_units")
     )

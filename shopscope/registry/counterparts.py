@@ -2,7 +2,7 @@
 
 The SQL is written from the meaning of each query, not from its Spark plan: it
 joins before it aggregates, pairs items by a self-join, and rounds with integer
-arithmetic. Money is summed in decimals.
+arithmetic. Money is summed in decimals of six places and rounded to cents after it.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ def cents(total: str) -> str:
 
 
 def money(column: str) -> str:
-    return f"sum(CAST({column} AS DECIMAL(18, 2)))"
+    return f"sum(CAST({column} AS DECIMAL(18, 6)))"
 
 
 def dollars(cents_: str) -> str:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from shopscope.functions import bands, calendar, money, rowkeys
 from shopscope.operators import cleaning
+from shopscope.plans import customers
 
 # A Tuesday to a Monday round the turn of the year, and a quarter's end.
 WEEKS = {
@@ -56,12 +57,37 @@ def test_spend_and_value_tiers(spark):
 
 def test_money_is_exact(spark):
     df = spark.createDataFrame([(0.1,)] * 10 + [(1.15,), (2.675,)], "v double")
-    assert df.limit(10).agg(money.amount(money.sum_cents("v"))).first()[0] == 1.0
-    assert column(spark, [201], "bigint", lambda c: F.round(money.mean_amount(c, F.lit(2)), 2)) == [1.01]
-    assert column(spark, [201, 203], "bigint", lambda c: F.bround(money.mean_amount(c, F.lit(2)), 2)) == [1.0, 1.02]
+    assert df.limit(10).agg(money.amount(money.sum_units("v"))).first()[0] == 1.0
+    assert column(spark, [2_010_000], "bigint", lambda c: F.round(money.mean_amount(c, F.lit(2)), 2)) == [1.01]
+    assert column(spark, [2_010_000, 2_030_000], "bigint", lambda c: F.bround(money.mean_amount(c, F.lit(2)), 2)) == [1.0, 1.02]
     assert column(spark, [1], "bigint", lambda c: money.ratio(c, F.lit(0), 2)) == [None]
 
 
+def test_parts_of_a_cent_add_up(spark):
+    """0.004 a thousand times is 4.00, however the rows lie, and rounding comes after the sum."""
+    rows = [(0.004, k % 7) for k in range(1000)] + [(1e9 + 0.01, 1), (-1e9, 1)]
+    df = spark.createDataFrame(rows, "v double, k int")
+    for parts in (1, 3, 8):
+        shuffled = df.orderBy(F.rand(parts)).repartition(parts)
+        assert shuffled.filter("v < 1 AND v > 0").agg(money.amount(money.sum_units("v"))).first()[0] == 4.0
+        twice = shuffled.groupBy("k").agg(money.sum_units("v").alias("u")).agg(money.amount(money.total("u")), money.exact_amount(money.total("u"))).first()
+        assert tuple(twice) == (4.01, 4.01)
+    assert df.filter("k = 0 AND v = 0.004").limit(1).agg(money.amount(money.sum_units("v")), money.exact_amount(money.sum_units("v"))).first()[:] == (0.0, 0.004)
+
+
+def test_totals_do_not_overflow(spark):
+    df = spark.createDataFrame([(9e12,)] * 50, "v double").withColumn("k", F.monotonically_increasing_id())
+    assert df.groupBy("k").agg(money.sum_units("v").alias("u")).agg(money.exact_amount(money.total("u"))).first()[0] == 4.5e14
+
+
+def test_means_of_users_do_not_depend_on_tasks(spark):
+    rows = [(u, 0.1 * (u % 13) + 0.37 * k, "completed") for u in range(200) for k in range(3)]
+    users = spark.createDataFrame([(u, 30) for u in range(200)], "user_id bigint, age int")
+    txns = spark.createDataFrame(rows, "user_id bigint, total double, status string")
+    found = {str(customers.user_segmentation_by_age(txns.orderBy(F.rand(s)).repartition(s), users).collect()) for s in (1, 2, 5, 8)}
+    assert len(found) == 1
+
+
 def test_months_apart(spark):
     df = spark.createDataFrame([("2025-02-01", "2024-12-31"), ("2024-11-30", "2025-01-01")], "a string, b string")
     got = df.select(calendar.months_apart(F.col("a").cast("date"), F.col("b").cast("date"))).collect()
