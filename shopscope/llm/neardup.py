@@ -253,7 +253,11 @@ def near_duplicates(docs: DataFrame, percent: int = THRESHOLD, block: int = BLOC
     sized = clusters.join(classes.select("class", "n_shingles"), "class")
     counts = sized.groupBy("cluster").agg(F.greatest(
         F.ceil(F.count(F.lit(1)) / F.lit(block)), F.ceil(F.sum("n_shingles") / F.lit(block * SHINGLES))).cast("int").alias("blocks"))
-    placed = clusters.join(counts, "cluster").withColumn("own", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+    # Clusters of one block, nearly all, need no look-up; the few others are sent along as far as their number is bounded.
+    large = stored(counts.filter("blocks > 1"), "large_clusters")
+    if large.count() <= most_keys:
+        large = F.broadcast(large)
+    placed = clusters.join(large, "cluster", "left").fillna({"blocks": 1}).withColumn("own", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
     members = stored(placed.join(classes, "class").select("class", "cluster", "blocks", "own", "n_shingles", "registers", "row"), "members")
     # One document stands for its class; only its text is read again.
     keys = stored(members.select("row.id", "row.hash").distinct(), "stand_ins")

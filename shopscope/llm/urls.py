@@ -2,8 +2,8 @@
 
 A rule is a host, a slash and a path prefix (``example.org/es/``) with a verdict. The
 array file holds the rules' 64-bit xxhash keys in order, the place of each rule's text and verdict, and the texts. A task
-memory-maps the file, hashes every host suffix of a URL joined to every path prefix of a length that
-occurs among the rules, finds the keys with one vectorised binary search per batch, and
+memory-maps the file, hashes every host suffix of a URL joined to every path prefix, both of lengths that
+occur among the rules (so hosts and paths of any length cost no more than the rules' own lengths), finds the keys with one vectorised binary search per batch, and
 compares the text behind each hit, so a hash collision cannot decide. The longest rule that fits wins; among
 rules of the same length the one with the longer host.
 
@@ -13,7 +13,7 @@ the URLs need, and the longest hit of all passes wins; a file never exceeds that
 
 Host: after the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z lower-cased. Path: from there up to ``?``, ``#``
 or the end. A URL that is null or has no ``://`` has empty host and path and meets no rule. URLs that meet no rule
-get ``default``. Rules with an unknown verdict or without a slash are refused; repeated rules must agree.
+get ``default``; repeated URLs are judged each. Rules with an unknown verdict or without a slash are refused; repeated rules must agree.
 """
 
 from __future__ import annotations
@@ -32,13 +32,13 @@ from pyspark.sql import functions as F
 
 from shopscope.session import scratch_dir
 
-MAGIC = b"URLDIG01"
+MAGIC = b"URLDIG02"
 VERDICTS = ("allow", "block")
 PART_BYTES = 64 << 20
 
 
 def encode(rules: list[tuple[str, str]]) -> bytes:
-    """The file: magic, number of rules, lengths of path prefixes, keys, text bounds, verdicts, texts."""
+    """The file: magic, number of rules, lengths of hosts and of path prefixes, keys, text bounds, verdicts, texts."""
     known: dict[str, str] = {}
     for rule, verdict in rules:
         if rule is None or "/" not in rule or verdict not in VERDICTS:
@@ -54,7 +54,8 @@ def encode(rules: list[tuple[str, str]]) -> bytes:
     verdicts = np.array([VERDICTS.index(known[t.decode()]) for t in texts], np.uint8)
     bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
     lengths = np.unique([len(t) - t.index(b"/") for t in texts]).astype(np.int64)
-    return b"".join([MAGIC, struct.pack("<qq", len(texts), len(lengths)), lengths.tobytes(), keys[order].tobytes(),
+    hosts = np.unique([t.index(b"/") for t in texts]).astype(np.int64)
+    return b"".join([MAGIC, struct.pack("<qqq", len(texts), len(hosts), len(lengths)), hosts.tobytes(), lengths.tobytes(), keys[order].tobytes(),
                      bounds.tobytes(), verdicts.tobytes(), *texts])
 
 
@@ -65,8 +66,10 @@ class DigestArray:
         data = np.memmap(path, np.uint8, "r")
         if bytes(data[:8]) != MAGIC:
             raise ValueError(f"{path} is not a rule file")
-        n, m = struct.unpack("<qq", bytes(data[8:24]))
-        at = 24
+        n, h, m = struct.unpack("<qqq", bytes(data[8:32]))
+        at = 32
+        self.host_lengths = data[at:at + 8 * h].view(np.int64).tolist()
+        at += 8 * h
         self.path_lengths = data[at:at + 8 * m].view(np.int64).tolist()
         at += 8 * m
         self.keys = data[at:at + 8 * n].view(np.uint64)
@@ -102,17 +105,14 @@ class DigestArray:
         for k, (host, path) in enumerate(zip(hosts, paths)):
             if not host:
                 continue
-            raw = path.encode()
+            raw, name = path.encode(), host.encode()
             prefixes = [raw[:n] for n in self.path_lengths if n <= len(raw)]
-            at = 0
-            while True:
-                suffix = host[at:].encode()
-                probes += [suffix + p for p in prefixes]
-                owner += [k] * len(prefixes)
-                dot = host.find(".", at)
-                if dot < 0:
-                    break
-                at = dot + 1
+            for n in self.host_lengths:
+                at = len(name) - n
+                # The host itself, or what follows a dot.
+                if at == 0 or at > 0 and name[at - 1] == 0x2E:
+                    probes += [name[at:] + p for p in prefixes]
+                    owner += [k] * len(prefixes)
         rules: list[str | None] = [None] * len(hosts)
         verdicts: list[str | None] = [None] * len(hosts)
         rank: dict[int, tuple[int, int]] = {}

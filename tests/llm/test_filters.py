@@ -159,6 +159,18 @@ def test_url_rules(spark, part_bytes):
     assert [tuple(r) for r in got] == [(k, *brute_verdict(u, RULES)) for k, u in enumerate(URLS + URLS[:3])]
 
 
+def test_long_hosts_cost_what_the_rules_cost(spark, tmp_path):
+    """Only suffixes of a rule host's length are looked up, however long the host is and however many dots it has."""
+    (tmp_path / "rules").write_bytes(urls.encode(RULES))
+    array = urls.DigestArray(str(tmp_path / "rules"))
+    host = "a." * 500_000 + "example.org"
+    looked_up = []
+    array.find = lambda probes: looked_up.append(probes) or urls.DigestArray.find(array, probes)
+    found, verdicts = array.best([host, "x" * 1_000_000, "." * 1_000_000], ["/es/1", "/", "/"])
+    assert found[1:] == [None, None] and found[0] is not None and verdicts[0] is not None
+    assert sum(map(len, looked_up[0])) < 10_000
+
+
 def test_url_rules_empty(spark):
     pages = spark.createDataFrame([(1, "http://a.org/")], "page_id long, url string")
     rules = spark.createDataFrame(RULES, "rule string, verdict string")
