@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import calendar, money, status as st
@@ -63,10 +65,13 @@ def weekly_trend(transactions: DataFrame, window: int = 4) -> DataFrame:
 
 
 def product_daily_metrics(
-    views: DataFrame, carts: DataFrame | None = None, lines: DataFrame | None = None
+    views: DataFrame | None = None, carts: DataFrame | None = None, lines: DataFrame | None = None, activity: DataFrame | None = None
 ) -> DataFrame:
     """Views, cart adds, units bought and revenue per product and day.
 
+    ``activity`` stands for views and carts where one source tells both: a row per session and product with ``viewed`` and
+    ``carted`` as 0 or 1.
+
     Views and cart adds fall on the day the session starts, purchases on the
     day of the transaction, refunds left out. A missing source counts zero. The
     sources are stacked and grouped once, which stands for a full outer join.
@@ -79,16 +84,18 @@ def product_daily_metrics(
             *(c.cast("bigint").alias(name) for name, c in columns.items()),
         )
 
-    rows = stacked(views, "start_time", views=F.lit(1))
+    parts = []
+    if activity is not None:
+        parts.append(stacked(activity, "start_time", views=F.col("viewed"), cart_adds=F.col("carted")))
+    if views is not None:
+        parts.append(stacked(views, "start_time", views=F.lit(1)))
     if carts is not None:
-        rows = rows.unionByName(stacked(carts, "start_time", cart_adds=F.lit(1)))
+        parts.append(stacked(carts, "start_time", cart_adds=F.lit(1)))
     if lines is not None:
         sold = lines.filter(st.not_refunded())
-        rows = rows.unionByName(
-            stacked(sold, "timestamp", purchases=F.col("quantity"), _units=money.units("subtotal"))
-        )
+        parts.append(stacked(sold, "timestamp", purchases=F.col("quantity"), _units=money.units("subtotal")))
     return (
-        rows.groupBy("product_id", "metric_date")
+        reduce(DataFrame.unionByName, parts).groupBy("product_id", "metric_date")
         .agg(*(F.sum(c).alias(c) for c in ("views", "cart_adds", "purchases", "_units")))
         .withColumn("revenue", money.amount("_units"))
         .drop("_units")

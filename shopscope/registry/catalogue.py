@@ -275,7 +275,7 @@ def weekly_trend(w):
 
 @query
 def product_daily_metrics(w):
-    return trends.product_daily_metrics(w.views, w.carts, w.lines)
+    return trends.product_daily_metrics(lines=w.lines, activity=w.activity)
 
 
 @query
@@ -463,20 +463,20 @@ def upsert_stored_counts(w):
 
 @query
 def metric_range(w):
-    metrics = trends.product_daily_metrics(w.views, w.carts, w.lines)
+    metrics = trends.product_daily_metrics(lines=w.lines, activity=w.activity)
     return keyed.metric_range(metrics, 42, "2024-01-05", "2024-01-20")
 
 
 @query
 def metric_columns(w):
-    metrics = trends.product_daily_metrics(w.views, w.carts, w.lines)
+    metrics = trends.product_daily_metrics(lines=w.lines, activity=w.activity)
     return keyed.metric_range(metrics, 42, "1995-01-01", "2024-12-31", columns=["views", "revenue"])
 
 
 @query
 def retention(w):
     """Daily metrics no older than 90 days at the end of March 2024."""
-    metrics = trends.product_daily_metrics(w.views, w.carts, w.lines)
+    metrics = trends.product_daily_metrics(lines=w.lines, activity=w.activity)
     return keyed.retained(metrics, "metric_date", "2024-04-10")
 
 
@@ -658,7 +658,7 @@ def views_vs_revenue_from_csv(w):
 def metrics_table(w):
     """Daily metrics through their partitioned table, one product's year read back."""
     folder = scratch_dir(w.spark)
-    metrics = trends.product_daily_metrics(w.views, w.carts, w.lines)
+    metrics = trends.product_daily_metrics(lines=w.lines, activity=w.activity)
     results.write_daily_metrics(metrics, f"{folder}/product_metrics")
     stored = w.spark.read.parquet(f"{folder}/product_metrics")
     return keyed.metric_range(stored, 42, "2024-01-01", "2024-12-31")

@@ -190,6 +190,14 @@ class Warehouse:
         )
         return clicked.selectExpr(SESSION_ID, "user_id", "day AS start_time", "product_id", "quantity", "price")
 
+    @cached_property
+    def activity(self) -> DataFrame:
+        """Views and carts in one: products viewed or clicked, once per session, with whether they went into the cart."""
+        touched = self._events("view", "click").groupBy("user_id", "day", "product_id").agg(
+            F.expr("max(IF(event_type = 'click', 1, 0)) AS carted")
+        )
+        return touched.selectExpr(SESSION_ID, "user_id", "day AS start_time", "product_id", "1 AS viewed", "carted")
+
     @cached_property
     def session_transactions(self) -> DataFrame:
         """Purchase events as transactions of their session; the orders are of

@@ -94,3 +94,8 @@ def test_hot_product_is_split(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     expected = lines.groupBy((F.col("product_id") % 5).alias("c")).count().collect()
     assert got == {r.c: (r["count"], r["count"] * 1.25) for r in expected}
+
+
+def test_daily_metrics_read_the_events_once(spark):
+    text = plan(QUERIES["product_daily_metrics"](spark, FOLDER))
+    assert len(re.findall(r"FileScan parquet \[[^]]*event_type", text)) == 1
