@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from shopscope.llm.text import Words, distinct_spans, slices, span_bytes
+from shopscope.llm.text import Words, distinct_spans, slices, small_batches, span_bytes
 from shopscope.session import stored
 
 LEAST = 3
@@ -40,6 +40,8 @@ SCALE = 1_000_000_000
 TOP = 200
 FIRST = 4
 SLICE = 8 << 20
+#: Open prefixes of up to so many bytes (64 for each of them and its own) are sent to all tasks.
+MOST_SENT = 32 << 20
 END = b"\x00"
 
 #: Bytes that are no part of a term.
@@ -84,17 +86,22 @@ def named(docs: DataFrame) -> DataFrame:
 
 
 def local_counts(docs: DataFrame) -> DataFrame:
+    small_batches(docs.sparkSession)
     return stored(named(docs).mapInArrow(_local, "lang string, term binary, docs long, sources array<string>, counts array<long>"), "local_counts")
 
 
-def kept_terms(local: DataFrame, least: int = LEAST, first: int = FIRST) -> DataFrame:
-    """(lang, term) that at least ``least`` documents of the language hold, by refinement of prefixes. Runs a job a level."""
+def kept_terms(local: DataFrame, least: int = LEAST, first: int = FIRST, most_sent: int = MOST_SENT) -> DataFrame:
+    """(lang, term) that at least ``least`` documents of the language hold, by refinement of prefixes. Runs a job a level.
+
+    Open prefixes beyond ``most_sent`` bytes meet the terms in a shuffle, where each task holds its part of them.
+    """
     ended = local.select("lang", F.concat("term", F.lit(END)).alias("term"), "docs")
     kept, alive, width = [], None, first
     while True:
         rows = ended
         if alive is not None:
             open_ones = alive.select(F.col("lang").alias("l"), F.col("prefix").alias("open"))
+            open_ones = F.broadcast(open_ones) if 64 * left.n + left.size <= most_sent else open_ones.hint("shuffle_hash")
             rows = ended.filter(F.length("term") > width // 2).join(
                 open_ones, (F.col("lang") == F.col("l")) & (F.expr(f"substring(term, 1, {width // 2})") == F.col("open")), "left_semi")
         level = stored(rows.groupBy("lang", F.expr(f"substring(term, 1, {width})").alias("prefix")).agg(
@@ -102,7 +109,8 @@ def kept_terms(local: DataFrame, least: int = LEAST, first: int = FIRST) -> Data
         complete = F.expr("substring(prefix, -1, 1)") == F.lit(END)
         kept.append(level.filter(complete).select("lang", F.expr("substring(prefix, 1, length(prefix) - 1)").alias("term")))
         alive = level.filter(~complete)
-        if alive.isEmpty():
+        left = alive.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("prefix")).alias("size")).first()
+        if not left.n:
             break
         width *= 2
     return reduce(DataFrame.union, kept)
@@ -125,7 +133,8 @@ def profiles(local: DataFrame, groups: DataFrame, kept: DataFrame, scale: int) -
     ``total`` is N + V, ``none`` the share of a term that the group does not hold, ``held`` how many it does.
     """
     vocabulary = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("v"))
-    found = local.join(kept, ["lang", "term"]).select("lang", "term", F.inline(F.arrays_zip(F.col("sources").alias("source"), F.col("counts").alias("n"))))
+    # The kept terms are unique and spread by hash; a task holds its part of them, and the local counts need no sort.
+    found = local.join(kept.hint("shuffle_hash"), ["lang", "term"]).select("lang", "term", F.inline(F.arrays_zip(F.col("sources").alias("source"), F.col("counts").alias("n"))))
     counts = stored(found.groupBy("lang", "term", "source").agg(F.sum("n").alias("n")), "term_counts")
     per = stored(counts.groupBy("lang", "source").agg(F.sum("n").alias("size"), F.count(F.lit(1)).alias("held")), "held")
     sources = groups.join(vocabulary, "lang").join(per, ["lang", "source"], "left").select(

@@ -72,7 +72,9 @@ def test_refinement_discards_by_prefix(spark, table):
     rows = [(k, f"common{'x' * 40}{chr(97 + k)} rare{'abcdefgh'[k % 8] * 30} {'junk' if k < 2 else 'fine'}", "l", "s", 0) for k in range(16)]
     local = divergence.local_counts(table(rows))
     assert {bytes(r.term) for r in divergence.kept_terms(local).collect()} == {b"fine"}
-    assert {bytes(r.term) for r in divergence.kept_terms(local, least=2).collect()} == {b"fine", b"junk", *(b"rare" + c.encode() * 30 for c in "abcdefgh")}
+    for most_sent in (0, divergence.MOST_SENT):
+        found = {bytes(r.term) for r in divergence.kept_terms(local, least=2, most_sent=most_sent).collect()}
+        assert found == {b"fine", b"junk", *(b"rare" + c.encode() * 30 for c in "abcdefgh")}
 
 
 def best_fit_decreasing(lengths, capacity):
