@@ -319,6 +319,27 @@ def clean_sessions(w):
     return _as_text(cleaned, "start_time", "end_time").drop("geo_data", "viewed_products", "cart_contents")
 
 
+@query
+def clean_products_lenient(w):
+    """Faulty products, leniently cleaned: none is dropped, prices are filled and banded, stock stays as it came."""
+    cleaned = cleaning.clean_products(rough.documents(w, "products"), strict=False)
+    return cleaned.select("product_id", "category_id", "base_price", "current_price", "current_stock", "price_tier")
+
+
+@query
+def clean_transactions_lenient(w):
+    """Faulty orders, leniently cleaned: only those without a positive total go."""
+    cleaned = cleaning.clean_transactions(rough.documents(w, "transactions").drop("items"), strict=False)
+    return cleaned.select("transaction_id", "user_id", "total", "payment_method", "txn_date", "txn_month", "txn_week")
+
+
+@query
+def clean_sessions_lenient(w):
+    """Faulty sessions, leniently cleaned: only those without a positive duration go; the end stays text."""
+    cleaned = cleaning.clean_sessions(rough.documents(w, "sessions"), strict=False)
+    return cleaned.select("session_id", "user_id", F.date_format("start_time", TIMESTAMP_FORMAT).alias("start_time"), "end_time", "duration_seconds", "device_type", "device_os")
+
+
 @query
 def status_filter_forms(w):
     """Transactions kept by each form of the status filter; orders without a

@@ -596,6 +596,20 @@ ORACLE_SQL |= {
         UNION ALL SELECT 'users', 'email repeated', email, count(*) - 1 FROM {EMAILS} GROUP BY email HAVING count(*) > 1
         UNION ALL SELECT 'products', 'product_id repeated', product_id, count(*) - 1 FROM rough_products GROUP BY product_id HAVING count(*) > 1
         UNION ALL VALUES ('users', 'no document', NULL, 1), ('users', 'malformed text', NULL, 1), ('users', 'unreadable: age', NULL, 1)"""),
+    "clean_products_lenient": sql("product_doc", body=f"""
+        SELECT product_id, category_id, base_price, current_price, current_stock, {TIER} AS price_tier FROM (
+          SELECT CAST(product_id AS VARCHAR) AS product_id, CASE WHEN product_id % 23 <> 0 THEN category_id END AS category_id,
+            CASE WHEN product_id % 29 <> 0 THEN base_price END AS base_price,
+            coalesce(raw_price, CASE WHEN product_id % 29 <> 0 THEN base_price END) AS current_price, raw_stock AS current_stock
+          FROM product_doc CROSS JOIN (VALUES (1), (2)) t(n) WHERE n = 1 OR product_id % 40 = 7)"""),
+    "clean_transactions_lenient": sql("rough_txns", body=f"""
+        SELECT CAST(k AS VARCHAR) AS transaction_id, CAST(t.user_id AS VARCHAR) AS user_id, total, '  ' || o_orderpriority || ' ' AS payment_method,
+          CAST(ts AS DATE) AS txn_date, strftime(ts, '%Y-%m') AS txn_month, CASE WHEN ts IS NOT NULL THEN {week('ts')} END AS txn_week
+        FROM rough_txns t JOIN orders ON o_orderkey = k WHERE total > 0"""),
+    "clean_sessions_lenient": sql("sessions", body=f"""
+        SELECT CASE WHEN user_id % 19 <> 0 THEN session_id END AS session_id, user_id,
+          CASE WHEN user_id % 17 <> 0 THEN {iso('start_time')} END AS start_time, {iso('end_time')} AS end_time, duration_seconds, device_type, device_os
+        FROM sessions WHERE user_id % 13 <> 0"""),
     "rough_revenue": sql("rough_lines", "rough_kept", "rough_products", body=CAT_REV.replace("FROM cat_rev", f"""FROM (
         SELECT category_id, count(DISTINCT k) AS num_transactions, count(DISTINCT l.user_id) AS num_customers, {cents(money('subtotal'))} AS c, count(*) AS n
         FROM rough_lines l JOIN rough_kept USING (k) JOIN (SELECT DISTINCT * FROM rough_products) ON product_id = CAST(p AS VARCHAR) AND NOT gone
