@@ -19,7 +19,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import SparkSession
 
-SLICE_BYTES = 1 << 20
+#: A little under a power of two, so that the tables of ``powers`` are not twice as long as a slice.
+SLICE_BYTES = (1 << 20) - 1024
 BATCH_BYTES = "8m"
 
 

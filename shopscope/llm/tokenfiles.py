@@ -39,7 +39,7 @@ from shopscope.session import scratch_dir
 
 END_ID = 2
 SHARD_TOKENS = 1 << 19
-SLICE = 3 << 20
+SLICE = (1 << 20) - 1024
 BLOCK_BITS = 1 << 15
 KNOWN_WORDS = 1 << 19
 MAGIC = b"WAVELET1"
