@@ -87,9 +87,25 @@ def prefix_sums(buf: np.ndarray) -> np.ndarray:
 
 
 def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of each span of bytes; equal bytes have equal hashes wherever they stand."""
-    sums = prefix_sums(buf)
-    return mix((sums[ends] - sums[starts]) * powers(_BACK, len(buf) + 1)[starts])
+    """Hash of each span of bytes; equal bytes have equal hashes wherever they stand.
+
+    A long array is taken in blocks of about ``SLICE_BYTES``, or of one longer span, so that memory follows the block.
+    """
+    if len(buf) <= SLICE_BYTES:
+        sums = prefix_sums(buf)
+        return mix((sums[ends] - sums[starts]) * powers(_BACK, len(buf) + 1)[starts])
+    order = np.argsort(starts, kind="stable")
+    first, last = starts[order], np.maximum.accumulate(ends[order]) if len(order) else ends
+    out = np.empty(len(starts), np.uint64)
+    at = 0
+    while at < len(order):
+        base = int(first[at])
+        to = max(at + 1, int(np.searchsorted(last, base + SLICE_BYTES, side="right")))
+        some = order[at:to]
+        sums = prefix_sums(buf[base:int(last[to - 1])])
+        out[some] = mix((sums[ends[some] - base] - sums[starts[some] - base]) * powers(_BACK, len(sums))[starts[some] - base])
+        at = to
+    return out
 
 
 def window_sums(buf: np.ndarray, width: int) -> np.ndarray:

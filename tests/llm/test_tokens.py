@@ -178,3 +178,18 @@ def test_cuts_around_latin_letters_and_line_breaks_keep_the_librarys_ids():
     ids, counts = encoder.encode(pa.array(texts, pa.string()))
     found = [part.tolist() for part in np.split(ids, np.cumsum(counts)[:-1])]
     assert found == [encoder.tokenizer.encode(text or "", add_special_tokens=False).ids for text in texts]
+
+
+def test_hashes_do_not_depend_on_blocks(monkeypatch):
+    from shopscope.llm import text
+
+    rng = np.random.default_rng(8)
+    buf = rng.integers(0, 256, 5000).astype(np.uint8)
+    starts = rng.integers(0, 4900, 400)
+    ends = np.minimum(starts + rng.integers(0, 90, 400), 5000)
+    ends[7] = 5000
+    whole = text.span_hashes(buf, starts, ends)
+    for block in (64, 1000, 4999):
+        monkeypatch.setattr(text, "SLICE_BYTES", block)
+        assert (text.span_hashes(buf, starts, ends) == whole).all()
+    assert len(text.span_hashes(buf, starts[:0], ends[:0])) == 0
