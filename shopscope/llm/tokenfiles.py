@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from shopscope.llm.text import flat, list_rows, slices, span_hashes
+from shopscope.llm.text import flat, give_back, list_rows, slices, span_hashes
 from shopscope.session import scratch_dir
 
 END_ID = 2
@@ -371,6 +371,8 @@ def _writer(vocabulary: str, end_id: int, shard_tokens: int):
                     yield flush()
         if size:
             yield flush()
+        del encoder
+        give_back()
 
     return run
 
