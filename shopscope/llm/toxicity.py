@@ -23,12 +23,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopscope.llm.text import Words, give_back, mix, slices, small_batches
+from shopscope.llm.text import Words, give_back, mix, slices, small_batches, span_bytes
 from shopscope.session import stored
 
 BUCKETS = 1 << 18
@@ -36,6 +35,8 @@ DIM = 8
 WINDOW = 8
 SIZES = (3, 4, 5, 6)
 MOST_ROWS = 4000
+#: Distinct words whose subwords training holds at once.
+BLOCK = 1 << 14
 SHARPNESS = 3.0
 THRESHOLD = 0.3
 
@@ -93,24 +94,65 @@ def text_max(values: np.ndarray, text: np.ndarray, n: int, empty: float) -> np.n
     return np.where(np.isinf(out), empty, out)
 
 
-def train(texts: list[str | None], labels: np.ndarray, prior: float, steps: int = 60, rate: float = 0.5, seed: int = 7):
+def bag(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the subwords of each word, word after word, and how many each word has; memory follows the block and the result."""
+    lengths = ends - starts
+    tape = span_bytes(buf, starts, lengths)
+    bounds = np.concatenate([[0], np.cumsum(lengths)])
+    buckets, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+    for at in range(0, len(starts), BLOCK):
+        cut = bounds[at:at + BLOCK + 1]
+        some = Words(pa.array([], pa.string()))
+        some.buf, some.starts, some.ends = tape[cut[0]:cut[-1]], cut[:-1] - cut[0], cut[1:] - cut[0]
+        bucket, owner = subwords(some)
+        buckets.append(bucket[np.argsort(owner, kind="stable")])
+        counts.append(np.bincount(owner, minlength=len(cut) - 1))
+    return np.concatenate(buckets), np.concatenate(counts)
+
+
+class Bags:
+    """The bags of distinct words, read and written in blocks of words so that no array of all subwords is made beside ``bucket``."""
+
+    def __init__(self, bucket: np.ndarray, counts: np.ndarray):
+        # Buckets in use, numbered in order.
+        present = np.bincount(bucket, minlength=BUCKETS) > 0
+        self.used = np.flatnonzero(present)
+        self.bucket = (np.cumsum(present, dtype=np.int32) - np.int32(1))[bucket]
+        self.counts = counts
+        self.bounds = np.concatenate([[0], np.cumsum(counts)])
+
+    def _blocks(self) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+        for at in range(0, len(self.counts), BLOCK):
+            bounds = self.bounds[at:at + BLOCK + 1]
+            yield slice(at, at + len(bounds) - 1), bounds[:-1] - bounds[0], self.bucket[bounds[0]:bounds[-1]]
+
+    def sums(self, weight: np.ndarray) -> np.ndarray:
+        """Sum of the weights of each word's buckets."""
+        out = np.empty(len(self.counts), weight.dtype)
+        for words, starts, bucket in self._blocks():
+            out[words] = np.add.reduceat(weight[bucket], starts)
+        return out
+
+    def spread(self, pull: np.ndarray) -> np.ndarray:
+        """Sum per bucket of the pull of its words."""
+        out = np.zeros(len(self.used))
+        for words, _, bucket in self._blocks():
+            out += np.bincount(bucket, weights=np.repeat(pull[words], self.counts[words]), minlength=len(out))
+        return out
+
+
+def train(texts: pa.Array, labels: np.ndarray, prior: float, steps: int = 60, rate: float = 0.5, seed: int = 7):
     """(weight per bucket, slope, offset, value of a text without windows)."""
-    words = Words(pa.array(texts, pa.string()))
+    words = Words(texts)
     # A word's subwords are the same wherever it stands: work on distinct words.
     hashes, first_at, word_of = np.unique(words.hashes(), return_index=True, return_inverse=True)
-    only = Words(pa.array([], pa.string()))
-    only.buf, only.starts, only.ends = words.buf, words.starts[first_at], words.ends[first_at]
-    bucket, owner = subwords(only)
-    order = np.argsort(owner, kind="stable").astype(np.int32)
-    bucket, owner = bucket[order], owner[order]
-    del order
-    per_word = np.bincount(owner, minlength=len(hashes)).astype(np.float32)
-    starts = np.concatenate([[0], np.cumsum(per_word)[:-1]]).astype(np.int64)
-    used, bucket = np.unique(bucket, return_inverse=True)
-    bucket = bucket.astype(np.int32)
-    bucket_starts = np.concatenate([[0], np.cumsum(np.bincount(bucket))[:-1]])
-    owner_by_bucket = owner[np.argsort(bucket, kind="stable").astype(np.int32)]
-    del owner
+    word_of = word_of.astype(np.int32)
+    bags = Bags(*bag(words.buf, words.starts[first_at], words.ends[first_at]))
+    words.buf = words.starts = words.ends = None  # windows need the bounds of the texts only
+    used, per_word = bags.used, bags.counts.astype(np.float32)
+    distinct = len(hashes)
+    del hashes, first_at
+    give_back()
     first, end, text = windows(words)
     n = np.maximum(1, span_sums(per_word[word_of], first, end))
     text_starts = np.flatnonzero(np.concatenate([[True], text[1:] != text[:-1]])) if len(text) else np.zeros(0, int)
@@ -125,7 +167,7 @@ def train(texts: list[str | None], labels: np.ndarray, prior: float, steps: int
     seen_out, seen_bias = np.full(DIM, 1e-6), 1e-6
     for _ in range(steps):
         # The softmax is linear in the averaged vectors, so averaging each vector's product with its weights gives the same logit.
-        value = np.add.reduceat((table @ out)[bucket], starts)
+        value = bags.sums(table @ out)
         logit = span_sums(value[word_of], first, end) / n + bias
         # Weight of each window within its text: softmax of its logit.
         top = np.repeat(np.maximum.reduceat(logit, text_starts), size)
@@ -138,8 +180,8 @@ def train(texts: list[str | None], labels: np.ndarray, prior: float, steps: int
         per_window = pull / n
         size_of = len(word_of) + 1
         edge = np.bincount(first, weights=per_window, minlength=size_of) - np.bincount(end, weights=per_window, minlength=size_of)
-        per_distinct = np.bincount(word_of, weights=np.cumsum(edge[:-1]), minlength=len(hashes))
-        per_bucket = np.add.reduceat(per_distinct[owner_by_bucket], bucket_starts)
+        per_distinct = np.bincount(word_of, weights=np.cumsum(edge[:-1]), minlength=distinct)
+        per_bucket = bags.spread(per_distinct)
         grad_out = per_bucket @ table
         grad_table = (per_bucket[:, None] * out).astype(np.float32)
         seen_table += grad_table ** 2
@@ -150,7 +192,7 @@ def train(texts: list[str | None], labels: np.ndarray, prior: float, steps: int
         bias -= rate * pull.sum() / np.sqrt(seen_bias)
     weight = np.zeros(BUCKETS, np.float32)
     weight[used] = table @ out
-    value = np.add.reduceat(weight[used][bucket], starts)
+    value = bags.sums(weight[used])
     logit = span_sums(value[word_of], first, end) / n
     empty = float(np.median(logit))
     best = text_max(logit, text, len(texts), empty)
@@ -188,17 +230,20 @@ def fit(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS) -> bytes
         F.max("text").alias("text"), F.max("label").alias("label"))
     prior = counts.toxic / counts.n
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frames = list(batches)
-        rows = pd.concat(frames).sort_values("doc_id") if frames else pd.DataFrame()
-        if len(rows) and rows.label.nunique() == 2:
-            weight, *rest = train(rows.text.tolist(), rows.label.to_numpy(), prior)
-            model = np.array(rest, np.float64).tobytes() + weight.tobytes()
-            del frames, rows, weight
-            give_back()
-            yield pd.DataFrame({"model": [model]})
-
-    models = rows.coalesce(1).mapInPandas(run, "model binary").collect()
+        if frames:
+            rows = pa.Table.from_batches(frames).sort_by("doc_id").combine_chunks()
+            del frames
+            labels = rows.column("label").to_numpy()
+            if len(np.unique(labels)) == 2:
+                weight, *rest = train(rows.column("text").chunk(0), labels, prior)
+                model = np.array(rest, np.float64).tobytes() + weight.tobytes()
+                del rows, weight
+                give_back()
+                yield pa.record_batch([pa.array([model], pa.binary())], ["model"])
+
+    models = rows.coalesce(1).mapInArrow(run, "model binary").collect()
     return bytes(models[0].model) if models else float(prior)
 
 
