@@ -8,10 +8,14 @@ every template is dropped before any bigram is compared, and a pair outside them
 that occur in a template leave a passage; they meet the templates' bigrams in a broadcast join (the template list
 is a parameter, its size is checked against ``MOST_BIGRAMS``) and are counted per passage and template. The best passage of each document and template is returned.
 
+A notice may also stand in the middle of a line. So the longest runs of words of which every two neighbours are a bigram of some template are passages
+too (``runs``), wherever they begin and end in the whole text; such a passage is returned in its normalised form. A foreign word inside a notice ends
+its run. Runs follow from the places of known bigrams alone, so a text of any length is one row per such place, sorted, and never one large array.
+
 The templates of ``scan_public`` are notices, headers and short texts of common licences in their usual phrasings, and the full texts of long ones
 (``licence_list``). A row names the template; a notice is often like templates of a neighbouring version too, and its own has the highest Dice.
 
-Null and empty texts, and passages of fewer than two words, match nothing. Ties between passages go to the shorter passage,
+Null and empty texts, and passages of fewer than two words, match nothing. Ties between passages go to whole ones before runs, to the shorter passage,
 then to the last in order of text. Repeated rows are found once per id; rows of a null id are taken together.
 """
 
@@ -20,7 +24,7 @@ from __future__ import annotations
 import re
 from fractions import Fraction
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopscope.llm.licence_list import MORE, TEXTS
@@ -53,8 +57,8 @@ def bigrams_of(text: str) -> set[str]:
     return {f"{a} {b}" for a, b in zip(words, words[1:])}
 
 
-def scan(docs: DataFrame, templates: dict[str, str] | None = None, least: float = LEAST) -> DataFrame:
-    """(doc_id, licence, dice, passage): documents with a passage like a template."""
+def scan(docs: DataFrame, templates: dict[str, str] | None = None, least: float = LEAST, inside: bool = True) -> DataFrame:
+    """(doc_id, licence, dice, passage): documents with a passage like a template; ``inside`` looks for runs inside lines as well."""
     sets = {name: bigrams_of(text) for name, text in (TEMPLATES if templates is None else templates).items()}
     sets = {name: found for name, found in sets.items() if found}
     if sum(map(len, sets.values())) > MOST_BIGRAMS:
@@ -73,39 +77,73 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, least: float
     cut = texts.filter("text IS NOT NULL").select("doc_id", F.explode(passages).alias("passage"))
     # Bounds first: a bigram takes at least three characters with the blank that parts it from the next one.
     cut = cut.filter(F.length("passage") >= 2 * low)
-    plain = F.trim(F.regexp_replace(F.translate("passage", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), "[^a-z0-9]+", " "))
-    # Exploding a one-element array computes an expression once, however often later steps use it.
-    once = lambda value: F.explode(F.array(value))
-    cut = cut.select("doc_id", "passage", once(F.split(plain, " ")).alias("words"))
+    cut = cut.select("doc_id", "passage", _once(_words("passage")).alias("words"))
     # A passage of many words may still repeat few bigrams, so only the lower bound holds for words.
     cut = cut.filter(F.size("words") > max(1, low))
     # Without a telling word of a template there is no match; this spares most passages the bigrams.
-    cut = cut.filter(F.arrays_overlap("words", _constants(_telling_words(sets, up, down))))
+    telling = _constants(_telling_words(sets, up, down))
+    cut = cut.filter(F.arrays_overlap("words", telling))
     pairs = F.transform(F.sequence(F.lit(0), F.size("words") - 2), lambda k: F.concat_ws(" ", F.get("words", k), F.get("words", k + 1)))
-    cut = cut.select("doc_id", "passage", once(F.array_distinct(pairs)).alias("own")).filter(F.size("own").between(low, high))
+    cut = cut.select("doc_id", "passage", _once(F.array_distinct(pairs)).alias("own")).filter(F.size("own").between(low, high))
     known = _constants(sorted(set().union(*sets.values())))
-    hits = cut.select("doc_id", "passage", F.size("own").alias("n_own"), once(F.array_intersect("own", known)).alias("hit"))
+    hits = cut.select("doc_id", "passage", F.size("own").alias("n_own"), _once(F.array_intersect("own", known)).alias("hit"))
     # As template >= common, a match also has common >= own * least / (2 - least); other passages need not be joined.
-    hits = hits.filter(F.size("hit") * (2 * down - up) >= F.col("n_own") * up).select("doc_id", "passage", "n_own", F.explode("hit").alias("bigram"))
+    hits = hits.filter(F.size("hit") * (2 * down - up) >= F.col("n_own") * up).withColumn("whole", F.lit(True))
+    if inside:
+        hits = hits.unionByName(runs(texts, sets, telling, low, high).withColumn("whole", F.lit(False)))
+    hits = hits.select("doc_id", "whole", "passage", "n_own", F.explode("hit").alias("bigram"))
     # At most MOST_BIGRAMS rows, checked above.
     wanted = docs.sparkSession.createDataFrame(
         [(name, len(found), b) for name, found in sorted(sets.items()) for b in sorted(found)], "licence string, n_template int, bigram string")
     pairs = hits.join(F.broadcast(wanted), "bigram").filter(
         (F.col("n_own") * (2 * down - up) >= F.col("n_template") * up) & (F.col("n_own") * up <= F.col("n_template") * (2 * down - up)))
     # Repeated document rows repeat their bigrams; distinct ones are counted.
-    counted = pairs.groupBy("doc_id", "passage", "n_own", "licence", "n_template").agg(F.countDistinct("bigram").alias("common"))
+    counted = pairs.groupBy("doc_id", "whole", "passage", "n_own", "licence", "n_template").agg(F.countDistinct("bigram").alias("common"))
     alike = counted.filter(F.col("common") * (2 * down) >= (F.col("n_own") + F.col("n_template")) * up)
     dice = alike.withColumn("dice", 2.0 * F.col("common") / (F.col("n_own") + F.col("n_template")))
-    best = F.max_by("passage", F.struct(F.col("dice"), -F.length("passage"), F.col("passage")))
+    best = F.max_by("passage", F.struct(F.col("dice"), F.col("whole"), -F.length("passage"), F.col("passage")))
     return dice.groupBy("doc_id", "licence").agg(F.max("dice").alias("dice"), best.alias("passage"))
 
 
 def scan_public(docs: DataFrame, least: float = LEAST) -> DataFrame:
     """``scan`` for the whole list: ``TEMPLATES``, the notices of ``licence_list`` and its full texts.
 
-    Only long passages are compared with the full texts, so these are scanned for by themselves.
+    Only long passages are compared with the full texts, so these are scanned for by themselves, and not inside lines.
     """
-    return scan(docs, {**TEMPLATES, **MORE}, least).union(scan(docs, TEXTS, least))
+    return scan(docs, {**TEMPLATES, **MORE}, least).union(scan(docs, TEXTS, least, inside=False))
+
+
+def runs(texts: DataFrame, sets: dict[str, set[str]], telling: Column, low: int, high: int) -> DataFrame:
+    """(doc_id, passage, n_own, hit): the longest runs of words whose bigrams all occur in templates, of ``low`` to ``high`` different bigrams."""
+    spark = texts.sparkSession
+    # A text that repeats in rows of one id is the same text; rows of a null id are told apart by their text.
+    found = texts.filter("text IS NOT NULL").select("doc_id", F.xxhash64("text").alias("key"), _once(_words("text")).alias("words"))
+    found = found.filter((F.size("words") > low) & F.arrays_overlap("words", telling))
+    # Words and their followers side by side: one row per place.
+    follow = F.arrays_zip(F.col("words").alias("a"), F.slice("words", F.lit(2), F.size("words")).alias("b"))
+    places = found.select("doc_id", "key", F.posexplode(follow).alias("pos", "w")).select(
+        "doc_id", "key", "pos", F.col("w.a").alias("a"), F.concat_ws(" ", "w.a", "w.b").alias("bigram"))
+    # At most MOST_BIGRAMS rows, checked by the caller.
+    known = spark.createDataFrame([(b,) for b in sorted(set().union(*sets.values()))], "known string")
+    places = places.join(F.broadcast(known), F.col("bigram") == F.col("known"), "left_semi")
+    # Places that follow one another have the same distance from their rank; a repeated row has the ranks of the first.
+    rank = F.dense_rank().over(Window.partitionBy("doc_id", "key").orderBy("pos"))
+    own = F.collect_set("bigram")
+    run = places.withColumn("run", F.col("pos") - rank).groupBy("doc_id", "key", "run").agg(
+        own.alias("hit"), F.array_sort(F.collect_set(F.struct("pos", "a"))).alias("way"), F.max_by("bigram", "pos").alias("last"))
+    run = run.filter(F.size("hit").between(low, high))
+    passage = F.concat_ws(" ", F.transform("way", lambda w: w["a"]), F.element_at(F.split("last", " "), -1))
+    return run.select("doc_id", passage.alias("passage"), F.size("hit").alias("n_own"), "hit")
+
+
+def _words(text: str) -> Column:
+    lower = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return F.split(F.trim(F.regexp_replace(lower, "[^a-z0-9]+", " ")), " ")
+
+
+def _once(value: Column) -> Column:
+    """Exploding a one-element array computes an expression once, however often later steps use it."""
+    return F.explode(F.array(value))
 
 
 def _constants(values: list[str]) -> Column:

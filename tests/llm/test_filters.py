@@ -47,10 +47,23 @@ def test_toxicity_without_both_labels(spark, texts, odd, labels, want):
     assert toxicity.score(texts([]), model).count() == 0
 
 
+def known_runs(text, templates):
+    """Longest runs of words whose neighbours are all bigrams of templates."""
+    known = set().union(*map(licences.bigrams_of, templates.values()))
+    words = re.findall("[a-z0-9]+", text.translate({k: k + 32 for k in range(65, 91)}))
+    out = [[]]
+    for a, b in zip(words, words[1:]):
+        if f"{a} {b}" in known:
+            out[-1] = [*(out[-1] or [a]), b]
+        elif out[-1]:
+            out.append([])
+    return {" ".join(run) for run in out if run}
+
+
 def brute_licences(rows, templates, least):
     best = {}
     for doc_id, text in rows:
-        for passage in {*(text or "").split("\n"), *re.split(r"\n[ \t\r]*\n", text or ""), text or ""}:
+        for passage in {*known_runs(text or "", templates), *(text or "").split("\n"), *re.split(r"\n[ \t\r]*\n", text or ""), text or ""}:
             own = licences.bigrams_of(passage)
             for name, template in templates.items():
                 other = licences.bigrams_of(template)
@@ -74,6 +87,24 @@ def test_licences_match_brute_force(texts, odd, least):
     assert sorted((str(r.doc_id), r.licence, round(r.dice, 9)) for r in got) == brute_licences(rows, licences.TEMPLATES, least)
 
 
+def test_notices_inside_lines(texts):
+    grant = licences.TEMPLATES["BSD-redistribution"].split()
+    lines = {
+        1: ("Some words of ours. Copyright 2020 Foo Inc. All rights reserved. Read the terms before you go on", "all-rights-reserved", "all rights reserved"),
+        2: ("This tool, long in the making, is released under the MIT License. It reads tables and writes them", "MIT-notice", "released under the mit license"),
+        3: ("(c) 2020 Foo. All rights reserved. Terms | Privacy", "all-rights-reserved", "all rights reserved"),
+        4: (f"/* {prose(random.Random(5), 40)}\n * {' '.join(grant[:9])}\n * {' '.join(grant[9:])}\n * x", "BSD-redistribution", None),
+        5: (f"{prose(random.Random(6), 200000)} Released under the MIT License {prose(random.Random(7), 10)}", "MIT-notice", "released under the mit license"),
+    }
+    rows = [(k, line) for k, (line, _, _) in lines.items()]
+    found = {r.doc_id: r for r in licences.scan(texts(rows + rows[:2])).collect()}
+    assert set(found) == set(lines)
+    for k, (_, licence, passage) in lines.items():
+        assert found[k].licence == licence and found[k].dice >= 0.8
+        assert passage in (None, found[k].passage)
+    assert licences.scan(texts(rows), inside=False).count() == 0
+
+
 def test_licences_of_nothing(texts):
     assert licences.scan(texts([])).count() == 0
     assert licences.scan(texts([(1, "a b c")]), templates={"x": "one"}).count() == 0
