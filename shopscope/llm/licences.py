@@ -5,8 +5,9 @@ text, its paragraphs (between blank lines) and its lines. A passage's distinct w
 compared with a template's B: Dice = 2 |A and B| / (|A| + |B|). A Dice of at least ``least`` needs
 |B| * least / (2 - least) <= |A| <= |B| * (2 - least) / least, so a passage whose size lies outside these bounds for
 every template is dropped before any bigram is compared, and a pair outside them is never counted. Only bigrams
-that occur in a template leave a passage; they meet the templates' bigrams in a broadcast join (the template list
-is a parameter, its size is checked against ``MOST_BIGRAMS``) and are counted per passage and template. The best passage of each document and template is returned.
+that occur in a template leave a passage. Most notices are the same line over and over, so passages are reduced to their different sets of such bigrams first;
+each set meets the templates' bigrams once, in a broadcast join (the template list is a parameter, its size is checked against ``MOST_BIGRAMS``), and the
+passages are joined with what their set matches. The best passage of each document and template is returned.
 
 A notice may also stand in the middle of a line. So the longest runs of words of which every two neighbours are a bigram of some template are passages
 too (``runs``), wherever they begin and end in the whole text; such a passage is returned in its normalised form. A foreign word inside a notice ends
@@ -28,6 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopscope.llm.licence_list import MORE, TEXTS
+from shopscope.session import stored
 
 LEAST = 0.8
 MOST_BIGRAMS = 20_000
@@ -58,19 +60,35 @@ def bigrams_of(text: str) -> set[str]:
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, least: float = LEAST, inside: bool = True) -> DataFrame:
-    """(doc_id, licence, dice, passage): documents with a passage like a template; ``inside`` looks for runs inside lines as well."""
+    """(doc_id, licence, dice, passage): documents with a passage like a template; ``inside`` looks for runs inside lines as well. Runs a job."""
     sets = {name: bigrams_of(text) for name, text in (TEMPLATES if templates is None else templates).items()}
     sets = {name: found for name, found in sets.items() if found}
     if sum(map(len, sets.values())) > MOST_BIGRAMS:
         raise ValueError(f"templates with more than {MOST_BIGRAMS} bigrams belong in a table of their own")
-    texts = docs.select(F.col("doc_id"), F.col("text").alias("text"))
     if not sets:
-        return texts.filter(F.lit(False)).select("doc_id", F.lit("").alias("licence"), F.lit(0.0).alias("dice"), F.lit("").alias("passage"))
+        return docs.filter(F.lit(False)).select("doc_id", F.lit("").alias("licence"), F.lit(0.0).alias("dice"), F.lit("").alias("passage"))
     # Whole numbers throughout: rounded bounds would drop passages that lie on them. least is up / down.
     up, down = Fraction(str(least)).as_integer_ratio()
+    hits = stored(candidates(docs, sets, up, down, inside), "passages")
+    # At most MOST_BIGRAMS rows, checked above.
+    wanted = docs.sparkSession.createDataFrame(
+        [(name, len(found), b) for name, found in sorted(sets.items()) for b in sorted(found)], "licence string, n_template int, bigram string")
+    bags = hits.select("hit", "n_own").distinct()
+    pairs = bags.withColumn("bigram", F.explode("hit")).join(F.broadcast(wanted), "bigram").filter(
+        (F.col("n_own") * (2 * down - up) >= F.col("n_template") * up) & (F.col("n_own") * up <= F.col("n_template") * (2 * down - up)))
+    # A set has each bigram once, so rows are counted.
+    counted = pairs.groupBy("hit", "n_own", "licence", "n_template").agg(F.count(F.lit(1)).alias("common"))
+    alike = counted.filter(F.col("common") * (2 * down) >= (F.col("n_own") + F.col("n_template")) * up)
+    dice = alike.select("hit", "n_own", "licence", (2.0 * F.col("common") / (F.col("n_own") + F.col("n_template"))).alias("dice"))
+    best = F.max_by("passage", F.struct(F.col("dice"), F.col("whole"), -F.length("passage"), F.col("passage")))
+    return hits.join(dice, ["hit", "n_own"]).groupBy("doc_id", "licence").agg(F.max("dice").alias("dice"), best.alias("passage"))
+
+
+def candidates(docs: DataFrame, sets: dict[str, set[str]], up: int, down: int, inside: bool) -> DataFrame:
+    """(doc_id, whole, passage, n_own, hit): passages with bigrams enough, how many they have, and those in templates, sorted."""
+    texts = docs.select(F.col("doc_id"), F.col("text").alias("text"))
     low = -(-min(len(s) for s in sets.values()) * up // (2 * down - up))
     high = max(len(s) for s in sets.values()) * (2 * down - up) // up
-
     lines = F.split("text", "\n")
     paragraphs = F.split("text", r"\n[ \t\r]*\n")
     passages = F.array_distinct(F.concat(lines, paragraphs, F.array("text")))
@@ -86,23 +104,12 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, least: float
     pairs = F.transform(F.sequence(F.lit(0), F.size("words") - 2), lambda k: F.concat_ws(" ", F.get("words", k), F.get("words", k + 1)))
     cut = cut.select("doc_id", "passage", _once(F.array_distinct(pairs)).alias("own")).filter(F.size("own").between(low, high))
     known = _constants(sorted(set().union(*sets.values())))
-    hits = cut.select("doc_id", "passage", F.size("own").alias("n_own"), _once(F.array_intersect("own", known)).alias("hit"))
+    hits = cut.select("doc_id", F.lit(True).alias("whole"), "passage", F.size("own").alias("n_own"), _once(F.array_intersect("own", known)).alias("hit"))
     # As template >= common, a match also has common >= own * least / (2 - least); other passages need not be joined.
-    hits = hits.filter(F.size("hit") * (2 * down - up) >= F.col("n_own") * up).withColumn("whole", F.lit(True))
+    hits = hits.filter(F.size("hit") * (2 * down - up) >= F.col("n_own") * up)
     if inside:
         hits = hits.unionByName(runs(texts, sets, telling, low, high).withColumn("whole", F.lit(False)))
-    hits = hits.select("doc_id", "whole", "passage", "n_own", F.explode("hit").alias("bigram"))
-    # At most MOST_BIGRAMS rows, checked above.
-    wanted = docs.sparkSession.createDataFrame(
-        [(name, len(found), b) for name, found in sorted(sets.items()) for b in sorted(found)], "licence string, n_template int, bigram string")
-    pairs = hits.join(F.broadcast(wanted), "bigram").filter(
-        (F.col("n_own") * (2 * down - up) >= F.col("n_template") * up) & (F.col("n_own") * up <= F.col("n_template") * (2 * down - up)))
-    # Repeated document rows repeat their bigrams; distinct ones are counted.
-    counted = pairs.groupBy("doc_id", "whole", "passage", "n_own", "licence", "n_template").agg(F.countDistinct("bigram").alias("common"))
-    alike = counted.filter(F.col("common") * (2 * down) >= (F.col("n_own") + F.col("n_template")) * up)
-    dice = alike.withColumn("dice", 2.0 * F.col("common") / (F.col("n_own") + F.col("n_template")))
-    best = F.max_by("passage", F.struct(F.col("dice"), F.col("whole"), -F.length("passage"), F.col("passage")))
-    return dice.groupBy("doc_id", "licence").agg(F.max("dice").alias("dice"), best.alias("passage"))
+    return hits.withColumn("hit", F.array_sort("hit"))
 
 
 def scan_public(docs: DataFrame, least: float = LEAST) -> DataFrame:
