@@ -144,8 +144,8 @@ def runs(texts: DataFrame, sets: dict[str, set[str]], telling: Column, low: int,
 
 
 def _words(text: str) -> Column:
-    lower = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.split(F.trim(F.regexp_replace(lower, "[^a-z0-9]+", " ")), " ")
+    # Only letters A-Z are left to lower, so other alphabets cannot add any.
+    return F.split(F.lower(F.trim(F.regexp_replace(text, "[^A-Za-z0-9]+", " "))), " ")
 
 
 def _once(value: Column) -> Column:
