@@ -7,6 +7,8 @@ large, skewed input:
 * Rows collapse to (basket, item, copies) first. The shuffle is on basket *and*
   item, so a basket holding much of the data is spread over all tasks. The
   result is written once and read by every later step.
+* Bags and pairs are nearly as many as the rows that make them, so a task holds
+  its share of them all. The jobs that build them run in ``small_tasks``.
 * A basket with more than ``block`` distinct items is *wide*. ``item_pairs``,
   whose result is all pairs, cuts it into item blocks and makes every pair of
   blocks its own join key: no key holds more than about ``2 * block`` rows.
@@ -23,7 +25,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import stored
+from ..session import small_tasks, stored
 
 BLOCK = 1024
 
@@ -131,10 +133,11 @@ def _count_in(bag: DataFrame, candidates: DataFrame, signals: Sequence[Signal])
 
 
 def item_pairs(rows: DataFrame, basket: str, item: str, name: str = "pair_count", block: int = BLOCK) -> DataFrame:
-    """All pairs that share a basket, with their counts."""
+    """All pairs that share a basket, with their counts. Runs jobs."""
     signals = [Signal(rows, basket, item, name)]
-    bag = stored(bags(signals), "bags")
-    return count_pairs(with_blocks(bag, special_baskets(bag, block)), signals)
+    with small_tasks(rows.sparkSession):
+        bag = stored(bags(signals), "bags")
+        return stored(count_pairs(with_blocks(bag, special_baskets(bag, block)), signals), "pairs")
 
 
 def score(signals: Sequence[Signal]):
@@ -178,6 +181,13 @@ def top_pairs(
     """
     if seeds is None:
         seeds = max(64, 2 * math.isqrt(2 * limit) + 1)
+    with small_tasks(known.sparkSession):
+        return _top_pairs(signals, known, limit, seeds, block, scale)
+
+
+def _top_pairs(
+    signals: Sequence[Signal], known: DataFrame, limit: int, seeds: int, block: int, scale: int | None
+) -> DataFrame:
     plain = stored(bags(signals), "bags")
     bag = with_blocks(plain, special_baskets(plain, block))
     wide = F.col("blocks") > 1
@@ -205,6 +215,8 @@ def top_pairs(
 
     bag = bag.join(bounds.filter(F.col("bound") >= floor).select("item", "reach"), "item")
     short = count_pairs(bag.filter(~wide), signals, reach=True).filter(score(signals) + F.col("reach") >= floor)
+    # All pairs of the other baskets are counted here, and those that are left are read later.
+    short = stored(short, "short_pairs")
     strong = F.col("reach") >= floor
     counts = ["item_a", "item_b", *(s.name for s in signals)]
     parts = [
