@@ -22,6 +22,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -219,13 +220,18 @@ def _top_pairs(
     short = stored(short, "short_pairs")
     strong = F.col("reach") >= floor
     counts = ["item_a", "item_b", *(s.name for s in signals)]
+    total = score(signals) if scale is None else F.round(score(signals), scale)
+    ranking = [F.desc("score"), "item_a", "item_b"]
+    # An item without reach is in no wide basket (unless a signal weighs nothing): counts of its pairs are final, and the best are enough.
+    final = (F.col("reach") == 0) & F.lit(all(s.weight > 0 for s in signals))
+    best_final = short.filter(final).withColumn("score", total).orderBy(*ranking).limit(limit)
     parts = [
-        short.select(*counts),
+        best_final.select(*counts),
+        short.filter(~final).select(*counts),
         _count_in(bag.filter(wide), short.filter(~strong & (F.col("reach") > 0)), signals),
         count_pairs(bag.filter(wide & strong), signals),
     ]
-    pairs = parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("item_a", "item_b").agg(
+    pairs = reduce(DataFrame.unionByName, parts).groupBy("item_a", "item_b").agg(
         *(F.sum(s.name).alias(s.name) for s in signals)
     )
-    total = score(signals) if scale is None else F.round(score(signals), scale)
-    return pairs.withColumn("score", total).orderBy(F.desc("score"), "item_a", "item_b").limit(limit)
+    return pairs.withColumn("score", total).orderBy(*ranking).limit(limit)

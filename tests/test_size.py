@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from shopscope.operators.pairs import item_pairs
+from shopscope.operators.pairs import Signal, item_pairs, top_pairs
 from shopscope.plans import products
 from shopscope.session import small_tasks
 from shopscope.sources import loading
@@ -59,6 +59,18 @@ def test_pairs_are_built_in_small_tasks(spark, one_partition):
     assert pairs.agg(F.count("*"), F.sum("pair_count")).first() == (600_000, 600_000)
 
 
+def test_pairs_outside_wide_baskets_are_not_counted_again(spark):
+    """Pairs that no wide basket can lift are ranked as they are; those of wide baskets are summed, floor or not."""
+    rows = spark.createDataFrame(
+        [(b, i) for b in (1, 2) for i in (50, 51)] + [(3, i) for i in range(20)] + [(b, i) for b in (4, 5) for i in (7, 9)] + [(6, 7), (6, 50)],
+        "basket bigint, item bigint")
+    known = spark.range(100).selectExpr("id AS item")
+    for limit in (2, 500):
+        best = top_pairs([Signal(rows, "basket", "item", "n")], known, limit, seeds=2, block=16)
+        assert [(r.item_a, r.item_b, r.n) for r in best.collect()][:2] == [(7, 9, 3), (50, 51, 2)]
+        assert "reach" in best._jdf.queryExecution().optimizedPlan().toString() and best.count() == min(limit, 192)
+
+
 def test_settings_return_after_a_failure(spark, one_partition):
     with pytest.raises(ZeroDivisionError), small_tasks(spark):
         assert int(spark.conf.get(PARTITIONS)) > 1
