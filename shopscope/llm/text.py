@@ -11,7 +11,7 @@ taken from prefix sums, and mixed; all words of a slice are hashed at once.
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import suppress
 
 import numpy as np
@@ -29,6 +29,17 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
+#: What the last task of this worker keeps for its next one, by name.
+_kept: dict[str, object] = {}
+
+
+def kept(name: str, make: Callable[[], object]) -> object:
+    """An object that tasks of one kind hand on in a worker; ``slices`` of any other kind let it go."""
+    if name not in _kept:
+        _kept[name] = make()
+    return _kept[name]
+
+
 def give_back() -> None:
     """Free what the worker's allocators hold: a worker lives on with the next stage beside an executor's heap."""
     _powers.clear()
@@ -128,8 +139,13 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return buf[bounds[0]:bounds[-1]], bounds - bounds[0]
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that the texts of a piece have about ``limit`` bytes; a longer text stands alone. Memory goes back at the end of a task."""
+def slices(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = SLICE_BYTES, keep: str | None = None) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that the texts of a piece have about ``limit`` bytes; a longer text stands alone. Memory goes back at the end of a task.
+
+    Of what earlier tasks of the worker have ``kept``, only ``keep`` stays.
+    """
+    for name in _kept.keys() - {keep}:
+        del _kept[name]
     for batch in batches:
         lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0)
         ends = np.cumsum(lengths.to_numpy(zero_copy_only=False).astype(np.int64))

@@ -15,13 +15,15 @@ k-th occurrence; each touches a block or two per plane. ``ids()`` unpacks a whol
 Encoding gives the tokenizer library's own ids. Texts are cut before single blanks (and line breaks) with a
 character that surely is no white space (printing ASCII, Latin letters of two bytes) on one side and none of ASCII's white space on the other,
 between such a line break and a letter, and between a letter and an ASCII sign. The byte-level rules always start a new piece there. Equal cuts of a
-slice are encoded once, and their bytes are compared in full, so a hash never decides.
+slice are encoded once, and their bytes are compared in full, so a hash never decides. Up to ``KNOWN_WORDS`` short words and their ids stay
+known to a worker over its slices and tasks, about 50 bytes a word.
 
 Null and empty texts have only the end id. Rows of one id are in order of their text; null ids come first. Empty tables give files without rows.
 """
 
 from __future__ import annotations
 
+import hashlib
 import os
 import struct
 import zlib
@@ -34,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from shopscope.llm.text import flat, give_back, list_rows, slices, span_hashes
+from shopscope.llm.text import flat, give_back, kept, list_rows, slices, span_bytes, span_hashes
 from shopscope.session import scratch_dir
 
 END_ID = 2
@@ -46,17 +48,70 @@ MAGIC = b"WAVELET1"
 FILE_SCHEMA = "part int, shard int, n_tokens long, bytes binary"
 
 
+def _distinct_hashes(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``np.unique`` with indexes, but any place of a hash may stand for it, so the faster unstable sort will do."""
+    order = np.argsort(hashes)
+    ordered = hashes[order]
+    new = np.ones(len(hashes), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    which = np.empty(len(hashes), np.int64)
+    which[order] = np.cumsum(new) - 1
+    return ordered[new], order[new], which
+
+
+class Known:
+    """Words met before and their ids, in order of the words' hashes; bytes are compared in full, so a hash never decides."""
+
+    def __init__(self):
+        self.clear()
+
+    def clear(self) -> None:
+        self.hashes = np.zeros(0, np.uint64)
+        self.starts = self.lengths = self.id_starts = self.counts = np.zeros(0, np.int32)
+        self.buf, self.ids = np.zeros(0, np.uint8), np.zeros(0, np.uint32)
+
+    def __len__(self) -> int:
+        return len(self.hashes)
+
+    def find(self, hashes: np.ndarray, buf: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """The place of every word, or -1."""
+        if not len(self) or not len(hashes):
+            return np.full(len(hashes), -1, np.int64)
+        place = np.minimum(np.searchsorted(self.hashes, hashes), len(self) - 1)
+        place[(self.hashes[place] != hashes) | (self.lengths[place] != lengths)] = -1
+        met = np.flatnonzero(place >= 0)
+        lengths, edges = lengths[met], np.cumsum(lengths[met])
+        unlike = span_bytes(buf, starts[met], lengths) != span_bytes(self.buf, self.starts[place[met]], lengths)
+        place[met[np.searchsorted(edges, np.flatnonzero(unlike), side="right")]] = -1
+        return place
+
+    def add(self, hashes: np.ndarray, buf: np.ndarray, starts: np.ndarray, lengths: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
+        """Keep words in ascending order of their hashes; one whose hash another word has is left out."""
+        place = np.searchsorted(self.hashes, hashes)
+        new = np.ones(len(hashes), bool)
+        if len(self):
+            new = self.hashes[np.minimum(place, len(self) - 1)] != hashes
+        place, lengths, counts, id_starts = place[new], lengths[new], counts[new], (np.cumsum(counts) - counts)[new]
+        self.hashes = np.insert(self.hashes, place, hashes[new])
+        self.starts = np.insert(self.starts, place, len(self.buf) + np.cumsum(lengths) - lengths)
+        self.lengths = np.insert(self.lengths, place, lengths)
+        self.id_starts = np.insert(self.id_starts, place, len(self.ids) + np.cumsum(counts) - counts)
+        self.counts = np.insert(self.counts, place, counts)
+        self.buf = np.concatenate([self.buf, span_bytes(buf, starts[new], lengths)])
+        self.ids = np.concatenate([self.ids, span_bytes(ids, id_starts, counts)])
+
+
 class Encoder:
     """Encodes the texts of a slice, every distinct cut once."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, known: Known | None = None):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         # Cuts are distinct already; the library's own cache would only cost time.
         self.tokenizer.model._resize_cache(0)
-        self.known: dict[str, list[int]] = {}
+        self.known = Known() if known is None else known
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         #: Bytes that an id stands for: a character each in the byte-level alphabet; -1 for added tokens.
         self.widths = np.zeros(max(vocabulary.values()) + 1, np.int64)
@@ -109,8 +164,7 @@ class Encoder:
         starts, ends = edges[:-1], edges[1:]
         # Texts with an added token's name in them are encoded whole: it may span a cut.
         odd = [k for k in range(n) if any(a in raw[bounds[k]:bounds[k + 1]] for a in self.added)] if any(a in raw for a in self.added) else []
-        hashes = span_hashes(buf, starts, ends)
-        _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        hashes, first, which = _distinct_hashes(span_hashes(buf, starts, ends))
         lengths = ends - starts
         # Every cut must equal the one that stands for it, byte by byte.
         kind = np.int32 if len(buf) < 1 << 31 else np.int64
@@ -118,7 +172,7 @@ class Encoder:
         like += np.arange(len(buf), dtype=kind)
         if (lengths[first][which] != lengths).any() or (buf.take(like, mode="clip") != buf).any():
             odd = list(range(n))
-        ids_of, counts_of = self._distinct(raw, letters, sure, starts[first], ends[first])
+        ids_of, counts_of = self._distinct(raw, letters, sure, starts[first], ends[first], hashes)
         at = np.concatenate([[0], np.cumsum(counts_of)])
         counts = counts_of[which]
         where = np.repeat(at[which] - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
@@ -133,10 +187,13 @@ class Encoder:
             ids = np.concatenate(parts)
         return ids, totals
 
-    def _distinct(self, raw: bytes, letters: np.ndarray, sure: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of distinct cuts in order, and the number of ids of each.
+    def _distinct(
+        self, raw: bytes, letters: np.ndarray, sure: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct cuts in ascending order of their hashes, and the number of ids of each.
 
-        Letters, with a blank before them or none, are one piece before merging, so they go straight to the library's merges. Other cuts that begin with a
+        Letters, with a blank before them or none, are one piece before merging, so they go straight to the library's merges, unless met in a
+        slice before. Other cuts that begin with a
         blank and a character that is no white space can follow any that ends without white space, and are encoded many to a text; the rest one by one.
         """
         buf = np.frombuffer(raw, np.uint8)
@@ -152,20 +209,29 @@ class Encoder:
             parts.append((which, np.concatenate(found) if found else np.zeros(0, np.uint32)))
 
         which = np.flatnonzero(words)
-        merge, known, got, sizes = self.tokenizer.model.tokenize, self.known, [], []
+        known = self.known
+        place = known.find(hashes[which], buf, starts[which], lengths[which])
+        met, place = which[place >= 0], place[place >= 0]
+        counts[met] = known.counts[place]
+        add(met, [span_bytes(known.ids, known.id_starts[place], known.counts[place])])
+
+        counted = np.zeros(len(starts), bool)
+        counted[met] = True
+        which = which[~counted[which]]
+        merge, got, sizes = self.tokenizer.model.tokenize, [], []
         tape = self.alphabet[buf].tobytes().decode("utf-16-le")
-        for word in [tape[a:b] for a, b in zip(starts[which].tolist(), ends[which].tolist())]:
-            found = known.get(word)
-            if found is None:
-                found = [t.id for t in merge(word)]
-                if len(word) < 32:
-                    known[word] = found
+        for a, b in zip(starts[which].tolist(), ends[which].tolist()):
+            found = merge(tape[a:b])
             sizes.append(len(found))
-            got += found
+            got += [t.id for t in found]
+        ids = np.array(got, np.uint32)
         counts[which] = sizes
-        add(which, [np.array(got, np.uint32)])
+        add(which, [ids])
         if len(known) > KNOWN_WORDS:
             known.clear()
+        short = lengths[which] < 32
+        kept, n = which[short], counts[which]
+        known.add(hashes[kept], buf, starts[kept], lengths[kept], ids[np.repeat(short, n)], n[short])
 
         which = np.flatnonzero(joins)
         group = np.cumsum(lengths[which]) // 1024
@@ -217,13 +283,15 @@ def pack(ids: np.ndarray, doc_ids: list[int | None], counts: np.ndarray) -> byte
     codes = codes.astype(np.uint16 if depth <= 16 else np.uint32)
     planes, ones, zeros = [], [], []
     for level in range(depth):
-        bit = ((codes >> codes.dtype.type(depth - 1 - level)) & codes.dtype.type(1)).astype(bool)
-        packed = np.packbits(bit, bitorder="little").tobytes()
+        bit = (codes & codes.dtype.type(1 << (depth - 1 - level))) != 0
+        plane = np.packbits(bit, bitorder="little")
+        packed = plane.tobytes()
         planes.append([zlib.compress(packed[k:k + BLOCK_BITS // 8], 1) for k in range(0, len(packed), BLOCK_BITS // 8)])
-        totals = np.concatenate([[0], np.cumsum(bit)]).astype(np.int64)
-        ones.append(np.append(totals[:n:BLOCK_BITS], totals[-1]))
+        in_block = [int(np.bitwise_count(plane[k:k + BLOCK_BITS // 8]).sum()) for k in range(0, len(plane), BLOCK_BITS // 8)]
+        totals = np.concatenate([[0], np.cumsum(in_block)]).astype(np.int64)
+        ones.append(totals)
         zeros.append(n - int(totals[-1]))
-        codes = np.concatenate([codes[~bit], codes[bit]])
+        codes = np.concatenate([np.compress(~bit, codes), np.compress(bit, codes)])
     known = np.array([d is not None for d in doc_ids], bool)
     docs = np.array([d or 0 for d in doc_ids], np.int64)
     lengths = np.array([len(b) for p in planes for b in p], np.int64)
@@ -331,15 +399,19 @@ class Shard:
             bit = np.unpackbits(np.frombuffer(raw, np.uint8), count=self.n, bitorder="little").view(bool)
             zeros = int(self.zeros[level])
             above = np.empty_like(codes)
-            above[~bit] = codes[:zeros]
-            above[bit] = codes[zeros:] | kind(1 << (self.depth - 1 - level))
+            # Places, not masks: numpy writes to them several times faster.
+            above[np.flatnonzero(~bit)] = codes[:zeros]
+            above[np.flatnonzero(bit)] = codes[zeros:] | kind(1 << (self.depth - 1 - level))
             codes = above
         return self.alphabet[codes] if self.n else np.zeros(0, np.uint32)
 
 
 def _writer(vocabulary: str, end_id: int, shard_tokens: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary)
+        # Known words go on to the worker's next task, under a name that stands for what the vocabulary holds.
+        with open(vocabulary, "rb") as file:
+            name = f"words of {hashlib.sha256(file.read()).hexdigest()}"
+        encoder = Encoder(vocabulary, kept(name, Known))
         part = TaskContext.get().partitionId()
         held_ids, held_docs, held_counts, size, shard = [], [], [], 0, 0
 
@@ -351,7 +423,7 @@ def _writer(vocabulary: str, end_id: int, shard_tokens: int):
             held_ids, held_docs, held_counts, size, shard = [], [], [], 0, shard + 1
             return row
 
-        for piece in slices(batches, limit=SLICE):
+        for piece in slices(batches, limit=SLICE, keep=name):
             ids, counts = encoder.encode(piece.column("text"))
             # The end id goes behind each text.
             ids = np.insert(ids, np.cumsum(counts), end_id) if len(counts) else ids

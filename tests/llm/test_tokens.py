@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from shopscope.llm import langmodel, piececount, tokenfiles
+from shopscope.llm import langmodel, piececount, text, tokenfiles
 from shopscope.llm.tables import vocabulary
 
 BPE = vocabulary("byte_bpe_50k.json")
@@ -65,6 +65,52 @@ def test_ids_are_the_libraries_own(spark, texts, odd):
     assert len({(r.part, r.shard) for r in got}) > 2
 
 
+def test_known_words_are_merged_once():
+    column = pa.array(["house tree été house", None, " tree garden", "été\nhouse"])
+    known = tokenfiles.Known()
+    ids, counts = tokenfiles.Encoder(BPE, known).encode(column)
+    want = [Tokenizer.from_file(BPE).encode(t or "", add_special_tokens=False).ids for t in column.to_pylist()]
+    assert ids.tolist() == sum(want, []) and counts.tolist() == [len(w) for w in want]
+    later = tokenfiles.Encoder(BPE, known)
+    whole, merged = later.tokenizer, []
+
+    class Watched:
+        encode_batch_fast = whole.encode_batch_fast
+
+        class model:  # noqa: N801
+            @staticmethod
+            def tokenize(word):
+                merged.append(word)
+                return whole.model.tokenize(word)
+
+    later.tokenizer = Watched
+    again, _ = later.encode(column)
+    assert again.tolist() == ids.tolist() and merged == []
+    more, _ = later.encode(pa.array(["house newly tree"]))
+    assert more.tolist() == whole.encode("house newly tree", add_special_tokens=False).ids and len(merged) == 1
+
+
+def test_words_of_one_hash_are_told_apart():
+    known = tokenfiles.Known()
+    buf = np.frombuffer(b"oneTWOsixlonger", np.uint8)
+    of = lambda *x: np.array(x)
+    known.add(of(5, 9).astype(np.uint64), buf, of(0, 3), of(3, 3), np.array([7, 8, 9], np.uint32), of(1, 2))
+    # The same words, others with their hashes, one of another length, one with a hash that is not there.
+    assert known.find(of(5, 9, 5, 9, 9, 10).astype(np.uint64), buf, of(0, 3, 3, 6, 9, 6), of(3, 3, 3, 3, 6, 3)).tolist() == [0, 1, -1, -1, -1, -1]
+    known.add(of(3, 5).astype(np.uint64), buf, of(9, 6), of(6, 3), np.array([1, 2], np.uint32), of(1, 1))
+    assert known.hashes.tolist() == [3, 5, 9] and known.find(of(3, 5, 9).astype(np.uint64), buf, of(9, 6, 3), of(6, 3, 3)).tolist() == [0, -1, 2]
+    ids = [known.ids[a:a + n].tolist() for a, n in zip(known.id_starts, known.counts)]
+    assert ids == [[1], [7], [8, 9]]
+
+
+def test_known_words_go_when_other_tasks_come():
+    text.kept("words", list).append(1)
+    batch = pa.record_batch([pa.array(["a"])], ["text"])
+    assert len(list(text.slices(iter([batch]), keep="words"))) == 1 and text.kept("words", list) == [1]
+    assert len(list(text.slices(iter([batch])))) == 1 and text.kept("words", list) == []
+    list(text.slices(iter([])))
+
+
 def test_token_files_of_nothing(texts):
     assert tokenfiles.encode(texts([]), BPE).count() == 0
 
