@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopscope.llm.text import Words, hash_bytes, list_rows, mix, slices
+from shopscope.llm.text import Words, distinct_hashes, hash_bytes, list_rows, mix, slices
 from shopscope.session import stored
 
 CLASSES = 32
@@ -171,6 +171,17 @@ class Model:
             x -= np.log(_row_sums(powers))
         return a, b, first, second
 
+    def picked(self, rows: list[np.ndarray], classes: np.ndarray, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of ``logs`` only the token's own class and slot."""
+        a, b, _, _ = self.logits(rows, classes)
+        out, i = [], np.arange(len(classes))
+        for x, column in ((a, classes), (b, slots)):
+            own = x[i, column]
+            own -= _exponents(x)[:, 0]
+            own -= np.log(_row_sums(x)[:, 0])
+            out.append(own)
+        return out[0], out[1]
+
     def learn(self, tokens: Tokens, seen: np.ndarray) -> None:
         """Adagrad steps over the tokens, a batch at a time; ``seen`` holds the sums of squared steps per row."""
         _, classes, slots = self.parts(tokens)
@@ -189,11 +200,12 @@ class Model:
                 order = np.argsort(index, kind="stable")
                 index = index[order]
                 starts = np.flatnonzero(np.concatenate([[True], index[1:] != index[:-1]]))
-                sums = _run_sums(grad.take(order % len(c), axis=0), starts)
+                sums = _run_sums(grad, order % len(c), starts)
                 row = index[starts].astype(np.int64)
                 seen[row] += _row_sums(sums ** 2)[:, 0] / np.float32(CLASSES)
                 sums *= (np.float32(RATE) / np.sqrt(seen[row] + np.float32(1)))[:, None]
-                self.weights[row] = self.weights.take(row, axis=0) - sums
+                np.subtract(self.weights.take(row, axis=0), sums, out=sums)
+                self.weights[row] = sums
 
     def score(self, tokens: Tokens) -> tuple[np.ndarray, np.ndarray]:
         """log10 of the first two factors (and for frequent tokens of all three) per token; number among the frequent ones."""
@@ -202,9 +214,8 @@ class Model:
         out = np.empty(len(classes))
         for k in range(0, len(classes), BATCH):
             cut = slice(k, k + BATCH)
-            log_a, log_b, _, _ = self.logs([r[cut] for r in rows], classes[cut])
-            i = np.arange(len(log_a))
-            out[cut] = (log_a[i, classes[cut]] + log_b[i, slots[cut]]) / np.log(10)
+            log_a, log_b = self.picked([r[cut] for r in rows], classes[cut], slots[cut])
+            out[cut] = (log_a + log_b) / np.log(10)
         rest = slots == SLOTS - 1
         out[rest] -= self.rest[classes[rest]]
         common = rest & (at >= 0)
@@ -214,10 +225,9 @@ class Model:
 
 def _exponents(x: np.ndarray) -> np.ndarray:
     """Turns ``x`` into exponentials, each row less its largest, and returns those."""
-    top = x
-    while top.shape[1] > 1:  # halves against halves: long loops where max(1) runs a short one per row
-        half = top.shape[1] // 2
-        top = np.maximum(top[:, :half], top[:, half:])
+    half = x.shape[1] // 2
+    # Halves against halves, then along the rows of the turned half: long loops where max(1) runs a short one per row.
+    top = np.ascontiguousarray(np.maximum(x[:, :half], x[:, half:]).T).max(0)[:, None]
     x -= top
     np.exp(x, out=x)
     return top
@@ -227,17 +237,24 @@ def _row_sums(x: np.ndarray) -> np.ndarray:
     return x @ np.ones((x.shape[1], 1), x.dtype)
 
 
-def _run_sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Sums over the runs of rows that begin at ``starts``, added in pairs; overwrites ``values``."""
-    lengths = np.diff(np.append(starts, len(values)))
-    place = np.arange(len(values)) - np.repeat(starts, lengths)
-    left = np.repeat(lengths, lengths) - place
+def _run_sums(values: np.ndarray, order: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sums of the rows ``values[order]`` over the runs that begin at ``starts``, added in pairs."""
+    lengths = np.diff(np.append(starts, len(order)))
+    # The first pairs are added as they are gathered, so that half of a run is not copied before.
+    halves = (lengths + 1) >> 1
+    first = np.cumsum(halves) - halves
+    place = np.arange(halves.sum()) - np.repeat(first, halves)
+    at = np.repeat(starts, halves) + 2 * place
+    sums = values.take(order[at], axis=0)
+    left = np.repeat(halves, halves) - place
+    pair = np.flatnonzero((left > 1) | np.repeat((lengths & 1) == 0, halves))
+    sums[pair] = sums.take(pair, axis=0) + values.take(order[at[pair] + 1], axis=0)
     step, at = 1, np.flatnonzero(((place & 1) == 0) & (left > 1))
     while len(at):
-        values[at] = values.take(at, axis=0) + values.take(at + step, axis=0)
+        sums[at] = sums.take(at, axis=0) + sums.take(at + step, axis=0)
         step *= 2
         at = at[((place[at] & (2 * step - 1)) == 0) & (left[at] > step)]
-    return values.take(starts, axis=0)
+    return sums.take(first, axis=0)
 
 
 def held_out(doc_id: str = "doc_id") -> F.Column:
@@ -248,7 +265,8 @@ def held_out(doc_id: str = "doc_id") -> F.Column:
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for piece in slices(batches, limit=8 << 20):
         tokens = Tokens(piece.column("text"))
-        values, first, counts = np.unique(tokens.hashes, return_index=True, return_counts=True)
+        values, first, which = distinct_hashes(tokens.hashes)
+        counts = np.bincount(which, minlength=len(values))
         yield pa.record_batch([pa.array(values.view(np.int64)), pa.array(tokens.classes[first].astype(np.int32)), pa.array(counts)],
                               ["token", "class", "n"])
 

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from shopscope.llm.text import flat, give_back, kept, list_rows, slices, span_bytes, span_hashes
+from shopscope.llm.text import distinct_hashes, flat, give_back, kept, list_rows, slices, span_bytes, span_hashes
 from shopscope.session import scratch_dir
 
 END_ID = 2
@@ -48,17 +48,6 @@ MAGIC = b"WAVELET1"
 FILE_SCHEMA = "part int, shard int, n_tokens long, bytes binary"
 
 
-def _distinct_hashes(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """As ``np.unique`` with indexes, but any place of a hash may stand for it, so the faster unstable sort will do."""
-    order = np.argsort(hashes)
-    ordered = hashes[order]
-    new = np.ones(len(hashes), bool)
-    new[1:] = ordered[1:] != ordered[:-1]
-    which = np.empty(len(hashes), np.int64)
-    which[order] = np.cumsum(new) - 1
-    return ordered[new], order[new], which
-
-
 class Known:
     """Words met before and their ids, in order of the words' hashes; bytes are compared in full, so a hash never decides."""
 
@@ -164,7 +153,7 @@ class Encoder:
         starts, ends = edges[:-1], edges[1:]
         # Texts with an added token's name in them are encoded whole: it may span a cut.
         odd = [k for k in range(n) if any(a in raw[bounds[k]:bounds[k + 1]] for a in self.added)] if any(a in raw for a in self.added) else []
-        hashes, first, which = _distinct_hashes(span_hashes(buf, starts, ends))
+        hashes, first, which = distinct_hashes(span_hashes(buf, starts, ends))
         lengths = ends - starts
         # Every cut must equal the one that stands for it, byte by byte.
         kind = np.int32 if len(buf) < 1 << 31 else np.int64

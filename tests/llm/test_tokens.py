@@ -176,6 +176,36 @@ def test_context_helps_held_out_texts(texts):
     assert sum(r.score for r in rows) > 0.93 * sum(r.base_score for r in rows)
 
 
+def test_runs_are_added_in_pairs_as_they_are_gathered():
+    rng = np.random.default_rng(4)
+    values = rng.random((300, 4), dtype=np.float32)
+    lengths = np.array([1, 2, 3, 1, 4, 5, 8, 13, 64, 199])
+    order, starts = rng.integers(0, 300, lengths.sum()), np.cumsum(lengths) - lengths
+
+    def pairs(rows):
+        while len(rows) > 1:
+            rows = [rows[k] + rows[k + 1] if k + 1 < len(rows) else rows[k] for k in range(0, len(rows), 2)]
+        return rows[0]
+
+    before = values.copy()
+    want = [pairs([values[k] for k in order[a:a + n]]) for a, n in zip(starts, lengths)]
+    assert (langmodel._run_sums(values, order, starts) == np.array(want)).all() and (values == before).all()
+
+
+def test_picked_logs_are_those_of_the_whole_rows():
+    rng = np.random.default_rng(5)
+    kinds = langmodel.CLASSES
+    head, counts = np.arange(1, 101, dtype=np.uint64), rng.integers(1, 50, 100)
+    model = langmodel.Model(head, counts, np.arange(100) % kinds, np.full(kinds, 200.0), np.full(kinds, 5.0))
+    model.weights[:] = rng.normal(0, 3, model.weights.shape)
+    rows = [rng.integers(0, langmodel.ROWS, 77) for _ in range(4)]
+    classes, slots = rng.integers(0, kinds, 77), np.where(rng.random(77) < 0.5, 0, langmodel.SLOTS - 1)
+    a, b, _, _ = model.logs(rows, classes)
+    own_a, own_b = model.picked(rows, classes, slots)
+    at = np.arange(77)
+    assert (own_a == a[at, classes]).all() and (own_b == b[at, slots]).all()
+
+
 def test_probabilities_add_up(texts):
     import pyarrow as pa
 
