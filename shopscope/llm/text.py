@@ -144,8 +144,10 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = S
 
     Of what earlier tasks of the worker have ``kept``, only ``keep`` stays.
     """
-    for name in _kept.keys() - {keep}:
-        del _kept[name]
+    if others := _kept.keys() - {keep}:
+        for name in others:
+            del _kept[name]
+        give_back()
     for batch in batches:
         lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0)
         ends = np.cumsum(lengths.to_numpy(zero_copy_only=False).astype(np.int64))
